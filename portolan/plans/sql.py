@@ -125,8 +125,6 @@ _CTE = {
         CASE WHEN (o_orderkey + n) % 2 = 0 THEN 'CRDT' ELSE 'DBIT' END AS debit_credit,
         CAST(o_orderdate AS DATE) + CAST(n AS INTEGER) AS booking_date
         FROM orders, (VALUES (1), (2), (3)) AS g(n) WHERE n <= o_orderkey % 4""",
-    "documents_tokens": """SELECT doc_id, unnest(list_filter(
-        regexp_split_to_array(lower(text), '[^a-z0-9]+'), x -> x <> '')) AS token FROM documents""",
 }
 _NEEDS = {"accessed": ["access_log"]}
 
