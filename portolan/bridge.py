@@ -36,7 +36,7 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(day, (2 + F.col(key) % 29).cast("int")).alias("settlement_date"),
         F.col("o_custkey").alias("customer_id"),
         _by_key(key, 7, [c[0] for c in v.COUNTRIES]).alias("counterparty_country"),
-        _by_key(key, 2, v.TRANSACTION_TYPES).alias("transaction_type"),
+        _by_key(key, 17, v.TRANSACTION_TYPES).alias("transaction_type"),
         _by_key(key, 5, v.TRADE_CURRENCIES).alias("currency_code"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
         _by_key(key, 3, v.BRANCHES).alias("booking_branch"),

@@ -75,10 +75,11 @@ def try_typed(text: Column, type_name: str) -> Column:
 
 
 def draw(key: Column, seed: int, low: int, high: int) -> Column:
-    """Repeatable integer in [low, high] for a key: one step of a linear congruence."""
-    state = (F.pmod(key, F.lit(2147483648)) * 1103515245 + 12345 + seed * 40503) % 2147483648
-    mixed = (state * 69069 + 1 + seed) % 2147483648
-    return low + F.shiftright(mixed, 7) % (high - low + 1)
+    """Repeatable integer in [low, high] for a key: multiply and fold steps on 31 bits."""
+    x = (F.pmod(key, F.lit(2147483648)) * 1103515245 + seed * 40503) % 2147483648
+    for factor in (69069, 1664525):
+        x = (x.bitwiseXOR(F.shiftright(x, 15)) * factor + seed) % 2147483648
+    return low + x.bitwiseXOR(F.shiftright(x, 13)) % (high - low + 1)
 
 
 def draw_log_normal(key: Column, seed: int, mu: float, sigma: float, cap: float) -> Column:

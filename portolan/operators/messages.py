@@ -17,8 +17,13 @@ _XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreNamespace": "true"}
 
 
 def parse(messages: DataFrame, payload: str = "payload") -> DataFrame:
-    """Add ``doc``, the parsed payload; both message roots are NULL in a broken document."""
-    return messages.withColumn("doc", F.from_xml(payload, as_struct(PAYLOAD), _XML_OPTIONS))
+    """Add ``doc``, the parsed payload; both message roots are NULL in a broken document.
+
+    The one-element explode keeps the parse in one place of the plan.  As a plain
+    projection Catalyst would copy it into every filter it pushes down and infers.
+    """
+    doc = F.from_xml(payload, as_struct(PAYLOAD), _XML_OPTIONS)
+    return messages.select("*", F.explode(F.array(doc)).alias("doc"))
 
 
 def unreadable(parsed: DataFrame) -> DataFrame:

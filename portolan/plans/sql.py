@@ -53,7 +53,7 @@ _CTE = {
         CAST(o_orderdate AS DATE) + CAST(2 + o_orderkey % 29 AS INTEGER) AS settlement_date,
         o_custkey AS customer_id,
         {choose('o_orderkey', 7, [c[0] for c in v.COUNTRIES])} AS counterparty_country,
-        {choose('o_orderkey', 2, v.TRANSACTION_TYPES)} AS transaction_type,
+        {choose('o_orderkey', 17, v.TRANSACTION_TYPES)} AS transaction_type,
         {choose('o_orderkey', 5, v.TRADE_CURRENCIES)} AS currency_code,
         CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
         {choose('o_orderkey', 3, v.BRANCHES)} AS booking_branch,
