@@ -37,8 +37,7 @@ def load_json_array(spark: SparkSession, path: str, whole_file: bool = True) ->
     whole-file array must fit the variant size limit, as each object does in any case.
     """
     text = (
-        spark.read.option("wholetext", whole_file)
-        .text(path)
+        spark.read.text(path, wholetext=whole_file)
         .select("value", F.col("_metadata.file_path").alias("source_file"))
     )
     return explode_json_array(text.withColumnRenamed("value", "__text"), "__text").withColumn(

@@ -81,6 +81,13 @@ def _move_files(spark: SparkSession, paths: list[str], folder: str) -> None:
             fs.rename(source, jvm.org.apache.hadoop.fs.Path(target, source.getName()))
 
 
+def _zero_length_files(spark: SparkSession, folder: str) -> list[str]:
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(folder, "*.[cC][sS][vV]")
+    statuses = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [s.getPath().getName() for s in statuses or [] if s.getLen() == 0]
+
+
 def load_drop_folder(
     spark: SparkSession,
     folder: str,
@@ -151,15 +158,9 @@ def load_drop_folder(
 
     run_available(lines, load, checkpoint)
 
-    empty = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .load(folder)
-        .where(F.col("length") == 0)
-        .select(
-            base_name(F.col("path")).alias("source_file"), F.lit("ERROR").alias("status"),
-            F.lit(0).cast("bigint").alias("row_count"), F.lit("empty or header-only").alias("message"),
-        )
+    # Spark's readers skip files of zero bytes, so those come from the folder listing.
+    empty = spark.createDataFrame(
+        [(name, "ERROR", 0, "empty or header-only") for name in _zero_length_files(spark, folder)], _REPORT
     )
     report = spark.read.schema(f"path string, {_REPORT}, batch_id bigint").parquet(f"{target}/report")
     return report.select(*empty.columns).unionByName(empty)
