@@ -82,7 +82,7 @@ def search(index: tuple[DataFrame, DataFrame], key: str, query: str, k: int) ->
 
 
 def _occurrences(words: str, term: str) -> Column:
-    return F.size(F.filter(words, lambda w: w == term))
+    return F.size(words) - F.size(F.array_remove(words, term))
 
 
 def scan_search(docs: DataFrame, key: str, text: str, query: str, k: int, *keep: str) -> DataFrame:

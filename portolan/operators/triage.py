@@ -24,25 +24,23 @@ def _hits(lowered: Column, phrases: list[tuple[str, int]]) -> Column:
     )
 
 
-def _ranked_labels(scores: dict[str, Column], default: str) -> Column:
-    """Labels with a positive score, best first; earlier labels win ties."""
-    scored = F.array(
-        *[F.struct(s.alias("score"), F.lit(-i).alias("rank"), F.lit(name).alias("label"))
-          for i, (name, s) in enumerate(scores.items())]
-    )
-    found = F.sort_array(F.filter(scored, lambda x: x["score"] > 0), asc=False)
-    return F.when(F.size(found) > 0, F.transform(found, lambda x: x["label"])).otherwise(
-        F.array(F.lit(default))
-    )
+def _best_label(scores: dict[str, Column], default: str) -> Column:
+    """The label with the highest positive score; earlier labels win ties."""
+    scored = [
+        F.struct(s.alias("score"), F.lit(-i).alias("rank"), F.lit(name).alias("label"))
+        for i, (name, s) in enumerate(scores.items())
+    ]
+    best = F.greatest(*scored)
+    return F.when(best["score"] > 0, best["label"]).otherwise(default)
 
 
 def labels(text: Column, label_rules=r.LABEL_RULES, order=r.LABELS) -> Column:
-    """All labels of a note, best first, by weighted phrases."""
+    """The label of a note by weighted phrases, as an array of one."""
     lowered = F.lower(text)
     scores = {
         name: _hits(lowered, [(p, w) for label, p, w in label_rules if label == name]) for name in order
     }
-    return F.when(text.isNotNull(), _ranked_labels(scores, order[-1]))
+    return F.when(text.isNotNull(), F.array(_best_label(scores, order[-1])))
 
 
 def described_terms(descriptions: dict[str, str], stop_words=r.DESCRIPTION_STOP_WORDS) -> dict[str, list[str]]:
@@ -54,17 +52,17 @@ def described_terms(descriptions: dict[str, str], stop_words=r.DESCRIPTION_STOP_
 
 
 def labels_by_description(text: Column, descriptions=v.LABEL_DESCRIPTIONS, order=r.LABELS) -> Column:
-    """All labels of a note, best first, by words shared with the label's description."""
+    """The label of a note by words shared with the label's description, as an array of one."""
     words = tokens(text)
     terms = described_terms(descriptions)
     scores = {
         name: F.size(F.array_intersect(words, F.array(*[F.lit(t) for t in terms[name]]))) for name in order
     }
-    return F.when(text.isNotNull(), _ranked_labels(scores, order[-1]))
+    return F.when(text.isNotNull(), F.array(_best_label(scores, order[-1])))
 
 
 def classify(df: DataFrame, text: str, column: Column | None = None) -> DataFrame:
-    """Add ``classification``, the first of the note's labels."""
+    """Add ``classification``, the first element of the note's label array."""
     found = labels(F.col(text)) if column is None else column
     return df.withColumn("classification", F.get(found, F.lit(0)))
 

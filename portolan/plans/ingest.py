@@ -133,6 +133,25 @@ def event_properties(spark, sf_dir):
     return json_files.variant_columns(events, {"k": "int", "missing": "string"})
 
 
+@query("I8", q.query(
+    f"""SELECT transaction_id, 0 AS element, booking_branch, {q.dbl('amount')} AS amount FROM trades
+        UNION ALL SELECT transaction_id, 1, currency_code, NULL FROM trades""", "trades"))
+def results_of_json_responses(spark, sf_dir):
+    """Response texts ``{"results": [..]}``: parse, flatten, and cast where the text fits."""
+    trades = bridge.trades(spark, sf_dir)
+    hits = F.array(
+        F.struct(F.col("booking_branch").alias("place"), F.col("amount").cast("string").alias("amount")),
+        F.struct(F.col("currency_code").alias("place"), F.lit("n/a").alias("amount")),
+    )
+    responses = trades.select("transaction_id", F.to_json(F.struct(hits.alias("results"))).alias("response"))
+    results = json_files.explode_json_array(responses, "response", "$.results")
+    return results.select(
+        "transaction_id", "element",
+        F.try_variant_get("payload", "$.place", "string").alias("booking_branch"),
+        F.try_variant_get("payload", "$.amount", "string").try_cast("decimal(18,2)").alias("amount"),
+    )
+
+
 _BAD_DEAL = "company_size = '大手' AND region = '海外'"
 
 

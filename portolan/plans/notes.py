@@ -11,6 +11,8 @@ from portolan.operators import reports, search, triage
 from portolan.plans import sql as q
 from portolan.plans.registry import query
 from portolan.session import scratch_dir
+from portolan.sources.spread import spread
+from portolan.streaming.index import refresh_index
 
 # The oracle joins distinct notes to rule tables instead of scoring row by row.
 _NOTES = "(SELECT DISTINCT free_text_notes AS note FROM trades)"
@@ -140,7 +142,7 @@ def _search_sql(*args, **kwargs) -> str:
 _FIRST, _SECOND = "suspicious compliance review", "urgent expedited settlement year-end"
 
 
-@query("M9 I8", _search_sql(
+@query("M9", _search_sql(
     "trades", "transaction_id", "free_text_notes", _FIRST.split(), 10,
     f"transaction_type, booking_branch, {q.dbl('amount')} AS amount"))
 def note_search_suspicious(spark, sf_dir):
@@ -180,7 +182,7 @@ _DOC_QUERY = "erthen thatou inerre the"
 @query("M9 M12", "WITH " + _bm25_sql("documents", "doc_id", "text", _DOC_QUERY.split(), 20))
 def document_search(spark, sf_dir):
     """Whole documents: build the index in two batches, query it, fetch the texts of the hits."""
-    docs = bridge.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = spread(bridge.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     path = scratch_dir(spark, "index")
     search.write_index(docs.where(F.col("lang") == "en"), "doc_id", "text", path, batch="en")
     search.write_index(docs.where(F.col("lang") != "en"), "doc_id", "text", path, batch="other")
@@ -189,6 +191,26 @@ def document_search(spark, sf_dir):
     return docs.drop("lang").join(F.broadcast(hits), "doc_id").select("doc_id", "text", "score")
 
 
+@query("M12 J1", q.query(
+    f"""SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS occurrences, CAST(max(tf) AS BIGINT) AS max_tf
+        FROM (SELECT conv_id, turn, term, count(*) AS tf FROM (SELECT conv_id, turn,
+              unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM conversations)
+              WHERE term <> '' GROUP BY ALL) GROUP BY term"""))
+def index_terms_after_refresh(spark, sf_dir):
+    """Documents arrive in two waves; a refresh after each indexes only the new ones."""
+    base = scratch_dir(spark, "refresh")
+    turns = bridge.table(spark, sf_dir, "conversations").select(
+        F.concat_ws("/", "conv_id", "turn").alias("doc"), "role", "text"
+    )
+    for wave in (turns.where(F.col("role") == "user"), turns.where(~F.col("role").eqNullSafe("user"))):
+        wave.write.mode("append").parquet(f"{base}/source")
+        refresh_index(spark, f"{base}/source", turns.schema, "doc", "text", f"{base}/index", f"{base}/checkpoint")
+    all_postings, _ = search.read_index(spark, f"{base}/index")
+    return all_postings.groupBy("term").agg(
+        F.count("*").alias("df"), F.sum("tf").alias("occurrences"), F.max("tf").alias("max_tf")
+    )
+
+
 @query("M10", """SELECT vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[],
     (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 7)), 6) AS similarity
     FROM embeddings WHERE vec_id <> 7 ORDER BY similarity DESC, vec_id LIMIT 10""")

@@ -6,20 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def explode_json_array(rows: DataFrame, text: str) -> DataFrame:
+def explode_json_array(rows: DataFrame, text: str, path: str = "$") -> DataFrame:
     """One row per element of the JSON array in a text column; other columns are kept.
 
-    A single object counts as an array of one.  Text that is not JSON gives no row; see
-    ``invalid_json``.
+    ``path`` names an array inside the document.  A single object counts as an array of
+    one.  Text that is not JSON gives no row; see ``invalid_json``.
     """
-    parsed = rows.where(F.trim(text) != "").withColumn("__doc", F.try_parse_json(text))
+    doc = F.try_variant_get(F.try_parse_json(text), path, "variant")
+    parsed = rows.where(F.trim(text) != "").withColumn("__doc", doc)
+    single = F.schema_of_variant("__doc").startswith("OBJECT")
     wrapped = parsed.withColumn(
         "__doc",
-        F.when(F.schema_of_variant("__doc").startswith("OBJECT"), F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))))
-        .otherwise(F.col("__doc")),
+        F.when(single, F.try_parse_json(F.concat(F.lit("["), F.to_json("__doc"), F.lit("]")))).otherwise(F.col("__doc")),
     )
-    spark = rows.sparkSession
-    elements = spark.tvf.variant_explode(F.col("__doc").outer())
+    elements = rows.sparkSession.tvf.variant_explode(F.col("__doc").outer())
     keep = [c for c in rows.columns if c != text]
     return wrapped.lateralJoin(elements).select(
         *keep, F.col("pos").alias("element"), F.col("value").alias("payload")

@@ -1,0 +1,18 @@
+"""Spreading unsplittable inputs over the cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, least: int = 2) -> DataFrame:
+    """Redistribute rows ahead of costly per-row work if the input has too few splits.
+
+    A single row group or compressed file is one task however many cores there are.
+    Inputs with at least ``1/least`` splits per core are left alone, so a large table is
+    never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * least > cores:
+        return df
+    return df.repartition(cores)
