@@ -26,10 +26,11 @@ def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
 def share_of_total(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
     """Count per key and its share of all rows in percent, one decimal.
 
-    The total is a scalar subquery over the grouped counts, so no task sees all groups.
+    The total is a scalar subquery that counts rows and reads no column, so there may be
+    any number of groups and no task sees them all.
     """
     counts = df.groupBy(key).agg(F.count("*").alias("deal_count"), *aggregates)
-    total = counts.agg(F.sum("deal_count")).scalar()
+    total = df.agg(F.count("*")).scalar()
     return counts.withColumn("pct", percent(F.col("deal_count"), total))
 
 

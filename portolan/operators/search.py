@@ -92,12 +92,18 @@ def scan_search(docs: DataFrame, key: str, text: str, query: str, k: int, *keep:
     figures and each task keeps its ``k`` best rows, so documents are never shuffled.
     """
     terms = token_list(query)
-    counted = docs.where(F.col(text).isNotNull()).select(
-        key, text, *keep, tokens(F.col(text)).alias("words")
-    ).select(
-        key, text, *keep, F.size("words").alias("doc_length"),
+    # The one-element explode keeps the counting in one place of the plan; a projection
+    # would be copied into the filter and the score.
+    counts = F.struct(
+        F.size("words").alias("doc_length"),
         *[_occurrences("words", t).alias(f"tf_{i}") for i, t in enumerate(terms)],
     )
+    counted = (
+        docs.where(F.col(text).isNotNull())
+        .select(key, text, *keep, tokens(F.col(text)).alias("words"))
+        .select(key, text, *keep, F.explode(F.array(counts)).alias("counts"))
+        .select(key, text, *keep, "counts.*")
+    )
     corpus = counted.agg(
         F.struct(
             F.count("*").alias("n"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portolan.functions import rules as r
@@ -68,10 +68,13 @@ def classify(df: DataFrame, text: str, column: Column | None = None) -> DataFram
 
 
 def label_shares(df: DataFrame, text: str) -> DataFrame:
-    """Rows per label and percent; equal notes are counted first, then read once."""
+    """Rows per label and percent; equal notes are counted first, then read once.
+
+    The unpartitioned window sees one row per label, a handful by construction.
+    """
     per_text = df.groupBy(text).agg(F.count("*").alias("n"))
     counts = classify(per_text, text).groupBy("classification").agg(F.sum("n").alias("cnt"))
-    total = counts.agg(F.sum("cnt")).scalar()
+    total = F.sum("cnt").over(Window.partitionBy())
     return counts.withColumn("pct", percent(F.col("cnt"), total))
 
 

@@ -29,8 +29,10 @@ def test_no_cross_join_and_no_unbounded_window(name, spark, data):
     plan = plan_of(REGISTRY[name].run(spark, data))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "CollectLimit" not in plan
-    # One row per calendar month is all an unpartitioned window ever sees.
-    assert ("Window (" not in plan) or name == "monthly_won_running_total"
+    # One row per calendar month or per label is all an unpartitioned window ever sees.
+    assert ("Window (" not in plan) or name in (
+        "monthly_won_running_total", "label_shares_of_sample"
+    )
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
@@ -66,3 +68,31 @@ def test_transfers_keep_malformed_payload_rows_apart(spark):
     frame = spark.createDataFrame([("<Document><a></Document>",), ("no xml",), (None,)], "payload string")
     parsed = messages.parse(frame)
     assert messages.transfers(parsed).count() == 0 and messages.unreadable(parsed).count() == 3
+
+
+def test_hot_customer_is_split_in_the_join(spark, data):
+    """A customer with a third of all trades does not end up in one task."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "24",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, value in settings.items():
+        spark.conf.set(k, value)
+    try:
+        trades = bridge.trades(spark, "/root/testdata/sf0.01")
+        hot = trades.withColumn(
+            "customer_id", F.when(F.xxhash64("transaction_id") % 3 == 0, 7).otherwise(F.col("customer_id"))
+        )
+        hot = hot.repartition(8)
+        joined = layers.harmonized_trades(hot, bridge.customers(spark, data))
+        assert len(joined.collect()) == hot.count()
+        assert "SortMergeJoin(skew=true) LeftOuter" in plan_of(joined, "simple")
+    finally:
+        for k, value in old.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
