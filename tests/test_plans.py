@@ -92,7 +92,7 @@ def test_hot_customer_is_split_in_the_join(spark, data):
         hot = hot.repartition(8)
         joined = layers.harmonized_trades(hot, bridge.customers(spark, data))
         assert len(joined.collect()) == hot.count()
-        assert "SortMergeJoin(skew=true) LeftOuter" in plan_of(joined, "simple")
+        assert "SortMergeJoin(skew=true) LeftOuter" in plan_of(joined)
     finally:
         for k, value in old.items():
             spark.conf.unset(k) if value is None else spark.conf.set(k, value)
