@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOKEN_SEPARATOR = "[^a-z0-9]+"
+# A run of ASCII letters and digits, or one kana or Chinese character: Japanese is
+# written without spaces, so its characters are matched one by one.
+TOKEN = "[a-z0-9]+|[\u3040-\u30ff\u4e00-\u9fff]"
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased runs of ASCII letters and digits, in order."""
-    return F.array_remove(F.split(F.lower(text), TOKEN_SEPARATOR), "")
+    """Tokens of the lower-cased text, in order."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
 def token_list(text: str) -> list[str]:
-    """The same split for a short query string on the driver, without repeats."""
-    import re
-
-    return list(dict.fromkeys(t for t in re.split(TOKEN_SEPARATOR, text.lower()) if t))
+    """The same for a short query string on the driver, without repeats."""
+    return list(dict.fromkeys(re.findall(TOKEN, text.lower())))

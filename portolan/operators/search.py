@@ -1,7 +1,7 @@
 """Ranked text search (BM25) and vector search.
 
-Index: one posting per (term, document) with term frequency and document length, plus
-one length row per document.  A query reads only the postings of its own terms.
+Index: one posting per (term, document) with term frequency and document length, and one
+per document under the empty term.  A query reads only the postings of its own terms.
 """
 
 from __future__ import annotations
@@ -16,8 +16,12 @@ from portolan.functions.text import token_list, tokens
 K1, B = 1.2, 0.75
 
 
+# The posting every document has, so that the index also lists documents without tokens.
+EVERY_DOCUMENT = ""
+
+
 def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(term, key, doc_length, tf).
+    """(term, key, doc_length, tf), in one pass over the documents.
 
     Grouping by term and document spreads a term that is in every document over all
     tasks, and all tokens of one document are combined before the shuffle.
@@ -26,16 +30,15 @@ def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     return (
         docs.where(F.col(text).isNotNull())
         .select(F.col(key), words.alias("words"))
-        .select(key, F.size("words").alias("doc_length"), F.explode("words").alias("term"))
+        .select(
+            key, F.size("words").alias("doc_length"),
+            F.explode(F.array_append("words", EVERY_DOCUMENT)).alias("term"),
+        )
         .groupBy("term", key, "doc_length")
         .agg(F.count("*").alias("tf"))
     )
 
 
-def lengths(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.where(F.col(text).isNotNull()).select(key, F.size(tokens(F.col(text))).alias("doc_length"))
-
-
 def write_index(docs: DataFrame, key: str, text: str, path: str, batch: str) -> None:
     """Write one batch of the index; writing the same batch again replaces it.
 
@@ -47,13 +50,12 @@ def write_index(docs: DataFrame, key: str, text: str, path: str, batch: str) ->
         .repartitionByRange("term", key)
         .sortWithinPartitions("term", key)
         .write.mode("overwrite")
-        .parquet(f"{path}/postings/batch={batch}")
+        .parquet(f"{path}/batch={batch}")
     )
-    lengths(docs, key, text).write.mode("overwrite").parquet(f"{path}/lengths/batch={batch}")
 
 
-def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths")
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def _bm25(tf: Column, doc_length: Column, df: Column, n: Column, mean_length: Column) -> Column:
@@ -61,14 +63,12 @@ def _bm25(tf: Column, doc_length: Column, df: Column, n: Column, mean_length: Co
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * doc_length / mean_length))
 
 
-def search(index: tuple[DataFrame, DataFrame], key: str, query: str, k: int) -> DataFrame:
+def search(index: DataFrame, key: str, query: str, k: int) -> DataFrame:
     """The ``k`` best documents for a query: (key, score), ties by key."""
-    all_postings, all_lengths = index
-    terms = token_list(query)
-    hits = all_postings.where(F.col("term").isin(*terms))
+    hits = index.where(F.col("term").isin(*token_list(query)))
     # At most one row per query term.
     term_stats = hits.groupBy("term").agg(F.count("*").alias("df"))
-    corpus = all_lengths.agg(
+    corpus = index.where(F.col("term") == EVERY_DOCUMENT).agg(
         F.struct(F.count("*").alias("n"), F.avg("doc_length").alias("mean_length"))
     ).scalar()
     score = _bm25(F.col("tf"), F.col("doc_length"), F.col("df"), corpus["n"], corpus["mean_length"])

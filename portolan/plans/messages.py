@@ -12,7 +12,6 @@ from portolan.plans.notes import RISK_SQL
 from portolan.plans.registry import query
 from portolan.session import scratch_dir
 from portolan.sources import xml_files
-from portolan.sources.spread import spread
 
 _TRANSFER_SQL = f"""transaction_id AS msg_id, 'E2E-' || customer_id AS end_to_end_id,
     {q.dbl('amount')} AS settlement_amount, currency_code AS currency, 'Debtor ' || customer_id AS debtor_name,
@@ -21,11 +20,11 @@ _REMITTANCE = "CASE WHEN instrument_type <> 'LC' THEN free_text_notes END"
 
 
 def _transfers(spark, sf_dir):
-    return messages.parse(spread(bridge.credit_transfer_xml(bridge.trades(spark, sf_dir))))
+    return messages.parse(bridge.credit_transfer_xml(bridge.trades(spark, sf_dir, costly=True)))
 
 
 def _statements(spark, sf_dir):
-    return messages.parse(spread(bridge.statement_xml(spark, sf_dir)))
+    return messages.parse(bridge.statement_xml(spark, sf_dir))
 
 
 @query("I4 I2", q.query(
@@ -106,9 +105,9 @@ def remittance_red_flags(spark, sf_dir):
 def xml_files_loaded(spark, sf_dir):
     """Write message files below three folders, load them all, and total them by type."""
     landing = scratch_dir(spark, "xml")
-    transfers = spread(bridge.credit_transfer_xml(bridge.trades(spark, sf_dir)))
+    transfers = bridge.credit_transfer_xml(bridge.trades(spark, sf_dir, costly=True))
     transfers.write.text(f"{landing}/PACS_008")
-    spread(bridge.statement_xml(spark, sf_dir)).write.text(f"{landing}/camt_053")
+    bridge.statement_xml(spark, sf_dir).write.text(f"{landing}/camt_053")
     transfers.write.text(f"{landing}/other")
 
     loaded = xml_files.load_xml_messages(spark, landing).withColumn(

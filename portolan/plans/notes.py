@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from portolan import bridge
 from portolan.functions import rules as r
 from portolan.functions import values as v
+from portolan.functions.text import TOKEN, token_list
 from portolan.operators import reports, search, triage
 from portolan.plans import sql as q
 from portolan.plans.registry import query
 from portolan.session import scratch_dir
-from portolan.sources.spread import spread
 from portolan.streaming.index import refresh_index
 
 # The oracle joins distinct notes to rule tables instead of scoring row by row.
@@ -24,7 +24,7 @@ _LABEL_SQL = f"""SELECT note, coalesce(arg_min(label, -1000 * score + rank), '{r
 _TERMS = [(label, t) for label, terms in triage.described_terms(v.LABEL_DESCRIPTIONS).items() for t in terms]
 _DESCRIBED_SQL = f"""SELECT note, coalesce(arg_min(label, -1000 * score + rank), '{r.LABELS[-1]}') AS classification
     FROM (SELECT note, label, count(DISTINCT term) AS score, min({_ORDER}) AS rank
-          FROM (SELECT note, unnest(regexp_split_to_array(lower(note), '[^a-z0-9]+')) AS word FROM {_NOTES})
+          FROM (SELECT note, unnest(regexp_extract_all(lower(note), '{TOKEN}')) AS word FROM {_NOTES})
           LEFT JOIN (VALUES {q.rows(_TERMS)}) AS t(label, term) ON word = term
           GROUP BY note, label) GROUP BY note"""
 _SIGNED = [(p, 1, 0) for p in r.POSITIVE_PHRASES] + [(p, 0, 1) for p in r.NEGATIVE_PHRASES]
@@ -43,7 +43,7 @@ _PCT = "((2000 * sum(n) + sum(sum(n)) OVER ()) // (2 * sum(sum(n)) OVER ())) / 1
     f"""SELECT transaction_id, free_text_notes, classification FROM trades
         JOIN ({_LABEL_SQL}) ON note = free_text_notes""", "trades"))
 def classified_notes(spark, sf_dir):
-    df = bridge.trades(spark, sf_dir).select("transaction_id", "free_text_notes")
+    df = bridge.trades(spark, sf_dir, costly=True).select("transaction_id", "free_text_notes")
     return triage.classify(df, "free_text_notes")
 
 
@@ -51,7 +51,7 @@ def classified_notes(spark, sf_dir):
     f"""SELECT transaction_id, free_text_notes, classification FROM trades
         JOIN ({_DESCRIBED_SQL}) ON note = free_text_notes""", "trades"))
 def classified_notes_by_description(spark, sf_dir):
-    df = bridge.trades(spark, sf_dir).select("transaction_id", "free_text_notes")
+    df = bridge.trades(spark, sf_dir, costly=True).select("transaction_id", "free_text_notes")
     return triage.classify(df, "free_text_notes", triage.labels_by_description(F.col("free_text_notes")))
 
 
@@ -122,8 +122,7 @@ def _bm25_sql(source: str, key: str, text: str, terms: list[str], k: int, keep:
     """BM25 over ``source`` by unnesting every token and joining the counts."""
     keep_sql = f", {keep}" if keep else ""
     wanted = ", ".join(f"'{t}'" for t in terms)
-    return f"""tok AS (SELECT k, term FROM (SELECT {key} AS k,
-                unnest(regexp_split_to_array(lower({text}), '[^a-z0-9]+')) AS term FROM {source}) WHERE term <> ''),
+    return f"""tok AS (SELECT {key} AS k, unnest(regexp_extract_all(lower({text}), '{TOKEN}')) AS term FROM {source}),
         len AS (SELECT d.{key} AS k, count(t.term) AS dl FROM {source} d LEFT JOIN tok t ON t.k = d.{key} GROUP BY 1),
         corpus AS (SELECT count(*) AS n, avg(dl) AS mean_length FROM len),
         tf AS (SELECT k, term, count(*) AS tf FROM tok WHERE term IN ({wanted}) GROUP BY k, term),
@@ -147,7 +146,7 @@ _FIRST, _SECOND = "suspicious compliance review", "urgent expedited settlement y
     f"transaction_type, booking_branch, {q.dbl('amount')} AS amount"))
 def note_search_suspicious(spark, sf_dir):
     return search.scan_search(
-        bridge.trades(spark, sf_dir), "transaction_id", "free_text_notes", _FIRST, 10,
+        bridge.trades(spark, sf_dir, costly=True), "transaction_id", "free_text_notes", _FIRST, 10,
         "transaction_type", "booking_branch", "amount",
     )
 
@@ -157,7 +156,7 @@ def note_search_suspicious(spark, sf_dir):
     f"booking_branch, {q.dbl('amount')} AS amount"))
 def note_search_urgent(spark, sf_dir):
     return search.scan_search(
-        bridge.trades(spark, sf_dir), "transaction_id", "free_text_notes", _SECOND, 10,
+        bridge.trades(spark, sf_dir, costly=True), "transaction_id", "free_text_notes", _SECOND, 10,
         "booking_branch", "amount",
     )
 
@@ -176,26 +175,35 @@ def note_search_recent_exports(spark, sf_dir):
     return search.scan_search(recent, "transaction_id", "free_text_notes", _SECOND, 10, "booking_branch")
 
 
+_JAPANESE = "制裁リスト 緊急"
+
+
+@query("M9", _search_sql("trades", "transaction_id", "free_text_notes", token_list(_JAPANESE), 10, "booking_branch"))
+def note_search_japanese(spark, sf_dir):
+    return search.scan_search(
+        bridge.trades(spark, sf_dir, costly=True), "transaction_id", "free_text_notes", _JAPANESE, 10, "booking_branch"
+    )
+
+
 _DOC_QUERY = "erthen thatou inerre the"
 
 
 @query("M9 M12", "WITH " + _bm25_sql("documents", "doc_id", "text", _DOC_QUERY.split(), 20))
 def document_search(spark, sf_dir):
-    """Whole documents: build the index in two batches, query it, fetch the texts of the hits."""
-    docs = spread(bridge.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    """Whole documents: build the index, query it, fetch the texts of the hits."""
+    docs = bridge.table(spark, sf_dir, "documents", costly=True).select("doc_id", "text")
     path = scratch_dir(spark, "index")
-    search.write_index(docs.where(F.col("lang") == "en"), "doc_id", "text", path, batch="en")
-    search.write_index(docs.where(F.col("lang") != "en"), "doc_id", "text", path, batch="other")
+    search.write_index(docs, "doc_id", "text", path, batch="all")
     hits = search.search(search.read_index(spark, path), "doc_id", _DOC_QUERY, 20)
     # Twenty rows by construction.
-    return docs.drop("lang").join(F.broadcast(hits), "doc_id").select("doc_id", "text", "score")
+    return docs.join(F.broadcast(hits), "doc_id").select("doc_id", "text", "score")
 
 
 @query("M12 J1", q.query(
     f"""SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS occurrences, CAST(max(tf) AS BIGINT) AS max_tf
         FROM (SELECT conv_id, turn, term, count(*) AS tf FROM (SELECT conv_id, turn,
-              unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM conversations)
-              WHERE term <> '' GROUP BY ALL) GROUP BY term"""))
+              unnest(regexp_extract_all(lower(text), '{TOKEN}')) AS term FROM conversations)
+              GROUP BY ALL) GROUP BY term"""))
 def index_terms_after_refresh(spark, sf_dir):
     """Documents arrive in two waves; a refresh after each indexes only the new ones."""
     base = scratch_dir(spark, "refresh")
@@ -205,8 +213,8 @@ def index_terms_after_refresh(spark, sf_dir):
     for wave in (turns.where(F.col("role") == "user"), turns.where(~F.col("role").eqNullSafe("user"))):
         wave.write.mode("append").parquet(f"{base}/source")
         refresh_index(spark, f"{base}/source", turns.schema, "doc", "text", f"{base}/index", f"{base}/checkpoint")
-    all_postings, _ = search.read_index(spark, f"{base}/index")
-    return all_postings.groupBy("term").agg(
+    index = search.read_index(spark, f"{base}/index")
+    return index.where(F.col("term") != search.EVERY_DOCUMENT).groupBy("term").agg(
         F.count("*").alias("df"), F.sum("tf").alias("occurrences"), F.max("tf").alias("max_tf")
     )
 

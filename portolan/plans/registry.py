@@ -34,7 +34,7 @@ def portable(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, DateType):
             col = col.cast("string")
         elif isinstance(field.dataType, (TimestampType, TimestampNTZType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+            col = F.substring(col.cast("string"), 1, 19)
         out.append(col.alias(field.name))
     return df.select(*out)
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from portolan import bridge
 from portolan.functions import rules, values as v
 from portolan.functions.columns import money_text, percent, try_typed
-from portolan.functions.text import token_list
+from portolan.functions.text import TOKEN, token_list
 from portolan.operators import governance as g
 from portolan.operators import joins, layers, metrics, reports, search, triage, versions
 from portolan.streaming import incremental
@@ -60,23 +61,21 @@ def _bm25(docs, query):
 
 
 def token_list_with_repeats(text):
-    import re
-
-    return [t for t in re.split("[^a-z0-9]+", text.lower()) if t]
+    return re.findall(TOKEN, text.lower())
 
 
 def test_search_against_brute_force(spark, tmp_path):
     rng = random.Random(3)
-    docs = {i: " ".join(rng.choices(["alpha", "beta", "Gamma", "delta", "x1"], k=rng.randint(0, 12))) for i in range(60)}
+    docs = {i: " ".join(rng.choices(["alpha", "beta", "Gamma", "delta", "x1", "決済"], k=rng.randint(0, 12))) for i in range(60)}
     frame = spark.createDataFrame(list(docs.items()), "id bigint, text string")
-    expected = _bm25(docs, "alpha GAMMA nothing")[:15]
-    scanned = search.scan_search(frame, "id", "text", "alpha GAMMA nothing", 15).collect()
+    expected = _bm25(docs, "alpha GAMMA 済 nothing")[:15]
+    scanned = search.scan_search(frame, "id", "text", "alpha GAMMA 済 nothing", 15).collect()
     assert [(-r.score, r.id) for r in scanned] == expected
     path = str(tmp_path / "index")
     search.write_index(frame.where("id < 40"), "id", "text", path, "a")
     search.write_index(frame.where("id >= 40"), "id", "text", path, "b")
     search.write_index(frame.where("id >= 40"), "id", "text", path, "b")  # the same batch again
-    found = search.search(search.read_index(spark, path), "id", "alpha GAMMA nothing", 15).collect()
+    found = search.search(search.read_index(spark, path), "id", "alpha GAMMA 済 nothing", 15).collect()
     assert [(-r.score, r.id) for r in found] == expected
 
 
