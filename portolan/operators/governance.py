@@ -7,6 +7,7 @@ views and the user's query on top.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -133,13 +134,9 @@ PHONE = r"^[+]?[0-9][0-9()-]{7,}[0-9]$"
 NAME_WORDS = v.FAMILY_NAMES_JA + v.GIVEN_NAMES_JA + v.GIVEN_NAMES_EN + v.FAMILY_NAMES_EN
 
 
-def _looks_like(col: Column, name_words: list[str]) -> dict[str, Column]:
-    words = F.split(col, " ")
-    return {
-        "EMAIL": col.rlike(EMAIL),
-        "NAME": (F.size(words) >= 2) & F.forall(words, lambda w: w.isin(*name_words)),
-        "PHONE_NUMBER": col.rlike(PHONE),
-    }
+def _patterns(name_words: list[str]) -> dict[str, str]:
+    word = "(?:" + "|".join(re.escape(w) for w in name_words) + ")"
+    return {"EMAIL": EMAIL, "NAME": f"^{word}(?: {word})+$", "PHONE_NUMBER": PHONE}
 
 
 def detect_pii(df: DataFrame, threshold: float = 0.8, name_words: list[str] = NAME_WORDS) -> DataFrame:
@@ -150,9 +147,9 @@ def detect_pii(df: DataFrame, threshold: float = 0.8, name_words: list[str] = NA
     text_columns = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
     rates, rows = [], []
     for i, name in enumerate(text_columns):
-        for category, matches in _looks_like(F.col(f"`{name}`"), name_words).items():
+        for category, pattern in _patterns(name_words).items():
             alias = f"r{i}_{category}"
-            rates.append(F.avg(matches.cast("double")).alias(alias))
+            rates.append(F.avg(F.col(f"`{name}`").rlike(pattern).cast("double")).alias(alias))
             rows.append(
                 F.struct(F.lit(name).alias("column_name"), F.lit(category).alias("semantic_category"),
                          F.lit("IDENTIFIER").alias("privacy_category"), F.col(alias).alias("match_rate"))
