@@ -141,3 +141,33 @@ LARGE_VALUE_AT_LEAST = 1_000_000_000
 LARGE_VALUE_FLAG = "LARGE_VALUE_ALERT"
 PII_TAG_VALUES = ["NAME", "EMAIL", "PHONE"]
 AMOUNT_TAG_VALUES = ["TRADE_AMOUNT", "DEAL_AMOUNT"]
+
+# --- fixed values: synonyms of dimensions and metrics --------------------------------
+TRADE_SYNONYMS = {
+    "customer_id": ("顧客ID", "customer"),
+    "customer_region": ("顧客リージョン", "地域", "region"),
+    "customer_segment": ("セグメント", "segment", "顧客種別"),
+    "risk_rating": ("リスク格付", "risk", "リスク"),
+    "counterparty_country": ("相手国", "取引先国", "counterparty"),
+    "transaction_type": ("取引種別", "種別", "type"),
+    "currency_code": ("通貨", "currency", "為替"),
+    "booking_branch": ("拠点", "支店", "branch", "オフィス"),
+    "instrument_type": ("取引手段", "instrument"),
+    "trade_date": ("取引日", "日付", "date"),
+    "trade_year": ("年", "year"),
+    "trade_month": ("月", "month"),
+    "total_trade_amount": ("取引総額", "総額", "total amount", "売上"),
+    "trade_count": ("取引件数", "件数", "count", "取引数"),
+    "avg_trade_amount": ("平均取引額", "平均額", "average"),
+}
+SALES_SYNONYMS = {
+    "sales_rep": ("営業担当", "担当者", "rep"),
+    "industry": ("業種", "industry", "業界"),
+    "company_size": ("企業規模", "size", "規模"),
+    "stage": ("ステージ", "stage", "案件状態", "フェーズ"),
+    "region": ("営業地域", "地域", "area"),
+    "expected_close_date": ("受注予定日", "close date"),
+    "total_pipeline": ("パイプライン総額", "pipeline", "見込み総額"),
+    "deal_count": ("案件数", "deals", "案件件数"),
+    "win_rate": ("受注率", "win rate", "成約率"),
+}

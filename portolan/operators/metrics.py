@@ -5,7 +5,7 @@ A metric query names metrics, dimensions and filters; it becomes one ``groupBy()
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,6 @@ class Entity:
     # Metrics that add amounts of several currencies unless grouped by this dimension.
     per_currency: tuple[str, ...] = ()
     currency: str | None = None
-    table_names: tuple[str, ...] = field(default_factory=tuple)
 
 
 class AmbiguousName(ValueError):
@@ -51,26 +50,9 @@ def entities() -> dict[str, Entity]:
                 "trade_count": F.count("transaction_id"),
                 "avg_trade_amount": F.avg("amount"),
             },
-            synonyms={
-                "customer_id": ("顧客ID", "customer"),
-                "customer_region": ("顧客リージョン", "地域", "region"),
-                "customer_segment": ("セグメント", "segment", "顧客種別"),
-                "risk_rating": ("リスク格付", "risk", "リスク"),
-                "counterparty_country": ("相手国", "取引先国", "counterparty"),
-                "transaction_type": ("取引種別", "種別", "type"),
-                "currency_code": ("通貨", "currency", "為替"),
-                "booking_branch": ("拠点", "支店", "branch", "オフィス"),
-                "instrument_type": ("取引手段", "instrument"),
-                "trade_date": ("取引日", "日付", "date"),
-                "trade_year": ("年", "year"),
-                "trade_month": ("月", "month"),
-                "total_trade_amount": ("取引総額", "総額", "total amount", "売上"),
-                "trade_count": ("取引件数", "件数", "count", "取引数"),
-                "avg_trade_amount": ("平均取引額", "平均額", "average"),
-            },
+            synonyms=v.TRADE_SYNONYMS,
             per_currency=("total_trade_amount", "avg_trade_amount"),
             currency="currency_code",
-            table_names=("取引", "貿易", "trade", "transactions", "送金"),
         ),
         "corporate_sales": Entity(
             dimensions=plain("deal_id", "sales_rep", "industry", "company_size", "stage", "region",
@@ -81,18 +63,7 @@ def entities() -> dict[str, Entity]:
                 "win_rate": safe_ratio(won, closed),
                 "open_balance": F.sum(F.when(still_open, F.col("opportunity_amount"))),
             },
-            synonyms={
-                "sales_rep": ("営業担当", "担当者", "rep"),
-                "industry": ("業種", "業界"),
-                "company_size": ("企業規模", "size", "規模"),
-                "stage": ("ステージ", "案件状態", "フェーズ"),
-                "region": ("営業地域", "地域", "area"),
-                "expected_close_date": ("受注予定日", "close date"),
-                "total_pipeline": ("パイプライン総額", "pipeline", "見込み総額"),
-                "deal_count": ("案件数", "deals", "案件件数"),
-                "win_rate": ("受注率", "win rate", "成約率"),
-            },
-            table_names=("営業", "案件", "sales", "deals", "パイプライン"),
+            synonyms=v.SALES_SYNONYMS,
         ),
     }
 

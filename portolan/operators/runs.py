@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from portolan.operators.reports import top
 
-def run_history(log: DataFrame, since: str) -> DataFrame:
-    """Runs scheduled from a time on, with their outcome."""
-    return log.where(F.col("scheduled_time") >= F.lit(since).cast("timestamp_ntz")).select(
+
+def latest_runs(log: DataFrame, since: str, n: int) -> DataFrame:
+    """The last ``n`` runs scheduled from a time on, with their outcome."""
+    recent = log.where(F.col("scheduled_time") >= F.lit(since).cast("timestamp_ntz"))
+    return top(recent, n, F.desc("completed_time"), F.desc("run_id")).select(
         "name", "state", "scheduled_time", "completed_time", "error_message"
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from portolan import bridge
-from portolan.operators import joins, layers, reports, runs
+from portolan.operators import joins, layers, runs
 from portolan.plans import sql as q
 from portolan.plans.registry import query
 from portolan.plans.trade import _DAILY_GROUP, _DAILY_SQL
@@ -112,12 +112,7 @@ _LOG_END = "2024-01-29 12:00:00"
         WHERE scheduled_time >= TIMESTAMP '2024-01-28 12:00:00'
         ORDER BY completed_time DESC, run_id DESC LIMIT 5""", "refresh_log"))
 def latest_runs(spark, sf_dir):
-    log = bridge.refresh_log(spark, sf_dir)
-    latest = reports.top(
-        log.where(F.col("scheduled_time") >= F.lit("2024-01-28 12:00:00").cast("timestamp_ntz")), 5,
-        F.desc("completed_time"), F.desc("run_id"),
-    )
-    return runs.run_history(latest, "2024-01-28 12:00:00")
+    return runs.latest_runs(bridge.refresh_log(spark, sf_dir), "2024-01-28 12:00:00", 5)
 
 
 @query("J8", q.query(

@@ -46,11 +46,16 @@ def load_json_array(spark: SparkSession, path: str, whole_file: bool = True) ->
 
 
 def load_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Load files with one JSON object per line, each kept as variant; files split."""
+    """Load files with one JSON object per line, each kept as variant; files split.
+
+    Lines that are not JSON are left out; ``invalid_json(spark.read.text(path), "value")``
+    lists them.
+    """
     return (
         spark.read.option("singleVariantColumn", "payload")
         .json(path)
         .select("payload", F.col("_metadata.file_path").alias("source_file"))
+        .where(F.col("payload").isNotNull())
         .withColumn("loaded_at", F.current_timestamp())
     )
 

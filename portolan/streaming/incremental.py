@@ -69,8 +69,9 @@ def read_daily_totals(spark: SparkSession, state: str) -> DataFrame:
 def compact_daily_totals(spark: SparkSession, state: str, compacted: str) -> None:
     """Write the current totals as the first delta of a new state folder.
 
-    Run it between updates and hand the new folder to the following ones, whose batch
-    ids go on from the same checkpoint.
+    Hand the new folder to the following updates, whose batch ids go on from the same
+    checkpoint.  Compact only after an update that ended well: a batch that was written
+    but not yet committed would be replayed into the new folder and count twice.
     """
     read_daily_totals(spark, state).write.mode("overwrite").parquet(f"{compacted}/deltas/batch_id=-1")
 
