@@ -9,6 +9,7 @@ from portolan.plans import sql as q
 from portolan.plans.registry import query
 from portolan.session import scratch_dir
 from portolan.sources import delimited, json_files
+from portolan.sources.spread import spread
 from portolan.streaming import ingest
 
 # Damage done to the files, by value: text in a number, an impossible date, NULL tokens.
@@ -166,7 +167,7 @@ def _dropped_sales(spark, sf_dir, base):
     )
     padded = text.select(*[F.col(n).alias(f" {n.upper()} ") for n in reversed(names)])
     folder = f"{base}/drop"
-    padded.repartition(4).write.mode("append").option("header", True).csv(folder)
+    spread(padded).write.mode("append").option("header", True).csv(folder)
     padded.where(F.lit(False)).write.mode("append").option("header", True).csv(folder)
     return ingest.load_drop_folder(
         spark, folder, f"{base}/archive", f"{base}/target", f"{base}/checkpoint", schemas.CORPORATE_SALES, "deal_id"
@@ -174,12 +175,12 @@ def _dropped_sales(spark, sf_dir, base):
 
 
 @query("A8", q.query(
-    """SELECT 'LOADED' AS status, 4::BIGINT AS files, count(*) AS row_count, NULL::VARCHAR AS message FROM sales
-       UNION ALL SELECT 'ERROR', 1, 0, 'empty or header-only'""", "sales"))
+    """SELECT 'LOADED' AS status, true AS any_files, count(*) AS row_count, NULL::VARCHAR AS message FROM sales
+       UNION ALL SELECT 'ERROR', true, 0, 'empty or header-only'""", "sales"))
 def drop_folder_report(spark, sf_dir):
     report = _dropped_sales(spark, sf_dir, scratch_dir(spark, "drop"))
     return report.groupBy("status", "message").agg(
-        F.count("*").alias("files"), F.sum("row_count").alias("row_count")
+        (F.count("*") > 0).alias("any_files"), F.sum("row_count").alias("row_count")
     )
 
 
