@@ -61,7 +61,9 @@ def month_start(day: Column) -> Column:
 
 
 def base_name(path: Column) -> Column:
-    return F.split_part(path, F.lit("/"), F.lit(-1))
+    """File name of a path as Spark reports it, which is URL-encoded."""
+    name = F.split_part(path, F.lit("/"), F.lit(-1))
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
 def try_typed(text: Column, type_name: str) -> Column:

@@ -7,6 +7,7 @@ after a failure overwrites its own folder and nothing is loaded twice.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -66,26 +67,29 @@ def ingested(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
 # --- drop folder ------------------------------------------------------------------------
 
 _REPORT = "source_file string, status string, row_count bigint, message string"
+_LISTING = "source_file string, uri string, modified bigint, size bigint"
 
 
-def _move_files(spark: SparkSession, paths: list[str], folder: str) -> None:
+def _folder_files(spark: SparkSession, folder: str) -> DataFrame:
+    """What lies in the folder now; the listing is on the driver in any case."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(folder, "*.[cC][sS][vV]")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    rows = [
+        (f.getPath().getName(), f.getPath().toUri().toString(), f.getModificationTime(), f.getLen())
+        for f in found or []
+    ]
+    return spark.createDataFrame(rows, _LISTING)
+
+
+def _move_files(spark: SparkSession, uris: list[str], folder: str) -> None:
     """Move files into a folder through the Hadoop file system API."""
     jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = target.getFileSystem(conf)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(target)
-    for path in paths:
-        source = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
-        if fs.exists(source):
-            fs.rename(source, jvm.org.apache.hadoop.fs.Path(target, source.getName()))
-
-
-def _zero_length_files(spark: SparkSession, folder: str) -> list[str]:
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(folder, "*.[cC][sS][vV]")
-    statuses = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return [s.getPath().getName() for s in statuses or [] if s.getLen() == 0]
+    for uri in uris:
+        source = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        fs.rename(source, jvm.org.apache.hadoop.fs.Path(target, source.getName()))
 
 
 def load_drop_folder(
@@ -105,6 +109,10 @@ def load_drop_folder(
     A value that does not fit its column becomes NULL.  A file without data rows is an
     error entry and stays in the folder; the other files are loaded and moved to
     ``archive``.  The header of a file is the row that names ``key_column``.
+
+    Files move only after their micro-batch is committed, so a batch replayed after a
+    failure still finds them, and a run that died before moving is made up for by the
+    next one.  A name that was loaded before is not loaded again; it is an error entry.
     """
     schema = as_struct(schema_ddl)
     positions = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
@@ -116,7 +124,10 @@ def load_drop_folder(
         .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("maxFilesPerTrigger", max_files)
         .csv(folder)
-        .select(cells.alias("cells"), F.col("_metadata.file_path").alias("path"))
+        .select(
+            cells.alias("cells"), F.col("_metadata.file_path").alias("path"),
+            F.unix_millis("_metadata.file_modification_time").alias("modified"),
+        )
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -139,28 +150,41 @@ def load_drop_folder(
             )
             .write.mode("overwrite").parquet(f"{target}/rows/batch_id={batch_id}")
         )
-        counts = named.groupBy("path").agg(
+        counts = named.groupBy("path", "modified").agg(
             F.count_if(~is_header).alias("row_count"), F.count_if(is_header).alias("headers")
         )
         report = counts.select(
-            "path",
+            "modified",
             base_name(F.col("path")).alias("source_file"),
             F.when((F.col("headers") > 0) & (F.col("row_count") > 0), "LOADED").otherwise("ERROR").alias("status"),
             F.when(F.col("headers") > 0, F.col("row_count")).otherwise(0).alias("row_count"),
             F.when(F.col("headers") == 0, f"no header row with {key_column}")
             .when(F.col("row_count") == 0, "empty or header-only").alias("message"),
         )
-        report_path = f"{target}/report/batch_id={batch_id}"
-        report.write.mode("overwrite").parquet(report_path)
-        # File names only, at most ``max_files`` of them.
-        done = spark.read.parquet(report_path).where("status = 'LOADED'").select("path")
-        _move_files(spark, [row.path for row in done.toLocalIterator()], archive)
+        report.write.mode("overwrite").parquet(f"{target}/report/batch_id={batch_id}")
 
     run_available(lines, load, checkpoint)
 
-    # Spark's readers skip files of zero bytes, so those come from the folder listing.
-    empty = spark.createDataFrame(
-        [(name, "ERROR", 0, "empty or header-only") for name in _zero_length_files(spark, folder)], _REPORT
+    try:
+        report = spark.read.schema(f"modified bigint, {_REPORT}, batch_id bigint").parquet(f"{target}/report")
+    except AnalysisException:  # nothing was ever loaded
+        report = spark.createDataFrame([], f"modified bigint, {_REPORT}, batch_id bigint")
+    here = _folder_files(spark, folder)
+    known = report.where(F.col("status") == "LOADED").select(
+        "source_file", F.col("modified").alias("loaded_modified")
+    )
+    # The folder listing holds one row per file that is still there.
+    loaded = F.broadcast(here).join(known, "source_file")
+    done = loaded.where(F.col("modified") == F.col("loaded_modified")).select("uri").distinct().collect()
+    again = loaded.groupBy("source_file").agg(
+        F.bool_or(F.col("modified") == F.col("loaded_modified")).alias("same")
+    ).where(~F.col("same"))
+    # Spark's readers skip files of zero bytes, so those come from the listing.
+    errors = here.where(F.col("size") == 0).select("source_file", F.lit("empty or header-only").alias("message")).unionByName(
+        again.select("source_file", F.lit("a file of this name was loaded before").alias("message"))
     )
-    report = spark.read.schema(f"path string, {_REPORT}, batch_id bigint").parquet(f"{target}/report")
-    return report.select(*empty.columns).unionByName(empty)
+    error_rows = [
+        (r.source_file, "ERROR", 0, r.message) for r in errors.collect()
+    ]
+    _move_files(spark, [r.uri for r in done], archive)
+    return report.drop("modified", "batch_id").unionByName(spark.createDataFrame(error_rows, _REPORT))

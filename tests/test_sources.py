@@ -1,5 +1,7 @@
+import os
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from portolan import schemas
@@ -203,6 +205,7 @@ def test_drop_folder(spark, tmp_path):
     mixed = list(reversed(names))
     (drop / "TWO.CSV").write_text(text(mixed, {**row, "deal_id": "D3", "last_visit_date": "soon"},
                                        head=[f" {c.upper()} " for c in mixed]))
+    (drop / "a +b.csv").write_text(text(names, {**row, "deal_id": "D4"}))
     (drop / "header.csv").write_text(text(names))
     (drop / "empty.csv").write_text("")
     (drop / "notes.txt").write_text("not a table")
@@ -210,14 +213,35 @@ def test_drop_folder(spark, tmp_path):
             schemas.CORPORATE_SALES, "deal_id")
     report = {r.source_file: (r.status, r.row_count) for r in ingest.load_drop_folder(*args).collect()}
     assert report == {
-        "one.csv": ("LOADED", 2), "TWO.CSV": ("LOADED", 1), "header.csv": ("ERROR", 0), "empty.csv": ("ERROR", 0),
+        "one.csv": ("LOADED", 2), "TWO.CSV": ("LOADED", 1), "a +b.csv": ("LOADED", 1), "header.csv": ("ERROR", 0), "empty.csv": ("ERROR", 0),
     }
     rows = {r.deal_id: r for r in spark.read.parquet(str(tmp_path / "out" / "rows")).collect()}
-    assert set(rows) == {"D1", "D2", "D3"}
+    assert set(rows) == {"D1", "D2", "D3", "D4"} and rows["D4"].source_file == "a +b.csv"
     assert rows["D2"].opportunity_amount is None and rows["D3"].last_visit_date is None
     assert rows["D1"].customer_name == "C, Ltd" and rows["D3"].source_file == "TWO.CSV"
     assert rows["D1"].loaded_at is not None
     assert sorted(p.name for p in drop.glob("[!.]*")) == ["empty.csv", "header.csv", "notes.txt"]
-    assert sorted(p.name for p in (tmp_path / "archive").glob("[!.]*")) == ["TWO.CSV", "one.csv"]
+    assert sorted(p.name for p in (tmp_path / "archive").glob("[!.]*")) == ["TWO.CSV", "a +b.csv", "one.csv"]
+    # The same name dropped again stays where it is and is reported; nothing is loaded twice.
+    (drop / "one.csv").write_text(text(names, row))
+    os.utime(drop / "one.csv", (2_000_000_000, 2_000_000_000))
+    messages = {r.source_file: r.message for r in ingest.load_drop_folder(*args).where("status = 'ERROR'").collect()}
+    assert messages["one.csv"] == "a file of this name was loaded before" and (drop / "one.csv").exists()
+    assert spark.read.parquet(str(tmp_path / "out" / "rows")).count() == 4
+
+
+def test_drop_folder_batch_replayed_before_files_moved(spark, tmp_path, monkeypatch):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    names = [f.name for f in schemas.as_struct(schemas.CORPORATE_SALES)]
+    (drop / "a.csv").write_text(",".join(names) + "\nD1" + "," * (len(names) - 1) + "\n")
+    args = (spark, str(drop), str(tmp_path / "archive"), str(tmp_path / "out"), str(tmp_path / "cp"),
+            schemas.CORPORATE_SALES, "deal_id")
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "_move_files", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            ingest.load_drop_folder(*args)
+    assert (drop / "a.csv").exists()
     ingest.load_drop_folder(*args)
-    assert spark.read.parquet(str(tmp_path / "out" / "rows")).count() == 3
+    assert not (drop / "a.csv").exists() and (tmp_path / "archive" / "a.csv").exists()
+    assert spark.read.parquet(str(tmp_path / "out" / "rows")).count() == 1
