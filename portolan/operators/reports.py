@@ -9,10 +9,6 @@ from portolan.functions import values as v
 from portolan.functions.columns import money_text, month_start, percent
 
 
-def grouped(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
-    return df.groupBy(*keys).agg(*aggregates)
-
-
 def where_optional(df: DataFrame, column: str, value: str | None) -> DataFrame:
     """Keep one value of a column, or everything when no value is given."""
     return df if value is None else df.where(F.col(column) == value)

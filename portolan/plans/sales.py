@@ -81,8 +81,7 @@ def sales_statistics(spark, sf_dir):
     f"""SELECT stage, count(*) AS deal_count, {q.dbl('sum(opportunity_amount)')} AS total_amount,
         round(avg(opportunity_amount), 0) AS avg_amount FROM sales GROUP BY stage""", "sales"))
 def stage_distribution(spark, sf_dir):
-    return reports.grouped(
-        bridge.sales(spark, sf_dir), ["stage"],
+    return bridge.sales(spark, sf_dir).groupBy("stage").agg(
         F.count("*").alias("deal_count"),
         F.sum("opportunity_amount").alias("total_amount"),
         F.round(F.avg("opportunity_amount"), 0).alias("avg_amount"),
@@ -93,8 +92,7 @@ def stage_distribution(spark, sf_dir):
     f"""SELECT sales_rep, count(*) AS deal_count, {q.dbl('sum(opportunity_amount)')} AS total_amount
         FROM sales GROUP BY sales_rep ORDER BY sum(opportunity_amount) DESC, sales_rep LIMIT 5""", "sales"))
 def top_reps_by_amount(spark, sf_dir):
-    per_rep = reports.grouped(
-        bridge.sales(spark, sf_dir), ["sales_rep"],
+    per_rep = bridge.sales(spark, sf_dir).groupBy("sales_rep").agg(
         F.count("*").alias("deal_count"), F.sum("opportunity_amount").alias("total_amount"),
     )
     return reports.top(per_rep, 5, F.desc("total_amount"), F.asc("sales_rep"))
@@ -193,8 +191,7 @@ def sales_headline(spark, sf_dir):
         {q.stamp('min(loaded_at)')} AS first_loaded, {q.stamp('max(loaded_at)')} AS last_loaded
         FROM sales GROUP BY source_file""", "sales"))
 def load_history_per_file(spark, sf_dir):
-    return reports.grouped(
-        bridge.sales(spark, sf_dir), ["source_file"],
+    return bridge.sales(spark, sf_dir).groupBy("source_file").agg(
         F.count("*").alias("total_rows"), F.count_distinct("deal_id").alias("unique_deals"),
         F.min("loaded_at").alias("first_loaded"), F.max("loaded_at").alias("last_loaded"),
     )
