@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portolan.llm.scratch import kept
+from portolan.llm.scratch import hot_join, kept
 from portolan.llm.words import BASE, Powers, mix, slices, spans_hash, windows, word_hashes, words
 
 COUNTS = ("id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -127,9 +127,9 @@ def judged(documents: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id",
     hosts = counted.groupBy("host").agg(F.greatest(
         F.lit(float(rules.least_documents)), F.count("*") * F.lit(rules.share)).alias("limit"))
     lines = counted.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.line", "l.n")
-    common = (lines.groupBy("host", "line").agg(F.count("*").alias("documents")).join(hosts, "host")
-              .filter("documents > limit").select("host", "line"))
-    lost = lines.join(common, ["host", "line"]).groupBy(F.col("row").alias("own")).agg(F.sum("n").alias("common"))
+    often = lines.groupBy("host", "line").agg(F.count("*").alias("documents"))
+    common = hot_join(often, hosts, ["host"]).filter("documents > limit").select("host", "line")
+    lost = hot_join(lines, common, ["host", "line"]).groupBy(F.col("row").alias("own")).agg(F.sum("n").alias("common"))
     n, words_common = F.col("n_words"), F.coalesce("common", F.lit(0))
     failed = (n < rules.least_words) | (100 * F.col("n_repeat_words") > rules.most_repeated * n)
     return (counted.join(lost, F.col("row") == F.col("own"), "left")

@@ -106,7 +106,7 @@ def mixed(documents: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_c
     best = F.array_min(F.array(*[
         F.struct(F.abs(F.col(f"t{i}") - F.col("target")).alias("miss"),
                  offset(F.col("source"), mix.seed, i).alias("offset")) for i in range(mix.draws)]))
-    chosen = tried.select(F.col("source").alias("s"), best["offset"].alias("offset"))
+    chosen = kept(tried.select(F.col("source").alias("s"), best["offset"].alias("offset")), "offsets")
     rows = placed.join(chosen, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", copies(F.col("offset")))
     return rows.select("doc_id", "source", "size", "source_size", "target", "copies",
                        (F.col("copies") * F.col("size")).alias("taken"))
@@ -124,6 +124,7 @@ def repeated(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     drawn = mixed(documents, mix).groupBy(
         F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size")).agg(
         F.sum("copies").alias("__copies"), F.count("*").alias("__n")).filter("__copies > 0")
+    drawn = kept(drawn, "draws")
     same = (F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
             & (F.col("__rows_size") == F.col("__size")))
     share = F.col("__copies") / F.col("__n")

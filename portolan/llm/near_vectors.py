@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan.llm.links import FOUND, Pieces, components, found_batch, groups, in_blocks
-from portolan.llm.scratch import kept
+from portolan.llm.scratch import hot_join, kept
 
 
 def _tail(z: float) -> float:
@@ -220,7 +220,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         _dealt(plan, cuts), "dim long, cell long, marks long, node long, copies long, v array<double>")
     cells = kept(cells, "cells")
     sizes = cells.groupBy("dim", "cell").agg(F.count("*").alias("rows")).filter("rows > 1")
-    dealt = in_blocks(cells.join(sizes, ["dim", "cell"]),
+    dealt = in_blocks(hot_join(cells, sizes, ["dim", "cell"]),
                       F.ceil(F.col("rows") / plan.block_rows).cast("long"), "node").drop("rows")
     parts = max(24, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = (dealt.repartition(parts, "dim", "cell", "low", "high")

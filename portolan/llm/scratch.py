@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -24,3 +25,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hot_join(many: DataFrame, few: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join of ``many`` rows per key with an aggregate that has one.
+
+    Joined on its own grouping keys, the aggregate would stay where it was made, and adaptive
+    execution splits a hot key only between two plain exchanges.  A further key, a hash of the
+    others, deals both sides anew.
+    """
+    spare = F.xxhash64(*keys)
+    return (many.withColumn("__spare", spare).join(few.withColumn("__spare", spare), [*keys, "__spare"], how)
+            .drop("__spare"))
