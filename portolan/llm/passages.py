@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from portolan.llm.scratch import kept
+from portolan.llm.scratch import hot_join, kept
 from portolan.llm.words import mix, slices, spans_hash, windows, word_hashes, words
 
 STRETCHES = "row long, first long, edges long, seed long, words long, before long"
@@ -141,7 +141,7 @@ def repeated_spans(texts: DataFrame, graph: Graph = Graph()) -> DataFrame:
     """
     found = texts.select("row", "text").mapInArrow(_stretched(graph), STRETCHES)
     seeds = found.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
-    found = kept(found.join(seeds, "seed", "left_semi"), "stretches")
+    found = kept(hot_join(found, seeds, ["seed"], "left_semi"), "stretches")
     # the first place in one number, since a minimum of numbers combines by hash; 2**24 words exceed any text
     at = F.col("row").cast("decimal(20,0)") * F.lit(1 << 24) + F.col("first")
     split = F.floor(F.col("at") / F.lit(1 << 24)).cast("long")
@@ -156,12 +156,12 @@ def repeated_spans(texts: DataFrame, graph: Graph = Graph()) -> DataFrame:
         "row", "first", (F.col("length") + graph.width - 1).alias("n_words"))
 
     mixed = counted.groupBy("seed").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("seed")
-    wanted = (counted.join(mixed, "seed", "left_semi").groupBy(F.col("place.row").alias("own"))
+    wanted = (hot_join(counted, mixed, ["seed"], "left_semi").groupBy(F.col("place.row").alias("own"))
               .agg(F.collect_list(F.struct("place.first", "edges", "copies", "seed")).alias("wanted")))
     edges = (texts.join(wanted, F.col("own") == F.col("row"))
              .mapInArrow(_edges(graph), "row long, first long, copies long, seed long, edge long"))
     often = edges.groupBy("seed", "edge").agg(F.sum("copies").alias("n")).filter("n > 1").select("seed", "edge")
-    single = edges.filter("copies = 1").join(often, ["seed", "edge"], "left_semi").select(
+    single = hot_join(edges.filter("copies = 1"), often, ["seed", "edge"], "left_semi").select(
         "row", "first", F.lit(graph.width).cast("long").alias("n_words"))
     return passages.union(single)
 
