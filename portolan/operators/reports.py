@@ -114,9 +114,14 @@ def roll_up(summary: DataFrame, key: str) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """Exactly ``n`` pseudo-random rows, the same for the same seed.
+    """Exactly ``n`` pseudo-random rows, the same for the same seed; all rows if there are fewer.
 
-    Ranking by a seeded hash keeps at most ``n`` rows per task and never shuffles the rest.
+    Rows are ranked by a seeded hash.  Counts per hash prefix, at most 65,536 whatever the
+    size of the table, tell the prefix at which ``n`` rows are reached; only rows up to it
+    are ranked, so the last task gets about ``n`` rows and not ``n`` of every task.
     """
     rank = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
-    return df.orderBy(rank, key).limit(n)
+    counts = df.groupBy(F.substring(rank, 1, 4).alias("prefix")).agg(F.count("*").alias("n"))
+    reached = counts.withColumn("upto", F.sum("n").over(Window.orderBy("prefix"))).where(F.col("upto") >= n)
+    last = F.coalesce(reached.agg(F.min("prefix")).scalar(), F.lit("ffff"))
+    return df.where(F.substring(rank, 1, 4) <= last).orderBy(rank, key).limit(n)
