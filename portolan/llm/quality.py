@@ -21,7 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portolan.llm.scratch import kept
 from portolan.llm.words import Slice, Words, slices, word_hashes, words
+from portolan.operators.reports import sample_rows
 
 SHAPES = 1 << 10
 
@@ -217,9 +219,9 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, usable: Column, lab
 
     Ids with several labels take the larger.  At most ``size`` rows of two numbers are broadcast.
     """
-    chosen = (labels.filter(usable & F.col(label).isNotNull() & F.col(id_col).isNotNull())
-              .groupBy(F.col(id_col).cast("long").alias("own")).agg(F.max(label).cast("double").alias("label"))
-              .orderBy(F.xxhash64("own"), "own").limit(size))
+    known = (labels.filter(usable & F.col(label).isNotNull() & F.col(id_col).isNotNull())
+             .groupBy(F.col(id_col).cast("long").alias("own")).agg(F.max(label).cast("double").alias("label")))
+    chosen = kept(sample_rows(known, "own", size, 1), "labels")
     rows = documents.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.join(F.broadcast(chosen), F.col("id") == F.col("own")).select("id", "text", "label")
 
@@ -233,7 +235,7 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, settings: Set
     vectors = word_vectors(documents.select(F.col("text").cast("string").alias("text")), settings)
     rows = labelled_sample(documents, labels, usable, "quality", settings.sample)
     table = rows.mapInArrow(_pooled(vectors, settings), "id long, label double, x array<double>")
-    got = table.orderBy(F.xxhash64("id"), "id").limit(settings.sample).toArrow()
+    got = table.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").toArrow()
     width = 3 * settings.size + 2
     x = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, width) if got.num_rows else np.zeros((0, width))
     y = got["label"].to_numpy().astype(float) if got.num_rows else np.zeros(0)

@@ -135,7 +135,7 @@ def train(documents: DataFrame, labels: DataFrame, usable: Column, settings: Set
     """
     rows = labelled_sample(documents, labels, usable, "toxic", settings.sample)
     got = (rows.mapInArrow(_listed(settings), "id long, label double, terms array<int>")
-           .orderBy(F.xxhash64("id"), "id").limit(settings.sample).toArrow())
+           .dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").toArrow())  # at most settings.sample rows
     if not got.num_rows:
         return fit_machine(np.zeros(0, int), np.zeros(0, int), np.zeros(0), settings)
     terms = got["terms"].combine_chunks()
