@@ -26,6 +26,7 @@ from portolan.llm.links import FOUND, Pieces, components, found_batch, groups, i
 from portolan.llm.scratch import kept
 from portolan.llm.words import mix, slices, word_hashes, words
 
+SIGNED = ["id", "k1", "k2", "size", "keys"]
 STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -81,6 +82,11 @@ def _signed(forest: Forest):
                 found = words(part)
                 grams, bounds = shingles(word_hashes(part, found), found.bounds, forest.width)
                 filled = np.flatnonzero(np.diff(bounds))
+                ids = batch.column("id").slice(part.first, part.n_rows)
+                bare = np.flatnonzero(np.diff(bounds) == 0)
+                if len(bare):
+                    none = [pa.nulls(len(bare), kind) for kind in (*[pa.int64()] * 3, pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(bare)), *none], names=SIGNED)
                 if not len(filled):
                     continue
                 first = bounds[:-1][filled]
@@ -94,12 +100,12 @@ def _signed(forest: Forest):
                 k1 = np.add.reduceat(mix(grams + STEP), first)
                 k2 = np.add.reduceat(mix(grams ^ STEP), first)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(part.first, part.n_rows).take(pa.array(filled)),
+                    [ids.take(pa.array(filled)),
                      pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
                      pa.array(np.diff(bounds)[filled]),
                      pa.ListArray.from_arrays(np.arange(0, keys.size + 1, forest.trees, dtype=np.int32),
                                               keys.view(np.int64).ravel())],
-                    names=["id", "k1", "k2", "size", "keys"])
+                    names=SIGNED)
 
     return sign
 
@@ -201,7 +207,7 @@ def near_texts(documents: DataFrame, forest: Forest = Forest(), id_col: str = "d
     spark = documents.sparkSession
     texts = documents.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     signed = kept(texts.mapInArrow(_signed(forest), "id long, k1 long, k2 long, size long, keys array<long>"), "signed")
-    distinct = signed.groupBy("k1", "k2").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
+    distinct = signed.filter("k1 is not null").groupBy("k1", "k2").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
     distinct = kept(distinct, "copies")
     firsts = (signed.join(distinct.filter("node is not null"), ["k1", "k2"]).filter("id = node")
               .select("node", "copies", "size", "keys").dropDuplicates(["node"]))
@@ -237,7 +243,7 @@ def near_texts(documents: DataFrame, forest: Forest = Forest(), id_col: str = "d
         "id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "node")).alias("class_id"),
         F.when(F.col("id").isNotNull(), F.col("node")).alias("copy_id"))
-    bare = texts.filter(F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(0)) == 0).select(
+    bare = signed.filter("k1 is null").select(
         "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("class_id"), F.col("id").alias("copy_id"))
     return ids.union(bare).select(
         F.col("id").alias(id_col), "n_links", "class_id", "copy_id",
