@@ -85,6 +85,7 @@ def mixed(documents: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_c
     sized = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
                              word_count(F.col(f"`{text_col}`")).alias("size"))
     order = [F.col("source").asc_nulls_last(), F.col("size").desc(), F.col("doc_id")]
+    sized = kept(sized, "sizes")  # else sampling the range bounds would read the texts again
     ranged = kept(sized.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "sized")
     goal = targets(ranged, mix)
     counts = ranged.groupBy("part", "source").agg(F.count("*").alias("rows"))
