@@ -7,7 +7,7 @@ two rules are nested or apart.  URLs and interval starts are sorted together, an
 keeps the rules whose interval is open on a stack; a URL is decided by the longest rule on the
 stack whose path its own path starts with.
 
-The sorted keys are cut into ranges at bounds taken from a sample of ``sample_rows`` keys; the
+The sorted keys are cut into ranges at bounds taken from a sample of ``n_sample`` keys; the
 sample only sets how even the ranges are.  URL keys end with path and row id, so one hot host,
 or one URL that a third of the rows share, spans as many ranges as it needs.  A rule goes to
 every range that its interval touches, since it is open there when the sweep begins.
@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portolan.operators.reports import sample_rows
+
 RULES = "host string, path string, verdict string"
 RESULT = "id long, host string, path string, rule string, verdict string"
 
@@ -94,7 +96,7 @@ def _swept(default: str):
 
 
 def url_verdicts(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",
-                 default: str = "allow", sample_rows: int = 20_000) -> DataFrame:
+                 default: str = "allow", n_sample: int = 20_000) -> DataFrame:
     """The rule and verdict of each URL: ``id, host, path, rule, verdict``, one row per input row.
 
     A rule fits its host and all subdomains if the path starts with the rule's path; the
@@ -113,8 +115,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", ur
     ruled = (rules.select("host", "path", "verdict").dropna(subset=["host", "path"]).distinct()
              .select("host", "path", "verdict", reversed_key(F.col("host")).alias("key")))
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sample = (urls.select("key", F.xxhash64("key").alias("h")).orderBy("h").limit(sample_rows)
-              .select(F.col("key")).collect())  # at most sample_rows keys
+    sample = sample_rows(urls.select("key"), "key", n_sample, 1).collect()  # at most n_sample keys
     sample = sorted(r[0].encode() for r in sample)
     bounds = sorted({sample[len(sample) * i // parts] for i in range(1, parts)}) if sample else []
     spread = urls.mapInArrow(_ranged(bounds, "url"), "part long, id long, host string, path string, key string")
