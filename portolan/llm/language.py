@@ -63,7 +63,7 @@ def _grams(data: np.ndarray, start: np.ndarray, end: np.ndarray, grams: Grams) -
     laid[bounds[:-1][word] + 1 + inner] = LOWER[data[start[word] + inner]]
     place = np.arange(bounds[-1])
     left = np.repeat(bounds[1:], size) - place
-    out = np.full((bounds[-1], len(grams.orders)), -1, np.int32)
+    out = np.full((len(grams.orders), bounds[-1]), -1, np.int32)
     for i, n in enumerate(grams.orders):
         code = np.zeros(bounds[-1], np.uint64)
         for j in range(n):
@@ -71,7 +71,7 @@ def _grams(data: np.ndarray, start: np.ndarray, end: np.ndarray, grams: Grams) -
         hashed = mix(code + np.uint64(n * 0x9E3779B97F4A7C15 % (1 << 64))) >> np.uint64(64 - grams.bits)
         # an n-gram begins anywhere in the padded word and ends in it; a word shorter than n has none
         fits = left >= n
-        out[fits, i] = hashed[fits].astype(np.int32)
+        out[i, fits] = hashed[fits].astype(np.int32)
     return out, bounds
 
 
@@ -89,9 +89,9 @@ def _count(grams: Grams, languages: list[str]):
                     continue
                 out, bounds = _grams(part.data, found.start, found.end, grams)
                 own = np.repeat(lang[part.first + found.row], np.diff(bounds))
-                for i in range(out.shape[1]):
-                    ok = out[:, i] >= 0
-                    total += np.bincount(own[ok] * grams.buckets + out[ok, i], minlength=total.size).reshape(total.shape)
+                for code in out:
+                    ok = code >= 0
+                    total += np.bincount(own[ok] * grams.buckets + code[ok], minlength=total.size).reshape(total.shape)
         for i in range(len(languages)):
             some = np.flatnonzero(total[i])
             yield pa.RecordBatch.from_arrays(
@@ -121,60 +121,59 @@ def train(texts: DataFrame, grams: Grams = Grams()) -> Model:
 
 
 def _sum_rows(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums of consecutive rows; empty stretches give zero."""
-    out = np.zeros((len(bounds) - 1, values.shape[1]))
+    """Sums of each row's columns ``bounds[r]:bounds[r + 1]``; empty stretches give zero."""
+    out = np.zeros((len(values), len(bounds) - 1), np.float32)
     filled = np.flatnonzero(np.diff(bounds))
     if len(filled):
-        out[filled] = np.add.reduceat(values, bounds[:-1][filled], axis=0)
+        out[:, filled] = np.add.reduceat(values, bounds[:-1][filled], axis=1)
     return out
 
 
-def _fit(like: np.ndarray, bounds: np.ndarray, active: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions per text and the log likelihood, by EM over the active languages of each text."""
-    n = np.maximum(np.diff(bounds), 1)[:, None]
-    share = active / np.maximum(active.sum(axis=1, keepdims=True), 1)
-    row = np.repeat(np.arange(len(share)), np.diff(bounds))
-    for _ in range(rounds):
-        part = like * share[row]
-        part /= np.maximum(part.sum(axis=1, keepdims=True), 1e-300)
-        share = _sum_rows(part, bounds) / n
-    value = np.log(np.maximum((like * share[row]).sum(axis=1, keepdims=True), 1e-300))
-    return share, _sum_rows(value, bounds)[:, 0]
+def _fit(like: np.ndarray, bounds: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions per text and the log likelihood, by EM from ``share``; what is zero there stays zero."""
+    sizes = np.diff(bounds)
+    n = np.maximum(sizes, 1)
+    for step in range(rounds + 1):
+        part = like * np.repeat(share, sizes, axis=1)
+        total = np.maximum(part.sum(axis=0), np.float32(1e-30))
+        if step < rounds:
+            part /= total
+            share = _sum_rows(part, bounds) / n
+    return share, _sum_rows(np.log(total)[None], bounds)[0]
 
 
 def proportions(like: np.ndarray, bounds: np.ndarray, rounds: int) -> np.ndarray:
-    """Proportions of the selected languages per text; ``like`` has one row per word."""
-    k = like.shape[1]
-    n = np.diff(bounds)
-    cost = 0.5 * np.log(np.maximum(n, 2))
-    active = np.ones((len(n), k), bool)
-    share, value = _fit(like, bounds, active, rounds)
+    """Proportions of the selected languages per text; both have a row per language, ``like`` a column per word."""
+    k, n = len(like), np.diff(bounds)
+    cost = (0.5 * np.log(np.maximum(n, 2))).astype(np.float32)
+    share, value = _fit(like, bounds, np.full((k, len(n)), 1 / k, np.float32), rounds)
+    active = np.ones((k, len(n)), bool)
     best = value - cost * k
-    # most texts have one language: compare with the single best one, then drop one by one
-    settled = np.zeros(len(n), bool)
-    while not settled.all():
-        open_ = np.flatnonzero(~settled & (active.sum(axis=1) > 1))
+    settled = n == 0
+    while True:
+        open_ = np.flatnonzero(~settled & (active.sum(axis=0) > 1))
         if not len(open_):
-            break
-        low = np.where(active, share, np.inf).argmin(axis=1)[open_]
-        trial = active[open_].copy()
-        trial[np.arange(len(open_)), low] = False
+            return share
+        low = np.where(active, share, np.float32(2)).argmin(axis=0)[open_]
+        trial = active[:, open_]
+        trial[low, np.arange(len(open_))] = False
         sizes = n[open_]
-        pick = np.repeat(bounds[:-1][open_], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         own = np.concatenate([[0], np.cumsum(sizes)])
-        new_share, new_value = _fit(like[pick], own, trial, rounds)
-        score = new_value - cost[open_] * trial.sum(axis=1)
+        pick = np.repeat(bounds[:-1][open_] - own[:-1], sizes) + np.arange(own[-1])
+        # the others begin where they are, a little apart from zero
+        start = np.where(trial, share[:, open_] + np.float32(1e-3), np.float32(0))
+        new_share, new_value = _fit(like[:, pick], own, start / start.sum(axis=0), max(2, rounds // 4))
+        score = new_value - cost[open_] * trial.sum(axis=0)
         better = score >= best[open_]
         took = open_[better]
-        active[took], share[took], best[took] = trial[better], new_share[better], score[better]
+        active[:, took], share[:, took], best[took] = trial[:, better], new_share[:, better], score[better]
         settled[open_[~better]] = True
-    return share
 
 
 def _predicted(model: Model):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, "und"], dtype=object)
-        logs = np.vstack([model.logs, np.zeros((1, model.logs.shape[1]), np.float32)])
+        logs = np.vstack([model.logs, np.zeros((1, model.logs.shape[1]), np.float32)]).T.copy()
         for batch in batches:
             texts = batch.column("text").to_pylist()
             lang, score = np.full(batch.num_rows, len(names) - 1), np.zeros(batch.num_rows)
@@ -183,14 +182,15 @@ def _predicted(model: Model):
                 if not len(found.start) or not model.languages:
                     continue
                 out, bounds = _grams(part.data, found.start, found.end, model.grams)
-                total = np.zeros((len(bounds) - 1, len(model.languages)))
-                for i in range(out.shape[1]):  # the last row, zero, stands for no n-gram
-                    total += np.add.reduceat(logs[out[:, i]], bounds[:-1], axis=0)
-                like = np.exp(total - total.max(axis=1, keepdims=True))
+                flat = logs[:, out[0]]
+                for code in out[1:]:
+                    flat += logs[:, code]  # the last bucket, zero, stands for no n-gram
+                total = np.add.reduceat(flat, bounds[:-1], axis=1)
+                like = np.exp(total - total.max(axis=0))
                 share = proportions(like, found.bounds, model.grams.rounds)
-                top = share.argmax(axis=1)
+                top = share.argmax(axis=0)
                 lang[part.first:part.first + part.n_rows] = top
-                score[part.first:part.first + part.n_rows] = share[np.arange(part.n_rows), top]
+                score[part.first:part.first + part.n_rows] = share[top, np.arange(part.n_rows)]
             none = np.array([t is None or not LETTER.search(t) for t in texts], bool)
             lang[none], score[none] = len(names) - 1, 0.0
             yield pa.RecordBatch.from_arrays(
