@@ -37,7 +37,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from portolan.llm.scratch import hot_join, kept
 from portolan.llm.words import mix, slices, spans_hash, windows, word_hashes, words
 
-STRETCHES = "row long, first long, edges long, seed long, words long, before long"
+STRETCHES = "row long, first long, edges long, times long, seed long, words long, before long"
 
 
 @dataclass(frozen=True)
@@ -83,11 +83,17 @@ def _stretched(graph: Graph):
                 before = np.zeros(len(at), np.uint64)
                 same = own[1:] == own[:-1]
                 before[1:][same] = content[:-1][same]
+                # the same stretch again and again, as in a repeated word, is one record
+                run = np.ones(len(at), bool)
+                run[1:][same] = content[1:][same] != content[:-1][same]
+                run = np.flatnonzero(run)
+                times = np.diff(np.append(run, len(at)))
+                own = own[run]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row").slice(part.first, part.n_rows).take(pa.array(own)),
-                     pa.array(first - found.bounds[own]), pa.array(edges),
-                     *(pa.array(x.view(np.int64)) for x in (grams[best[at]], content, before))],
-                    names=["row", "first", "edges", "seed", "words", "before"])
+                     pa.array(first[run] - found.bounds[own]), pa.array(edges[run]), pa.array(times),
+                     *(pa.array(x[run].view(np.int64)) for x in (grams[best[at]], content, before))],
+                    names=["row", "first", "edges", "times", "seed", "words", "before"])
 
     return stretch
 
@@ -120,9 +126,10 @@ def _edges(graph: Graph):
 def _paths(counted: DataFrame) -> DataFrame:
     """Compacts repeated stretches; per path the ``seed, words`` of its first stretch and its length in edges."""
     known = counted.filter("copies > 1")
+    # a stretch that follows itself has no single place before it
     left = known.select(F.col("words").alias("left_words"), F.col("copies").alias("left_copies"))
     link = ((known["least_before"] == known["most_before"]) & (known["least_before"] == left["left_words"])
-            & (known["copies"] == left["left_copies"]))
+            & (known["copies"] == left["left_copies"]) & (known["times"] == 1))
     marked = known.join(left.dropDuplicates(["left_words", "left_copies"]), link, "left").select(
         "seed", "words", "edges", "place", F.col("left_words").isNull().cast("long").alias("head"))
     along = Window.partitionBy("place.row").orderBy("place.first").rowsBetween(
@@ -140,20 +147,20 @@ def repeated_spans(texts: DataFrame, graph: Graph = Graph()) -> DataFrame:
     or overlap; their union is what repeats.
     """
     found = texts.select("row", "text").mapInArrow(_stretched(graph), STRETCHES)
-    seeds = found.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
+    seeds = found.groupBy("seed").agg(F.sum("times").alias("n")).filter("n > 1").select("seed")
     found = kept(hot_join(found, seeds, ["seed"], "left_semi"), "stretches")
     # the first place in one number, since a minimum of numbers combines by hash; 2**24 words exceed any text
     at = F.col("row").cast("decimal(20,0)") * F.lit(1 << 24) + F.col("first")
     split = F.floor(F.col("at") / F.lit(1 << 24)).cast("long")
     counted = found.groupBy("seed", "words").agg(
-        F.count("*").alias("copies"), F.max("edges").alias("edges"), F.min("before").alias("least_before"),
+        F.sum("times").alias("copies"), F.max("times").alias("times"), F.max("edges").alias("edges"), F.min("before").alias("least_before"),
         F.max("before").alias("most_before"), F.min(at.cast("decimal(30,0)")).alias("at")).withColumn("r", split)
     counted = kept(counted.select(
-        "seed", "words", "copies", "edges", "least_before", "most_before",
+        "seed", "words", "copies", "times", "edges", "least_before", "most_before",
         F.struct(F.col("r").alias("row"), (F.col("at") - F.col("r").cast("decimal(20,0)") * F.lit(1 << 24))
                  .cast("long").alias("first")).alias("place")), "counted")
-    passages = found.join(_paths(counted), ["seed", "words"]).select(
-        "row", "first", (F.col("length") + graph.width - 1).alias("n_words"))
+    length = F.col("length") + (F.col("times") - 1) * F.col("edges") + graph.width - 1
+    passages = found.join(_paths(counted), ["seed", "words"]).select("row", "first", length.alias("n_words"))
 
     mixed = counted.groupBy("seed").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("seed")
     wanted = (hot_join(counted, mixed, ["seed"], "left_semi").groupBy(F.col("place.row").alias("own"))
