@@ -1,3 +1,5 @@
+"""Fixtures of the corpus tests; a second conftest would hide the first."""
+
 import pytest
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 

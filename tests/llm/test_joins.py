@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from corpus_tables import docs, odd_rows  # noqa: F401
 
 from portolan.llm.links import components
 from portolan.llm.near_vectors import Plan, near_vectors

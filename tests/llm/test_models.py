@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from corpus_tables import docs, odd_rows  # noqa: F401
 
 from portolan.llm import language, quality, toxicity
 from portolan.llm.queries import table

@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from corpus_tables import docs, odd_rows  # noqa: F401
 
 import __spark_entry__ as entry_module
 import corpus_pipeline

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from corpus_tables import docs, odd_rows  # noqa: F401
 
 from portolan.llm import line_rules, mixing, packing, passages, url_rules
 
