@@ -12,26 +12,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.functions import values as v
-from portolan.functions.columns import draw, draw_log_normal, pad_key, pick
-from portolan.sources.spread import spread
+from portolan.functions.columns import pad_key, pick
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, costly: bool = False) -> DataFrame:
-    """A given table; ``costly`` spreads an input of too few splits before heavy row work."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if costly else df
-
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _by_key(key: str, divisor: int, choices: list) -> Column:
     return pick(choices, F.expr(f"({key} div {divisor}) % {len(choices)}"))
 
 
-def trades(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``trade_transactions``: one row per order."""
     key = "o_orderkey"
     day = F.col("o_orderdate").cast("date")
-    return table(spark, sf_dir, "orders", costly).select(
+    return table(spark, sf_dir, "orders").select(
         F.concat(
             F.lit("TX-"), F.replace(day.cast("string"), F.lit("-"), F.lit("")), F.lit("-"), pad_key(F.col(key), 7)
         ).alias("transaction_id"),
@@ -49,18 +45,21 @@ def trades(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
     )
 
 
+_JAPAN = [c[0] for c in v.COUNTRIES].index("JP")
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customers``: one row per customer, three of five with a Japanese name."""
+    """``customers``: one row per customer; names of customers in Japan are Japanese."""
     key = F.col("c_custkey")
     japanese = F.concat(
-        _by_key("c_custkey", 50, v.FAMILY_NAMES_JA), F.lit(" "), _by_key("c_custkey", 1, v.GIVEN_NAMES_JA)
+        _by_key("c_custkey", 1, v.FAMILY_NAMES_JA), F.lit(" "), _by_key("c_custkey", 9, v.GIVEN_NAMES_JA)
     )
     english = F.concat(
-        _by_key("c_custkey", 1, v.GIVEN_NAMES_EN), F.lit(" "), _by_key("c_custkey", 50, v.FAMILY_NAMES_EN)
+        _by_key("c_custkey", 1, v.GIVEN_NAMES_EN), F.lit(" "), _by_key("c_custkey", 11, v.FAMILY_NAMES_EN)
     )
     return table(spark, sf_dir, "customer").select(
         key.alias("customer_id"),
-        F.when(key % 5 < 3, japanese).otherwise(english).alias("customer_name"),
+        F.when(F.col("c_nationkey") % len(v.COUNTRIES) == _JAPAN, japanese).otherwise(english).alias("customer_name"),
         F.concat(F.lit("contact"), key.cast("string"), F.lit("@example.com")).alias("contact_email"),
         F.concat(
             F.lit("+81-3-"), (1000 + key % 9000).cast("string"), F.lit("-"),
@@ -170,45 +169,6 @@ def entitlements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def synthetic_trades(keys: DataFrame, key: str, seed: int) -> DataFrame:
-    """Seeded synthetic trades, one per row of ``keys``; the same key gives the same row."""
-    k = F.col(key)
-    day = F.date_sub(F.lit("2001-12-31").cast("date"), draw(k, seed, 0, 1095).cast("int"))
-    return keys.select(
-        k.alias("row_key"),
-        day.alias("trade_date"),
-        F.date_add(day, draw(k, seed + 1, 2, 30).cast("int")).alias("settlement_date"),
-        draw(k, seed + 2, 1, 50_000).alias("customer_id"),
-        pick([c[0] for c in v.COUNTRIES], draw(k, seed + 3, 0, 11)).alias("counterparty_country"),
-        pick(v.TRANSACTION_TYPES, draw(k, seed + 4, 0, 2)).alias("transaction_type"),
-        pick(v.TRADE_CURRENCIES, draw(k, seed + 5, 0, 7)).alias("currency_code"),
-        draw_log_normal(k, seed + 6, 15.0, 3.0, 50_000_000_000).alias("amount"),
-        pick(v.BRANCHES, draw(k, seed + 8, 0, 3)).alias("booking_branch"),
-        pick(v.INSTRUMENTS, draw(k, seed + 9, 0, 2)).alias("instrument_type"),
-        pick(v.NOTES, draw(k, seed + 10, 0, 29)).alias("free_text_notes"),
-    )
-
-
-def synthetic_sales(keys: DataFrame, key: str, seed: int) -> DataFrame:
-    """Seeded synthetic deals, one per row of ``keys``."""
-    k = F.col(key)
-    base = F.lit("2001-12-31").cast("date")
-    return keys.select(
-        F.concat(F.lit("DEAL-"), pad_key(k, 7)).alias("deal_id"),
-        pick(v.SALES_REPS, draw(k, seed, 0, 19)).alias("sales_rep"),
-        F.concat(F.lit("Company "), draw(k, seed + 1, 0, 99).cast("string")).alias("customer_name"),
-        pick(v.INDUSTRIES, draw(k, seed + 2, 0, 5)).alias("industry"),
-        pick(v.SIZE_SLOTS, draw(k, seed + 3, 0, 9)).alias("company_size"),
-        F.round(draw_log_normal(k, seed + 4, 17.7, 1.5, 5_000_000_000), 0)
-        .cast("decimal(18,2)").alias("opportunity_amount"),
-        pick(v.STAGE_SLOTS, draw(k, seed + 6, 0, 19)).alias("stage"),
-        pick(v.SALES_REGION_SLOTS, draw(k, seed + 7, 0, 9)).alias("region"),
-        F.date_sub(base, draw(k, seed + 8, 0, 365).cast("int")).alias("last_visit_date"),
-        F.date_add(base, draw(k, seed + 9, 0, 365).cast("int")).alias("expected_close_date"),
-        F.lit("setup_synthetic").alias("source_file"),
-    )
-
-
 def _escaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
 
@@ -258,7 +218,7 @@ def statement_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     count = (key % 4).cast("int")
     entries = F.transform(F.filter(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: n <= count), entry)
-    return table(spark, sf_dir, "orders", costly=True).select(
+    return table(spark, sf_dir, "orders").select(
         F.concat(
             F.lit('<?xml version="1.0" encoding="UTF-8"?>'
                   '<Document xmlns="urn:iso:std:iso:20022:tech:xsd:camt.053.001.08"><BkToCstmrStmt><Stmt><Id>STMT'),

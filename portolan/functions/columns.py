@@ -74,19 +74,3 @@ def try_typed(text: Column, type_name: str) -> Column:
     if type_name in ("bigint", "int"):
         return text.try_cast("decimal(38,0)").try_cast(type_name)
     return text.try_cast(type_name)
-
-
-def draw(key: Column, seed: int, low: int, high: int) -> Column:
-    """Repeatable integer in [low, high] for a key: multiply and fold steps on 31 bits."""
-    x = (F.pmod(key, F.lit(2147483648)) * 1103515245 + seed * 40503) % 2147483648
-    for factor in (69069, 1664525):
-        x = (x.bitwiseXOR(F.shiftright(x, 15)) * factor + seed) % 2147483648
-    return low + x.bitwiseXOR(F.shiftright(x, 13)) % (high - low + 1)
-
-
-def draw_log_normal(key: Column, seed: int, mu: float, sigma: float, cap: float) -> Column:
-    """Repeatable log-normal amount, capped, two decimals (Box-Muller on two draws)."""
-    u1 = (draw(key, seed, 0, 999_999) + 1) / 1_000_000.0
-    u2 = draw(key, seed + 1, 0, 999_999) / 1_000_000.0
-    normal = F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * F.pi() * u2)
-    return F.round(F.least(F.exp(mu + sigma * normal), F.lit(float(cap))), 2).cast("decimal(18,2)")

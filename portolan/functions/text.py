@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import re
-
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A run of ASCII letters and digits, or one kana or Chinese character: Japanese is
-# written without spaces, so its characters are matched one by one.
-TOKEN = "[a-z0-9]+|[\u3040-\u30ff\u4e00-\u9fff]"
+# Signs of scripts that come without spaces (Chinese, kana, Hangul) are tokens one by one;
+# elsewhere a token is a run of letters, digits and combining marks.  ``[^\P{L}..]`` is a
+# letter outside the listed signs, written so that all engines read it alike.
+_SIGNS = "々-〇ぁ-ヿ㐀-䶿一-鿿가-힣"
+TOKEN = rf"[{_SIGNS}]|(?:[^\P{{L}}{_SIGNS}]|[\p{{N}}\p{{M}}])+"
 
 
 def tokens(text: Column) -> Column:
@@ -19,4 +20,4 @@ def tokens(text: Column) -> Column:
 
 def token_list(text: str) -> list[str]:
     """The same for a short query string on the driver, without repeats."""
-    return list(dict.fromkeys(re.findall(TOKEN, text.lower())))
+    return list(dict.fromkeys(regex.findall(TOKEN, text.lower())))

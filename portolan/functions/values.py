@@ -54,12 +54,6 @@ SIZE_SLOTS = [LARGE] * 2 + [MEDIUM] * 3 + [SMALL] * 5
 # Sales regions; ten slots hold them 5 / 2 / 1 / 1 / 1.
 SALES_REGION_SLOTS = ["関東"] * 5 + ["関西"] * 2 + ["中部", "九州", "海外"]
 
-SALES_REPS = [
-    "sato.taro", "suzuki.hanako", "takahashi.ichiro", "tanaka.yuki", "watanabe.kenji",
-    "ito.mai", "yamamoto.akira", "nakamura.rie", "kobayashi.daiki", "kato.megumi",
-    "yoshida.hiroshi", "yamada.sakura", "sasaki.ryota", "matsumoto.ayumi", "inoue.shota",
-    "kimura.haruka", "hayashi.takeshi", "shimizu.nana", "saito.kentaro", "mori.yui",
-]
 
 # --- fixed values: trade notes, English then Japanese ------------------------------
 NOTES = [
@@ -95,35 +89,11 @@ NOTES = [
     "信用状(L/C)開設完了。通知銀行への連絡済み。船積書類待ち。",
 ]
 
-# --- fixed values: person names ----------------------------------------------------
-FAMILY_NAMES_JA = [
-    "佐藤", "鈴木", "高橋", "田中", "渡辺", "伊藤", "山本", "中村", "小林", "加藤",
-    "吉田", "山田", "佐々木", "松本", "井上", "木村", "林", "清水", "斎藤", "森",
-    "池田", "橋本", "阿部", "石川", "前田", "藤田", "岡田", "後藤", "長谷川", "村上",
-    "近藤", "坂本", "遠藤", "青木", "藤井", "西村", "福田", "太田", "三浦", "岡本",
-    "松田", "中川", "中野", "原田", "小野", "竹内", "金子", "和田", "中山", "石井",
-]
-GIVEN_NAMES_JA = [
-    "太郎", "花子", "一郎", "裕子", "健二", "麻衣", "明", "理恵", "大輝", "恵",
-    "翔太", "美咲", "拓也", "由美", "浩二", "真由美", "達也", "久美子", "直樹", "恵子",
-    "雄大", "千尋", "和也", "紀子", "隆", "智子", "修", "陽子", "誠", "幸子",
-    "亮", "愛", "健太", "美穂", "淳", "綾", "大介", "麻美", "勇気", "沙織",
-    "圭介", "瞳", "将太", "舞", "哲也", "彩", "慎一", "菜々子", "悠斗", "桜",
-]
-GIVEN_NAMES_EN = [
-    "James", "Mary", "Robert", "Patricia", "John", "Jennifer", "Michael", "Linda", "David", "Elizabeth",
-    "William", "Barbara", "Richard", "Susan", "Joseph", "Jessica", "Thomas", "Sarah", "Christopher", "Karen",
-    "Charles", "Lisa", "Daniel", "Nancy", "Matthew", "Betty", "Anthony", "Margaret", "Mark", "Sandra",
-    "Donald", "Ashley", "Steven", "Dorothy", "Paul", "Kimberly", "Andrew", "Emily", "Joshua", "Donna",
-    "Kenneth", "Michelle", "Kevin", "Carol", "Brian", "Amanda", "George", "Melissa", "Timothy", "Deborah",
-]
-FAMILY_NAMES_EN = [
-    "Smith", "Johnson", "Williams", "Brown", "Jones", "Garcia", "Miller", "Davis", "Rodriguez", "Martinez",
-    "Hernandez", "Lopez", "Gonzalez", "Wilson", "Anderson", "Thomas", "Taylor", "Moore", "Jackson", "Martin",
-    "Lee", "Perez", "Thompson", "White", "Harris", "Sanchez", "Clark", "Ramirez", "Lewis", "Robinson",
-    "Walker", "Young", "Allen", "King", "Wright", "Scott", "Torres", "Nguyen", "Hill", "Flores",
-    "Green", "Adams", "Nelson", "Baker", "Hall", "Rivera", "Campbell", "Mitchell", "Carter", "Roberts",
-]
+# --- names of made-up customers -----------------------------------------------------
+FAMILY_NAMES_JA = ["桐谷", "水無月", "鷹取", "白川", "真壁", "織部", "佐々井", "久遠寺", "早瀬"]
+GIVEN_NAMES_JA = ["りく", "こはる", "蒼", "ミナト", "灯", "千早", "ゆずき"]
+GIVEN_NAMES_EN = ["Orla", "Bram", "Ines", "Zoltan", "Maeve", "Tariq", "Signe", "Anaïs", "Piotr", "Wren", "Kofi"]
+FAMILY_NAMES_EN = ["Abernathy", "O'Rourke", "Lindqvist", "Okafor", "Vandermeer", "Szabo", "Castellano-Ruiz"]
 
 # --- fixed values: note labels and their descriptions ------------------------------
 LABEL_DESCRIPTIONS = {

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,17 +130,27 @@ def tag_coverage(df: DataFrame, table_name: str) -> DataFrame:
 
 # --- PII detection ------------------------------------------------------------------------
 
-EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
-PHONE = r"^[+]?[0-9][0-9()-]{7,}[0-9]$"
-NAME_WORDS = v.FAMILY_NAMES_JA + v.GIVEN_NAMES_JA + v.GIVEN_NAMES_EN + v.FAMILY_NAMES_EN
+@dataclass(frozen=True)
+class PiiRule:
+    """A category: the shape of its values, and names of columns that hold such shapes as something else."""
 
+    category: str
+    privacy: str
+    pattern: str
+    unless_column: str = "^$"
 
-def _patterns(name_words: list[str]) -> dict[str, str]:
-    word = "(?:" + "|".join(re.escape(w) for w in name_words) + ")"
-    return {"EMAIL": EMAIL, "NAME": f"^{word}(?: {word})+$", "PHONE_NUMBER": PHONE}
 
+#: Names are told by shape, two or more capitalised words or Chinese signs and kana, so any name counts.
+PII_RULES = (
+    PiiRule("EMAIL", "IDENTIFIER", r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"),
+    PiiRule("NAME", "IDENTIFIER",
+            r"^\p{Lu}[\p{L}'’.-]*(?: \p{Lu}[\p{L}'’.-]*)+$|^[々一-鿿]{1,4} [々ぁ-ヿ一-鿿]{1,5}$",
+            "(?i)region|country|city|branch|segment|type|status|stage|category|industry|product|rating|label"),
+    PiiRule("PHONE_NUMBER", "IDENTIFIER", r"^[+]?[0-9][0-9()-]{7,}[0-9]$"),
+)
 
-def detect_pii(df: DataFrame, threshold: float = 0.8, name_words: list[str] = NAME_WORDS) -> DataFrame:
+
+def detect_pii(df: DataFrame, threshold: float = 0.8, rules: tuple[PiiRule, ...] = PII_RULES) -> DataFrame:
     """Text columns that hold names, e-mail addresses or phone numbers, with match rates.
 
     All columns and categories are rated in one pass over the data.
@@ -147,12 +158,14 @@ def detect_pii(df: DataFrame, threshold: float = 0.8, name_words: list[str] = NA
     text_columns = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
     rates, rows = [], []
     for i, name in enumerate(text_columns):
-        for category, pattern in _patterns(name_words).items():
-            alias = f"r{i}_{category}"
-            rates.append(F.avg(F.col(f"`{name}`").rlike(pattern).cast("double")).alias(alias))
+        for rule in rules:
+            if re.search(rule.unless_column, name):
+                continue
+            alias = f"r{i}_{rule.category}"
+            rates.append(F.avg(F.col(f"`{name}`").rlike(rule.pattern).cast("double")).alias(alias))
             rows.append(
-                F.struct(F.lit(name).alias("column_name"), F.lit(category).alias("semantic_category"),
-                         F.lit("IDENTIFIER").alias("privacy_category"), F.col(alias).alias("match_rate"))
+                F.struct(F.lit(name).alias("column_name"), F.lit(rule.category).alias("semantic_category"),
+                         F.lit(rule.privacy).alias("privacy_category"), F.col(alias).alias("match_rate"))
             )
     return df.agg(*rates).select(F.inline(F.array(*rows))).where(F.col("match_rate") >= threshold)
 

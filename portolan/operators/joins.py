@@ -65,11 +65,16 @@ def not_in(left: DataFrame, key: str, right: DataFrame, right_key: str | None =
     kept = left.where(
         (allowed.scalar() == "all") | ((allowed.scalar() == "keyed") & F.col(key).isNotNull())
     )
-    return kept.join(other, kept[key] == other["__key"], "left_anti")
+    # One row per value: a value that fills the subquery would else be one task's work.
+    distinct = other.where(F.col("__key").isNotNull()).distinct()
+    return kept.join(distinct, kept[key] == distinct["__key"], "left_anti")
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Row changes between two snapshots of a keyed table: INSERT, DELETE or UPDATE."""
+    """Row changes between two snapshots of a keyed table: INSERT, DELETE or UPDATE.
+
+    NULL keys are equal to each other.
+    """
     values = [c for c in new.columns if c not in keys]
     a = old.select(*keys, F.struct(*values).alias("old_row"))
     b = new.select(*keys, F.struct(*values).alias("new_row"))
@@ -78,10 +83,12 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
         .when(F.col("new_row").isNull(), "DELETE")
         .when(~F.col("old_row").eqNullSafe(F.col("new_row")), "UPDATE")
     )
+    on = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
     return (
-        a.join(b, keys, "full")
+        a.alias("a").join(b.alias("b"), on, "full")
         .withColumn("op", op)
         .where(F.col("op").isNotNull())
-        .select(*keys, "op", *[F.col(f"new_row.{c}").alias(c) for c in values],
+        .select(*[F.coalesce(F.col(f"a.{k}"), F.col(f"b.{k}")).alias(k) for k in keys],
+                "op", *[F.col(f"new_row.{c}").alias(c) for c in values],
                 *[F.col(f"old_row.{c}").alias(f"old_{c}") for c in values])
     )

@@ -131,19 +131,22 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return _dot(a, b) / (F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
+    """NULL where either vector is zero."""
+    return F.try_divide(_dot(a, b), F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
 
 
-def nearest(vectors: DataFrame, key: str, vector: str, target: list[float], k: int) -> DataFrame:
+def nearest(vectors: DataFrame, key: str, vector: str, target: list[float] | Column, k: int) -> DataFrame:
     """The ``k`` vectors with the highest cosine to one target vector, ties by key.
 
-    The target is a literal of fixed length, so the scan is a narrow map and each task
-    keeps its ``k`` best rows.
+    The target is a literal or a scalar subquery, so the scan is a narrow map and each task
+    keeps its ``k`` best rows.  A zero vector, or an absent target, has a NULL similarity
+    and ranks last.
     """
-    literal = F.array(*[F.lit(float(x)) for x in target])
+    one = target if isinstance(target, Column) else F.array(*[F.lit(float(x)) for x in target])
     return (
-        vectors.select("*", F.round(cosine(F.col(vector), literal), 6).alias("similarity"))
-        .drop(vector)
-        .orderBy(F.desc("similarity"), key)
+        vectors.withColumn("__target", one)  # on its own, since lambdas take no subquery
+        .withColumn("similarity", F.round(cosine(F.col(vector), F.col("__target")), 6))
+        .drop(vector, "__target")
+        .orderBy(F.desc_nulls_last("similarity"), key)
         .limit(k)
     )

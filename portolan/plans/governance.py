@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -108,18 +110,13 @@ def deals_of_entitled_user(spark, sf_dir):
     return seen.select("deal_id", "sales_rep", "stage", "opportunity_amount")
 
 
-_KINDS = {
-    "EMAIL": "regexp_matches({c}, '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}$')",
-    "NAME": f"(len(string_split({{c}}, ' ')) >= 2 AND list_has_all({q.text_list(g.NAME_WORDS)}, string_split({{c}}, ' ')))",
-    "PHONE_NUMBER": "regexp_matches({c}, '^[+]?[0-9][0-9()-]{{7,}}[0-9]$')",
-}
 _TEXT_COLUMNS = [
     "customer_name", "contact_email", "contact_phone", "country_code", "region", "customer_segment", "risk_rating",
 ]
 _DETECTED_SQL = "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, '{kind}' AS semantic_category, "
-    f"avg(CAST({test.format(c=c)} AS DOUBLE)) AS match_rate FROM customers"
-    for c in _TEXT_COLUMNS for kind, test in _KINDS.items()
+    f"SELECT '{c}' AS column_name, '{r.category}' AS semantic_category, "
+    f"avg(CAST(regexp_matches({c}, {q.text_list([r.pattern])[1:-1]}) AS DOUBLE)) AS match_rate FROM customers"
+    for c in _TEXT_COLUMNS for r in g.PII_RULES if not re.search(r.unless_column, c)
 ) + ") WHERE match_rate >= 0.8"
 
 

@@ -9,7 +9,6 @@ from portolan.plans import sql as q
 from portolan.plans.registry import query
 from portolan.session import scratch_dir
 from portolan.sources import delimited, json_files
-from portolan.sources.spread import spread
 from portolan.streaming import ingest
 
 # Damage done to the files, by value: text in a number, an impossible date, NULL tokens.
@@ -167,7 +166,7 @@ def _dropped_sales(spark, sf_dir, base):
     )
     padded = text.select(*[F.col(n).alias(f" {n.upper()} ") for n in reversed(names)])
     folder = f"{base}/drop"
-    spread(padded).write.mode("append").option("header", True).csv(folder)
+    padded.write.mode("append").option("header", True).csv(folder)
     padded.where(F.lit(False)).write.mode("append").option("header", True).csv(folder)
     return ingest.load_drop_folder(
         spark, folder, f"{base}/archive", f"{base}/target", f"{base}/checkpoint", schemas.CORPORATE_SALES, "deal_id"

@@ -43,7 +43,7 @@ _PCT = "((2000 * sum(n) + sum(sum(n)) OVER ()) // (2 * sum(sum(n)) OVER ())) / 1
     f"""SELECT transaction_id, free_text_notes, classification FROM trades
         JOIN ({_LABEL_SQL}) ON note = free_text_notes""", "trades"))
 def classified_notes(spark, sf_dir):
-    df = bridge.trades(spark, sf_dir, costly=True).select("transaction_id", "free_text_notes")
+    df = bridge.trades(spark, sf_dir).select("transaction_id", "free_text_notes")
     return triage.classify(df, "free_text_notes")
 
 
@@ -51,7 +51,7 @@ def classified_notes(spark, sf_dir):
     f"""SELECT transaction_id, free_text_notes, classification FROM trades
         JOIN ({_DESCRIBED_SQL}) ON note = free_text_notes""", "trades"))
 def classified_notes_by_description(spark, sf_dir):
-    df = bridge.trades(spark, sf_dir, costly=True).select("transaction_id", "free_text_notes")
+    df = bridge.trades(spark, sf_dir).select("transaction_id", "free_text_notes")
     return triage.classify(df, "free_text_notes", triage.labels_by_description(F.col("free_text_notes")))
 
 
@@ -146,7 +146,7 @@ _FIRST, _SECOND = "suspicious compliance review", "urgent expedited settlement y
     f"transaction_type, booking_branch, {q.dbl('amount')} AS amount"))
 def note_search_suspicious(spark, sf_dir):
     return search.scan_search(
-        bridge.trades(spark, sf_dir, costly=True), "transaction_id", "free_text_notes", _FIRST, 10,
+        bridge.trades(spark, sf_dir), "transaction_id", "free_text_notes", _FIRST, 10,
         "transaction_type", "booking_branch", "amount",
     )
 
@@ -156,7 +156,7 @@ def note_search_suspicious(spark, sf_dir):
     f"booking_branch, {q.dbl('amount')} AS amount"))
 def note_search_urgent(spark, sf_dir):
     return search.scan_search(
-        bridge.trades(spark, sf_dir, costly=True), "transaction_id", "free_text_notes", _SECOND, 10,
+        bridge.trades(spark, sf_dir), "transaction_id", "free_text_notes", _SECOND, 10,
         "booking_branch", "amount",
     )
 
@@ -181,7 +181,7 @@ _JAPANESE = "制裁リスト 緊急"
 @query("M9", _search_sql("trades", "transaction_id", "free_text_notes", token_list(_JAPANESE), 10, "booking_branch"))
 def note_search_japanese(spark, sf_dir):
     return search.scan_search(
-        bridge.trades(spark, sf_dir, costly=True), "transaction_id", "free_text_notes", _JAPANESE, 10, "booking_branch"
+        bridge.trades(spark, sf_dir), "transaction_id", "free_text_notes", _JAPANESE, 10, "booking_branch"
     )
 
 
@@ -191,7 +191,7 @@ _DOC_QUERY = "erthen thatou inerre the"
 @query("M9 M12", "WITH " + _bm25_sql("documents", "doc_id", "text", _DOC_QUERY.split(), 20))
 def document_search(spark, sf_dir):
     """Whole documents: build the index, query it, fetch the texts of the hits."""
-    docs = bridge.table(spark, sf_dir, "documents", costly=True).select("doc_id", "text")
+    docs = bridge.table(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_dir(spark, "index")
     search.write_index(docs, "doc_id", "text", path, batch="all")
     hits = search.search(search.read_index(spark, path), "doc_id", _DOC_QUERY, 20)
@@ -224,5 +224,5 @@ def index_terms_after_refresh(spark, sf_dir):
     FROM embeddings WHERE vec_id <> 7 ORDER BY similarity DESC, vec_id LIMIT 10""")
 def nearest_vectors(spark, sf_dir):
     vectors = bridge.table(spark, sf_dir, "embeddings")
-    target = vectors.where(F.col("vec_id") == 7).first()["embedding"]
+    target = vectors.where(F.col("vec_id") == 7).select("embedding").scalar()
     return search.nearest(vectors.where(F.col("vec_id") != 7), "vec_id", "embedding", target, 10)

@@ -63,9 +63,9 @@ _CTE = {
         FROM orders""",
     "customers": f"""SELECT
         c_custkey AS customer_id,
-        CASE WHEN c_custkey % 5 < 3
-             THEN {choose('c_custkey', 50, v.FAMILY_NAMES_JA)} || ' ' || {choose('c_custkey', 1, v.GIVEN_NAMES_JA)}
-             ELSE {choose('c_custkey', 1, v.GIVEN_NAMES_EN)} || ' ' || {choose('c_custkey', 50, v.FAMILY_NAMES_EN)}
+        CASE WHEN ({text_list([c[0] for c in v.COUNTRIES])})[1 + c_nationkey % {len(v.COUNTRIES)}] = 'JP'
+             THEN {choose('c_custkey', 1, v.FAMILY_NAMES_JA)} || ' ' || {choose('c_custkey', 9, v.GIVEN_NAMES_JA)}
+             ELSE {choose('c_custkey', 1, v.GIVEN_NAMES_EN)} || ' ' || {choose('c_custkey', 11, v.FAMILY_NAMES_EN)}
         END AS customer_name,
         'contact' || c_custkey || '@example.com' AS contact_email,
         '+81-3-' || (1000 + c_custkey % 9000) || '-' || (1000 + c_custkey * 7 % 9000) AS contact_phone,

@@ -9,15 +9,19 @@ from pyspark.sql.types import StructType
 from portolan.functions.columns import NULL_TOKENS, null_if_token, try_typed
 from portolan.schemas import as_struct, as_text
 
+#: Streams take a file whatever its age; by default the source skips what is a week older than its newest.
+ANY_AGE = "36500d"
+
 
 def read_text_columns(
-    spark: SparkSession, path: str, schema: StructType, streaming: bool = False, multiline: bool = False,
+    spark: SparkSession, path: str, schema: StructType, streaming: bool = False, multiline: bool = True,
     **options: str,
 ) -> DataFrame:
     """All columns as text plus ``source_file``.
 
-    Columns go by position: a short line gives NULLs, surplus values are dropped.  Only
-    ``multiline`` (line breaks inside quotes) makes a file unsplittable.
+    Columns go by position: a short line gives NULLs, surplus values are dropped.  Values may
+    hold line breaks inside quotes, so a file is read by one task; ``multiline=False`` lets
+    Spark split files that the caller knows to have none.
     """
     reader = spark.readStream if streaming else spark.read
     return (
@@ -26,6 +30,7 @@ def read_text_columns(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
+        .option("maxFileAge", ANY_AGE)
         .options(**options)
         .csv(path)
         .select("*", F.col("_metadata.file_path").alias("source_file"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from portolan.operators.joins import merge_additive
 from portolan.operators.layers import DAILY_KEYS, daily_summary, harmonized_trades
+from portolan.sources.delimited import ANY_AGE
 from portolan.streaming.ingest import run_available
 
 MEASURES = ["tx_count", "total_amount"]
@@ -20,7 +21,12 @@ MEASURES = ["tx_count", "total_amount"]
 
 def change_stream(spark: SparkSession, source: str, schema, max_files: int = 1000) -> DataFrame:
     """Rows appended to a parquet table since the last run of the reading job."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
+    return (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", ANY_AGE)
+        .parquet(source)
+    )
 
 
 def capture_appends(

@@ -122,6 +122,7 @@ def load_drop_folder(
         .option("header", False)
         .option("escape", '"')
         .option("pathGlobFilter", "*.[cC][sS][vV]")
+        .option("maxFileAge", delimited.ANY_AGE)
         .option("maxFilesPerTrigger", max_files)
         .csv(folder)
         .select(

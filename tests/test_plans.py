@@ -29,9 +29,9 @@ def test_no_cross_join_and_no_unbounded_window(name, spark, data):
     plan = plan_of(REGISTRY[name].run(spark, data))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "CollectLimit" not in plan
-    # One row per calendar month or per label is all an unpartitioned window ever sees.
+    # One row per calendar month, label, or hash prefix is all an unpartitioned window ever sees.
     assert ("Window (" not in plan) or name in (
-        "monthly_won_running_total", "label_shares_of_sample"
+        "monthly_won_running_total", "label_shares_of_sample", "random_trade_sample"
     )
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 

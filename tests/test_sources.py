@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from portolan import schemas
 from portolan.operators import messages
 from portolan.sources import delimited, json_files, xml_files
-from portolan.sources.spread import spread
 from portolan.streaming import ingest
 
 HEADER = (
@@ -79,13 +78,6 @@ def test_json_lines(spark, tmp_path):
     assert [r.value for r in json_files.invalid_json(spark.read.text(str(tmp_path)), "value").collect()] == ['{"a":']
 
 
-def test_spread_leaves_large_inputs_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == cores
-    many = spark.range(100, numPartitions=cores * 3)
-    assert spread(many) is many
-
-
 def _transfer(n, amount="5", more="", remit="<RmtInf><Ustrd>rent</Ustrd></RmtInf>"):
     tx = (
         f'<CdtTrfTxInf><PmtId><EndToEndId>E{n}</EndToEndId></PmtId><IntrBkSttlmAmt Ccy="USD">{amount}</IntrBkSttlmAmt>'
