@@ -5,6 +5,8 @@ Each function takes DataFrames and returns one; nothing runs until the caller ac
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,18 @@ def daily_summary(trades: DataFrame, extremes: bool = False) -> DataFrame:
     return trades.groupBy(*DAILY_KEYS).agg(*aggregates)
 
 
+def joined_daily_summary(trades: DataFrame, customers: DataFrame) -> DataFrame:
+    """The daily summary, with extremes, of trades joined with their customers.
+
+    No customer column is asked for, so with unique customer keys the left join changes
+    nothing and the trades are grouped without it.
+    """
+    keyed = customers.where(F.col("customer_id").isNotNull())
+    if keyed.groupBy("customer_id").count().where("count > 1").isEmpty():
+        return daily_summary(trades, extremes=True)
+    return daily_summary(harmonized_trades(trades, customers), extremes=True)
+
+
 def customer_summary(customers: DataFrame, trades: DataFrame) -> DataFrame:
     """Per customer: trade count (0 without trades), sum and latest date (NULL without).
 
@@ -74,6 +88,24 @@ def semantic_trades(harmonized: DataFrame) -> DataFrame:
     )
 
 
+def trade_orders_view(trades: DataFrame, customers: DataFrame) -> Callable[[set[str]], DataFrame]:
+    """The semantic view of trades for a set of asked names and conditions.
+
+    Customers are joined only if one of their attributes is named; without, these columns are
+    absent.
+    """
+    attributes = ("customer_region", "customer_segment", "risk_rating")
+
+    def view(asked: set[str]) -> DataFrame:
+        if any(a in text for a in attributes for text in asked):
+            return semantic_trades(harmonized_trades(trades, customers))
+        return trades.withColumn("customer_id", F.col("customer_id").cast("string")).select(
+            *[c for c in SEMANTIC_TRADE_COLUMNS if c not in attributes]
+        )
+
+    return view
+
+
 def harmonized_sales(sales: DataFrame) -> DataFrame:
     """Deals plus the flags won / lost / active as 1 or 0."""
     return sales.withColumns(

@@ -47,13 +47,21 @@ def transfer_headers(parsed: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def transfers(parsed: DataFrame, *keep: str, every: bool = False) -> DataFrame:
-    """One row per credit transfer message: its first transaction, or ``every`` one."""
+def _joined(texts: Column) -> Column:
+    """All texts of a repeated element, in order; NULL without any."""
+    return F.when(F.size(texts) > 0, F.array_join(texts, " "))
+
+
+def transfers(parsed: DataFrame, *keep: str, nth: int | None = None) -> DataFrame:
+    """One row per transaction of each credit transfer message, or only the ``nth`` from 0.
+
+    The remittance information joins all its lines by a blank.
+    """
     all_tx = F.col("doc.FIToFICstmrCdtTrf.CdtTrfTxInf")
     rows = parsed.select(
         *keep,
         F.col("doc.FIToFICstmrCdtTrf.GrpHdr.MsgId").alias("msg_id"),
-        F.explode(all_tx if every else F.slice(all_tx, 1, 1)).alias("tx"),
+        F.explode(all_tx if nth is None else F.slice(all_tx, nth + 1, 1)).alias("tx"),
     )
     return rows.select(
         *keep,
@@ -63,7 +71,7 @@ def transfers(parsed: DataFrame, *keep: str, every: bool = False) -> DataFrame:
         F.col("tx.IntrBkSttlmAmt._Ccy").alias("currency"),
         F.col("tx.Dbtr.Nm").alias("debtor_name"),
         F.col("tx.Cdtr.Nm").alias("creditor_name"),
-        F.col("tx.RmtInf.Ustrd").alias("remittance_info"),
+        _joined(F.col("tx.RmtInf.Ustrd")).alias("remittance_info"),
         F.col("tx.InstgAgt.FinInstnId.BICFI").alias("instructing_agent_bic"),
     )
 
@@ -84,10 +92,14 @@ def large_value_alerts(transfer_rows: DataFrame, at_least: int = v.LARGE_VALUE_A
 
 
 def statement_entries(parsed: DataFrame, *keep: str) -> DataFrame:
-    """One row per entry of the statement; a statement without entries gives none."""
-    statement = F.get(F.col("doc.BkToCstmrStmt.Stmt"), F.lit(0))
-    rows = parsed.select(*keep, statement.alias("stmt")).select(
+    """One row per entry of every statement; a statement without entries gives none.
+
+    ``statement_index`` and ``entry_index`` count from 0.  The remittance information joins
+    the lines of all details of the entry by a blank.
+    """
+    rows = parsed.select(*keep, F.posexplode("doc.BkToCstmrStmt.Stmt").alias("statement_index", "stmt")).select(
         *keep,
+        "statement_index",
         F.col("stmt.Acct.Id.IBAN").alias("account_iban"),
         F.col("stmt.Acct.Ccy").alias("account_currency"),
         F.posexplode("stmt.Ntry").alias("entry_index", "entry"),
@@ -96,21 +108,22 @@ def statement_entries(parsed: DataFrame, *keep: str) -> DataFrame:
         *keep,
         "account_iban",
         "account_currency",
+        "statement_index",
         "entry_index",
         _money(F.col("entry.Amt")).alias("entry_amount"),
         F.col("entry.Amt._Ccy").alias("entry_currency"),
         F.col("entry.CdtDbtInd").alias("debit_credit"),
         F.col("entry.BookgDt.Dt").try_cast("date").alias("booking_date"),
-        F.col("entry.NtryDtls.TxDtls.RmtInf.Ustrd").alias("remittance_info"),
+        _joined(F.flatten(F.flatten(F.transform(
+            "entry.NtryDtls", lambda d: F.transform(d["TxDtls"], lambda t: F.coalesce(t["RmtInf"]["Ustrd"], F.array())))
+        ))).alias("remittance_info"),
     )
 
 
 def nth_entry(parsed: DataFrame, index: int, *keep: str) -> DataFrame:
-    """The n-th entry of each statement by position; NULLs when it has fewer."""
-    entry = F.get(F.get(F.col("doc.BkToCstmrStmt.Stmt"), F.lit(0))["Ntry"], F.lit(index))
-    return parsed.select(*keep, F.col("doc.BkToCstmrStmt").alias("s"), entry.alias("entry")).where(
-        F.col("s").isNotNull()
-    ).select(
+    """The n-th entry of every statement by position; NULLs when it has fewer."""
+    statements = parsed.select(*keep, F.explode("doc.BkToCstmrStmt.Stmt").alias("stmt"))
+    return statements.select(*keep, F.get("stmt.Ntry", F.lit(index)).alias("entry")).select(
         *keep,
         _money(F.col("entry.Amt")).alias("entry_amount"),
         F.col("entry.Amt._Ccy").alias("entry_currency"),

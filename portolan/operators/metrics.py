@@ -5,6 +5,7 @@ A metric query names metrics, dimensions and filters; it becomes one ``groupBy()
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,7 +96,7 @@ def resolve(name: str, entity: str | None = None) -> tuple[str, str]:
 
 
 def metric_query(
-    views: dict[str, DataFrame],
+    views: dict[str, DataFrame | Callable[[set[str]], DataFrame]],
     metrics: list[str],
     dimensions: list[str] = (),
     filters: list[Column] = (),
@@ -105,7 +106,8 @@ def metric_query(
     """Metrics by dimensions over one entity.
 
     Amounts of different currencies are never added: such a metric brings the currency
-    into the grain.  With ``limit`` the rows with the highest first metric are kept.
+    into the grain.  With ``limit`` the rows with the highest first metric are kept.  A view may
+    be a function of the names and conditions asked for, so that it joins no more than it must.
     """
     resolved = [resolve(n, entity) for n in [*metrics, *dimensions]]
     names = {e for e, _ in resolved}
@@ -122,6 +124,8 @@ def metric_query(
         grain.append(model.currency)
 
     rows = views[name]
+    if callable(rows):
+        rows = rows({*grain, *chosen, *map(str, filters)})
     for condition in filters:
         rows = rows.where(condition)
     result = rows.groupBy(*[model.dimensions[d].alias(d) for d in grain]).agg(

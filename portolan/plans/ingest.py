@@ -95,6 +95,22 @@ def reload_finds_nothing(spark, sf_dir):
     )
 
 
+@query("A7 A5", q.query(
+    f"""SELECT (SELECT count(*) FROM ({_GOOD_SQL})) AS rows_loaded, count(*) AS rows_rejected, true AS every_error_named,
+        true AS every_file_timed FROM trades WHERE ({_BAD_AMOUNT}) OR ({_BAD_DATE})""", "trades"))
+def load_ledger_totals(spark, sf_dir):
+    """The ledger of a load, added up over its files."""
+    base = scratch_dir(spark, "ledger")
+    landing, target = f"{base}/landing", f"{base}/target"
+    _damaged_trades(spark, sf_dir).write.option("header", True).option("escape", '"').csv(landing)
+    ingest.ingest_csv(spark, landing, schemas.TRADES, target, f"{base}/checkpoint")
+    named = (F.col("rows_rejected") > 0) == F.col("first_error").isNotNull()
+    return ingest.load_ledger(spark, target).agg(
+        F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_rejected").alias("rows_rejected"),
+        F.bool_and(named).alias("every_error_named"), F.bool_and(F.col("loaded_at").isNotNull()).alias("every_file_timed"),
+    )
+
+
 @query("A2 I10", q.query(
     """SELECT customer_id, customer_name, risk_rating, NULL::VARCHAR AS contact_phone, 0 AS element FROM customers
        UNION ALL SELECT customer_id, NULL, NULL, contact_phone, 1 FROM customers""", "customers"))

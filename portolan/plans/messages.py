@@ -13,10 +13,9 @@ from portolan.plans.registry import query
 from portolan.session import scratch_dir
 from portolan.sources import xml_files
 
-_TRANSFER_SQL = f"""transaction_id AS msg_id, 'E2E-' || customer_id AS end_to_end_id,
-    {q.dbl('amount')} AS settlement_amount, currency_code AS currency, 'Debtor ' || customer_id AS debtor_name,
+_TRANSFER_SQL = f"""transaction_id AS msg_id, 'E2E-' || customer_id || '-' || i AS end_to_end_id,
+    {q.dbl('tx_amount')} AS settlement_amount, currency_code AS currency, 'Debtor ' || customer_id AS debtor_name,
     'Creditor ' || counterparty_country AS creditor_name"""
-_REMITTANCE = "CASE WHEN instrument_type <> 'LC' THEN free_text_notes END"
 
 
 def _transfers(spark, sf_dir):
@@ -28,37 +27,38 @@ def _statements(spark, sf_dir):
 
 
 @query("I4 I2", q.query(
-    f"""SELECT transaction_id AS msg_id, {q.stamp('created_at')} AS created_at, 1::BIGINT AS num_transactions
+    f"""SELECT transaction_id AS msg_id, {q.stamp('created_at')} AS created_at, customer_id % 3 + 1 AS num_transactions
         FROM trades""", "trades"))
 def transfer_headers(spark, sf_dir):
     return messages.transfer_headers(_transfers(spark, sf_dir))
 
 
 @query("I5 I2 I3 I10", q.query(
-    f"""SELECT {_TRANSFER_SQL}, {_REMITTANCE} AS remittance_info,
-        upper(booking_branch) || 'XX' AS instructing_agent_bic FROM trades""", "trades"))
+    f"""SELECT {_TRANSFER_SQL}, remittance AS remittance_info,
+        upper(booking_branch) || 'XX' AS instructing_agent_bic FROM transfers""", "transfers"))
 def transfer_details(spark, sf_dir):
     return messages.transfers(_transfers(spark, sf_dir))
 
 
 @query("D14", q.query(
-    f"""SELECT currency_code AS currency, count(*) AS msg_count, {q.dbl('sum(amount)')} AS total_amount,
-        round(avg(amount), 6) AS avg_amount FROM trades GROUP BY currency_code""", "trades"))
+    f"""SELECT currency_code AS currency, count(*) AS msg_count, {q.dbl('sum(tx_amount)')} AS total_amount,
+        round(avg(tx_amount), 6) AS avg_amount FROM transfers GROUP BY currency_code""", "transfers"))
 def transfer_currency_totals(spark, sf_dir):
     return messages.currency_totals(messages.transfers(_transfers(spark, sf_dir))).orderBy(F.desc("total_amount"))
 
 
 @query("B9", q.query(
-    f"""SELECT {_TRANSFER_SQL}, 'LARGE_VALUE_ALERT' AS flag FROM trades WHERE amount >= 400000""", "trades"))
+    f"""SELECT {_TRANSFER_SQL}, 'LARGE_VALUE_ALERT' AS flag FROM transfers WHERE tx_amount >= 400000""", "transfers"))
 def large_value_alerts(spark, sf_dir):
     found = messages.large_value_alerts(messages.transfers(_transfers(spark, sf_dir)), at_least=400_000)
     return found.drop("remittance_info", "instructing_agent_bic").orderBy(F.desc("settlement_amount"))
 
 
 @query("I6 C6", q.query(
-    f"""SELECT account_iban, 'JPY' AS account_currency, CAST(n - 1 AS INTEGER) AS entry_index,
+    f"""SELECT account_iban, 'JPY' AS account_currency, CAST(statement_index AS INTEGER) AS statement_index,
+        CAST(n - 1 AS INTEGER) AS entry_index,
         {q.dbl('entry_amount')} AS entry_amount, entry_currency, debit_credit,
-        {q.day('booking_date')} AS booking_date, 'Entry ' || n AS remittance_info FROM entries""", "entries"))
+        {q.day('booking_date')} AS booking_date, 'Entry ' || n || ' of the day closing' AS remittance_info FROM entries""", "entries"))
 def statement_entries(spark, sf_dir):
     return messages.statement_entries(_statements(spark, sf_dir))
 
@@ -81,15 +81,17 @@ def account_totals_per_currency(spark, sf_dir):
 
 @query("I7 I10", q.query(
     f"""SELECT {q.dbl('e.entry_amount')} AS entry_amount, e.entry_currency
-        FROM orders o LEFT JOIN entries e ON o.o_orderkey = e.o_orderkey AND e.n = 2""", "entries"))
+        FROM statements o LEFT JOIN entries e
+        ON o.o_orderkey = e.o_orderkey AND o.statement_index = e.statement_index AND e.n = 2""", "statements", "entries"))
 def second_statement_entry(spark, sf_dir):
     return messages.nth_entry(_statements(spark, sf_dir), 1)
 
 
 @query("M8", q.query(
     f"""SELECT transaction_id AS msg_id, n.remittance_info, risk_level, reason
-        FROM (SELECT transaction_id, {_REMITTANCE} AS remittance_info FROM trades) n
-        LEFT JOIN ({RISK_SQL}) r ON n.remittance_info = r.note""", "trades"))
+        FROM (SELECT transaction_id, remittance AS remittance_info, CASE WHEN instrument_type <> 'LC' THEN free_text_notes END
+              AS note FROM transfers) n
+        LEFT JOIN ({RISK_SQL}) r USING (note)""", "trades", "transfers"))
 def remittance_red_flags(spark, sf_dir):
     rows = messages.transfers(_transfers(spark, sf_dir))
     return remittance_risk(rows, "remittance_info").select("msg_id", "remittance_info", "risk_level", "reason")
@@ -97,11 +99,12 @@ def remittance_red_flags(spark, sf_dir):
 
 @query("A3 A4", q.query(
     f"""SELECT 'pacs.008' AS message_type, count(*) AS message_count, count(*) AS distinct_ids,
-        {q.dbl('sum(amount)')} AS total_amount FROM trades
+        {q.dbl('(SELECT sum(tx_amount) FROM transfers)')} AS total_amount FROM trades
         UNION ALL
         SELECT 'camt.053', (SELECT count(*) FROM orders), (SELECT count(*) FROM orders), {q.dbl('sum(entry_amount)')}
         FROM entries
-        UNION ALL SELECT 'unknown', count(*), count(*), {q.dbl('sum(amount)')} FROM trades""", "trades", "entries"))
+        UNION ALL SELECT 'unknown', count(*), count(*), {q.dbl('(SELECT sum(tx_amount) FROM transfers)')}
+        FROM trades""", "trades", "transfers", "entries"))
 def xml_files_loaded(spark, sf_dir):
     """Write message files below three folders, load them all, and total them by type."""
     landing = scratch_dir(spark, "xml")
@@ -110,16 +113,13 @@ def xml_files_loaded(spark, sf_dir):
     bridge.statement_xml(spark, sf_dir).write.text(f"{landing}/camt_053")
     transfers.write.text(f"{landing}/other")
 
-    loaded = xml_files.load_xml_messages(spark, landing).withColumn(
-        # Part files of two folders can share a name, so the folder is part of the id here.
-        "message_id", F.concat(F.split_part("source_file", F.lit("/"), F.lit(-2)), F.lit("/"), F.col("message_id"))
-    )
-    parsed = messages.parse(loaded)
+    parsed = messages.parse(xml_files.load_xml_messages(spark, landing))
     amounts = F.coalesce(
         F.transform(F.col("doc.FIToFICstmrCdtTrf.CdtTrfTxInf"), lambda t: t["IntrBkSttlmAmt"]["_VALUE"]),
-        F.transform(
-            F.get(F.col("doc.BkToCstmrStmt.Stmt"), F.lit(0))["Ntry"], lambda e: e["Amt"]["_VALUE"]
-        ),
+        F.flatten(F.transform(
+            F.col("doc.BkToCstmrStmt.Stmt"),
+            lambda s: F.coalesce(F.transform(s["Ntry"], lambda e: e["Amt"]["_VALUE"]), F.array()),
+        )),
     )
     total = F.aggregate(
         amounts, F.lit(0).cast("decimal(28,2)"),

@@ -12,9 +12,8 @@ from portolan.plans.registry import query
 
 
 def _views(spark, sf_dir):
-    trades = layers.harmonized_trades(bridge.trades(spark, sf_dir), bridge.customers(spark, sf_dir))
     return {
-        "trade_orders": layers.semantic_trades(trades),
+        "trade_orders": layers.trade_orders_view(bridge.trades(spark, sf_dir), bridge.customers(spark, sf_dir)),
         "corporate_sales": layers.semantic_sales(layers.harmonized_sales(bridge.sales(spark, sf_dir))),
     }
 

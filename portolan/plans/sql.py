@@ -119,14 +119,21 @@ _CTE = {
         FROM events""",
     "entitlements": f"""SELECT 'USER_' || s_nationkey AS user_name,
         'rep.' || {pad('s_suppkey', 4)} AS sales_rep FROM supplier""",
-    "entries": f"""SELECT o_orderkey, 'JP' || {pad('o_custkey', 10)} AS account_iban, n,
+    "transfers": """SELECT t.*, i, t.amount + i AS tx_amount,
+        CASE WHEN instrument_type <> 'LC' THEN free_text_notes || CASE WHEN i > 0 THEN ' part ' || i ELSE '' END END
+          AS remittance
+        FROM trades t, (VALUES (0), (1), (2)) AS g(i) WHERE i <= customer_id % 3""",
+    "statements": f"""SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, s AS statement_index,
+        CASE s WHEN 0 THEN 'JP' ELSE 'SG' END || {pad('o_custkey', 10)} AS account_iban
+        FROM orders, (VALUES (0), (1)) AS g(s) WHERE s = 0 OR o_orderkey % 5 = 0""",
+    "entries": f"""SELECT o_orderkey, account_iban, statement_index, n,
         CAST(o_totalprice AS DECIMAL(18,2)) + n AS entry_amount,
         ({text_list(bridge.STATEMENT_CURRENCIES)})[1 + n % 3] AS entry_currency,
         CASE WHEN (o_orderkey + n) % 2 = 0 THEN 'CRDT' ELSE 'DBIT' END AS debit_credit,
         CAST(o_orderdate AS DATE) + CAST(n AS INTEGER) AS booking_date
-        FROM orders, (VALUES (1), (2), (3)) AS g(n) WHERE n <= o_orderkey % 4""",
+        FROM statements, (VALUES (1), (2), (3)) AS g(n) WHERE n <= o_orderkey % 4""",
 }
-_NEEDS = {"accessed": ["access_log"]}
+_NEEDS = {"accessed": ["access_log"], "transfers": ["trades"], "entries": ["statements"]}
 
 
 def query(body: str, *names: str, **ctes: str) -> str:
@@ -134,7 +141,8 @@ def query(body: str, *names: str, **ctes: str) -> str:
     parts: list[str] = []
     for name in names:
         for need in _NEEDS.get(name, []):
-            parts.append(f"{need} AS ({_CTE[need]})")
+            if need not in names:
+                parts.append(f"{need} AS ({_CTE[need]})")
         parts.append(f"{name} AS ({_CTE[name]})")
     parts += [f"{name} AS ({text})" for name, text in ctes.items()]
     return ("WITH " + ", ".join(parts) + " " if parts else "") + body

@@ -27,7 +27,7 @@ PAYLOAD = f"""
             InstgAgt: {_AGENT},
             Dbtr: struct<Nm: string>,
             Cdtr: struct<Nm: string>,
-            RmtInf: struct<Ustrd: string>>>>,
+            RmtInf: struct<Ustrd: array<string>>>>>,
     BkToCstmrStmt struct<
         Stmt: array<struct<
             Acct: struct<Id: struct<IBAN: string>, Ccy: string>,
@@ -35,7 +35,7 @@ PAYLOAD = f"""
                 Amt: {_AMOUNT},
                 CdtDbtInd: string,
                 BookgDt: struct<Dt: string>,
-                NtryDtls: struct<TxDtls: struct<RmtInf: struct<Ustrd: string>>>>>>>>
+                NtryDtls: array<struct<TxDtls: array<struct<RmtInf: struct<Ustrd: array<string>>>>>>>>>>>
 """
 
 

@@ -10,20 +10,16 @@ def explode_json_array(rows: DataFrame, text: str, path: str = "$") -> DataFrame
     """One row per element of the JSON array in a text column; other columns are kept.
 
     ``path`` names an array inside the document.  A single object counts as an array of
-    one.  Text that is not JSON gives no row; see ``invalid_json``.
+    one.  Text that is not JSON gives no row; see ``invalid_json``.  A whole-text array is
+    parsed element by element, so the size limit of a variant holds for each element, not
+    for the array.
     """
-    doc = F.try_variant_get(F.try_parse_json(text), path, "variant")
-    parsed = rows.where(F.trim(text) != "").withColumn("__doc", doc)
-    single = F.schema_of_variant("__doc").startswith("OBJECT")
-    wrapped = parsed.withColumn(
-        "__doc",
-        F.when(single, F.try_parse_json(F.concat(F.lit("["), F.to_json("__doc"), F.lit("]")))).otherwise(F.col("__doc")),
-    )
-    elements = rows.sparkSession.tvf.variant_explode(F.col("__doc").outer())
     keep = [c for c in rows.columns if c != text]
-    return wrapped.lateralJoin(elements).select(
-        *keep, F.col("pos").alias("element"), F.col("value").alias("payload")
-    )
+    doc = F.col(text) if path == "$" else F.get_json_object(text, path)
+    single = F.ltrim(doc).startswith("{")
+    listed = F.when(single, F.array(F.try_parse_json(doc))).otherwise(F.from_json(doc, "array<variant>"))
+    parsed = rows.where(F.trim(text) != "").select(*keep, listed.alias("__items"))
+    return parsed.select(*keep, F.posexplode("__items").alias("element", "payload")).where(F.col("payload").isNotNull())
 
 
 def invalid_json(rows: DataFrame, text: str) -> DataFrame:

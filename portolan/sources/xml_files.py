@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from portolan.functions.columns import base_name
 
 _BLANK = " \n\r\t﻿"
 
 
-def read_documents(spark: SparkSession, path: str, end_tag: str = "</Document>") -> DataFrame:
-    """Documents of all files under ``path`` as text, with their row number in the file.
+_CLOSING = r"</((?:[A-Za-z_][\w.-]*:)?)$"
+_OPENING = r"<((?:[A-Za-z_][\w.-]*:)?)$"
+_NO_TEXT = r"(?s)<\?.*?\?>|<!--.*?-->"
 
-    The end tag is the record separator, so large files split.  A row number is the
-    position inside its split plus the number of documents in the file's earlier splits;
-    only one count per split is grouped and joined back, never a whole file.
-    """
-    docs = (
-        spark.read.option("lineSep", end_tag)
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """Text between the ends of ``Document`` tags of any prefix; such an end separates records."""
+    return (
+        spark.read.option("lineSep", "Document>")
         .option("recursiveFileLookup", True)
         .text(path)
         .select(
@@ -27,21 +28,45 @@ def read_documents(spark: SparkSession, path: str, end_tag: str = "</Document>")
             F.col("_metadata.file_block_start").alias("split_start"),
             F.monotonically_increasing_id().alias("position"),
         )
-        .where(F.col("body") != "")
     )
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of all files under ``path`` as text, with their row number in the file.
+
+    Records end where a closing ``Document`` tag ends, so large files split.  A record that
+    ends otherwise is no document; see ``leftover_text``.  A start tag without attributes ends
+    a record too and is put back in front of its document.  A row number is the position
+    inside its split plus the number of documents in the file's earlier splits; only one
+    count per split is grouped and joined back, never a whole file.
+    """
+    records = _records(spark, path).where(F.col("body").rlike(_CLOSING))
+    prefix = F.regexp_extract("body", _CLOSING, 1)
+    bare = ~F.col("body").rlike(r"<(?:[A-Za-z_][\w.-]*:)?Document[\s>]")
+    docs = records.withColumn(
+        "body", F.concat(F.when(bare, F.concat(F.lit("<"), prefix, F.lit("Document>"))).otherwise(""),
+                         F.col("body"), F.lit("Document>")))
     splits = docs.groupBy("source_file", "split_start").agg(
-        F.min("position").alias("first_position"), F.count("*").alias("n")
+        F.min("position").alias("first_position"), F.max("position").alias("last_position"),
+        F.count("*").alias("n")
     )
     before = Window.partitionBy("source_file").orderBy("split_start").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = splits.withColumn("docs_before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    offsets = splits.withColumn("docs_before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n", "last_position")
     row = F.col("position") - F.col("first_position") + F.col("docs_before") + 1
     return docs.join(offsets, ["source_file", "split_start"]).select(
-        F.concat("body", F.lit(end_tag)).alias("payload"), "source_file", row.alias("row_number")
+        F.col("body").alias("payload"), "source_file", row.alias("row_number")
     )
 
 
+def leftover_text(spark: SparkSession, path: str) -> DataFrame:
+    """Text outside all documents, by file; comments and processing instructions are none."""
+    records = _records(spark, path).where(~F.col("body").rlike(_CLOSING))
+    text = F.btrim(F.regexp_replace(F.regexp_replace("body", _OPENING, ""), _NO_TEXT, ""), F.lit(_BLANK))
+    return records.select("source_file", text.alias("text")).where(F.col("text") != "")
+
+
 def message_type(path):
     """Message type guessed from the file path."""
     return (
@@ -52,10 +77,15 @@ def message_type(path):
 
 
 def load_xml_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Message table: id, receive time, type, payload, file."""
+    """Message table: id, receive time, type, payload, file.
+
+    The id is the file's path below ``path`` and the row number in the file, so part files of
+    two folders differ.
+    """
     file = F.col("source_file")
+    below = F.regexp_replace(file, "^.*?" + re.escape(path.rstrip("/").split("://")[-1]) + "/+", "")
     return read_documents(spark, path).select(
-        F.concat(base_name(file), F.lit("-"), F.col("row_number").cast("string")).alias("message_id"),
+        F.concat(below, F.lit("-"), F.col("row_number").cast("string")).alias("message_id"),
         F.current_timestamp().alias("received_at"),
         message_type(file).alias("message_type"),
         "payload",

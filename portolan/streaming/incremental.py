@@ -2,12 +2,13 @@
 
 A micro-batch is grouped to its delta and written under its batch id; readers sum the
 deltas.  Adding straight into a table would count a replayed batch twice, overwriting
-the batch's own folder does not.  Batch ids restart with a new checkpoint, so state and
-checkpoint belong together: lose one, drop both and rebuild from the source.
+the batch's own folder does not.  Batch ids restart with a new checkpoint, so the state
+records the checkpoint it belongs to and refuses any other.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,10 @@ def daily_delta(trades: DataFrame) -> DataFrame:
     )
 
 
-def write_delta(batch: DataFrame, batch_id: int, state: str) -> None:
+def write_delta(batch: DataFrame, batch_id: int, state: str, held: int = -1) -> None:
+    """Write the delta of a batch; batches up to ``held`` are in the state already."""
+    if batch_id <= held:
+        return
     (
         daily_delta(batch)
         .withColumn("last_updated_at", F.current_timestamp())
@@ -55,12 +59,53 @@ def write_delta(batch: DataFrame, batch_id: int, state: str) -> None:
     )
 
 
+_OWNER = "checkpoint_id string, held bigint"
+
+
+def _owner(spark: SparkSession, state: str) -> tuple[str | None, int]:
+    """The checkpoint a state belongs to, and the last batch its compacted part holds."""
+    try:
+        row = spark.read.schema(_OWNER).parquet(f"{state}/owner").first()
+    except AnalysisException:
+        row = None
+    return (row.checkpoint_id, row.held) if row else (None, -1)
+
+
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id that the streaming engine keeps in a checkpoint; None before its first run."""
+    try:
+        return spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+    except (AnalysisException, AttributeError):
+        return None
+
+
+def _has_deltas(spark: SparkSession, state: str) -> bool:
+    try:
+        return not spark.read.parquet(f"{state}/deltas").isEmpty()
+    except AnalysisException:
+        return False
+
+
 def update_daily_totals(
     spark: SparkSession, source: str, schema, state: str, checkpoint: str, max_files: int = 1000
 ) -> int:
-    """Fold newly appended trades into the daily totals; no new file, no batch."""
+    """Fold newly appended trades into the daily totals; no new file, no batch.
+
+    A state that another checkpoint wrote, or whose checkpoint is gone, is refused.
+    """
+    owner, held = _owner(spark, state)
+    current = _checkpoint_id(spark, checkpoint)
+    if owner != current and (owner or (current is None and _has_deltas(spark, state))):
+        raise ValueError(f"state {state} belongs to another checkpoint than {checkpoint}; rebuild both from the source")
     stream = change_stream(spark, source, schema, max_files)
-    return run_available(stream, lambda batch, batch_id: write_delta(batch, batch_id, state), checkpoint)
+    batches = run_available(stream, lambda batch, batch_id: write_delta(batch, batch_id, state, held), checkpoint)
+    if owner is None:
+        _claim(spark, state, _checkpoint_id(spark, checkpoint), held)
+    return batches
+
+
+def _claim(spark: SparkSession, state: str, checkpoint_id: str | None, held: int) -> None:
+    spark.createDataFrame([(checkpoint_id, held)], _OWNER).coalesce(1).write.mode("overwrite").parquet(f"{state}/owner")
 
 
 def read_daily_totals(spark: SparkSession, state: str) -> DataFrame:
@@ -75,24 +120,49 @@ def read_daily_totals(spark: SparkSession, state: str) -> DataFrame:
 def compact_daily_totals(spark: SparkSession, state: str, compacted: str) -> None:
     """Write the current totals as the first delta of a new state folder.
 
-    Hand the new folder to the following updates, whose batch ids go on from the same
-    checkpoint.  Compact only after an update that ended well: a batch that was written
-    but not yet committed would be replayed into the new folder and count twice.
+    The new folder takes over the checkpoint and records the last batch it holds, so a batch
+    that was written but not yet committed is not counted again when it is replayed.
     """
+    owner, held = _owner(spark, state)
+    last = spark.read.parquet(f"{state}/deltas").agg(F.max("batch_id")).first()[0]
     read_daily_totals(spark, state).write.mode("overwrite").parquet(f"{compacted}/deltas/batch_id=-1")
+    _claim(spark, compacted, owner, max(held, int(last) if last is not None else -1))
+
+
+_VERSIONS = "version bigint, trades string, customers string"
+
+
+def _signature(df: DataFrame) -> str:
+    """Changes with any row added, dropped or altered: row count and two combined row hashes."""
+    row = df.agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("x"),
+        F.sum(F.xxhash64(F.lit(1), *df.columns).cast("decimal(38,0)")).alias("s"),
+    ).first()
+    return f"{row.n}/{row.x}/{row.s}"
 
 
 def refresh_daily_summary(trades: DataFrame, customers: DataFrame, path: str) -> DataFrame:
     """The declarative twin: joined table first, then the summary that reads it.
 
-    Both results are written tables, so a lost executor recomputes from the nearest one.
+    Each refresh writes a new version and names it only when it is complete, so readers never
+    see half of one.  If neither source has changed, nothing is written and the last version
+    is returned.
     """
     spark = trades.sparkSession
-    joined = harmonized_trades(trades, customers).drop("contact_email", "contact_phone")
-    joined.write.mode("overwrite").parquet(f"{path}/trade_orders")
-    summary = daily_summary(spark.read.parquet(f"{path}/trade_orders"), extremes=True)
-    summary.write.mode("overwrite").parquet(f"{path}/daily_trade_summary")
-    return spark.read.parquet(f"{path}/daily_trade_summary")
+    now = (_signature(trades), _signature(customers))
+    try:
+        last = spark.read.schema(_VERSIONS).parquet(f"{path}/versions").orderBy(F.desc("version")).first()
+    except AnalysisException:
+        last = None
+    version = last.version if last else 0
+    if last is None or (last.trades, last.customers) != now:
+        version += 1
+        joined = harmonized_trades(trades, customers).drop("contact_email", "contact_phone")
+        joined.write.mode("overwrite").parquet(f"{path}/trade_orders/{version}")
+        summary = daily_summary(spark.read.parquet(f"{path}/trade_orders/{version}"), extremes=True)
+        summary.write.mode("overwrite").parquet(f"{path}/daily_trade_summary/{version}")
+        spark.createDataFrame([(version, *now)], _VERSIONS).coalesce(1).write.mode("append").parquet(f"{path}/versions")
+    return spark.read.parquet(f"{path}/daily_trade_summary/{version}")
 
 
 def apply_delta(totals: DataFrame, batch: DataFrame) -> DataFrame:

@@ -64,6 +64,19 @@ def ingested(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
     return good, rows.where("rejected = 1").select("source_file", "bad_columns", "raw_row")
 
 
+def load_ledger(spark: SparkSession, target: str) -> DataFrame:
+    """Per loaded file: rows loaded and rejected, the first error, status, time of the load."""
+    rows = spark.read.parquet(target)
+    error = F.when(F.col("rejected") == 1, F.concat_ws(": ", F.array_join("bad_columns", ","), "raw_row"))
+    return rows.groupBy("source_file").agg(
+        F.count_if(F.col("rejected") == 0).alias("rows_loaded"),
+        F.count_if(F.col("rejected") == 1).alias("rows_rejected"),
+        F.min(error).alias("first_error"),
+        F.min("loaded_at").alias("loaded_at"),
+    ).withColumn("status", F.when(F.col("rows_rejected") == 0, "LOADED").when(F.col("rows_loaded") > 0, "PARTLY LOADED")
+                 .otherwise("REJECTED"))
+
+
 # --- drop folder ------------------------------------------------------------------------
 
 _REPORT = "source_file string, status string, row_count bigint, message string"
@@ -100,7 +113,6 @@ def load_drop_folder(
     checkpoint: str,
     schema_ddl: str,
     key_column: str,
-    width: int = 32,
     max_files: int = 1000,
 ) -> DataFrame:
     """Load the tabular files people drop into a folder; returns the report per file.
@@ -108,19 +120,24 @@ def load_drop_folder(
     Columns are matched by the trimmed header names of each file, whatever their order.
     A value that does not fit its column becomes NULL.  A file without data rows is an
     error entry and stays in the folder; the other files are loaded and moved to
-    ``archive``.  The header of a file is the row that names ``key_column``.
+    ``archive``.  The header of a file is its first record, which must name ``key_column``.
+    Cells may hold line breaks; the number of columns is that of the widest line there.
 
     Files move only after their micro-batch is committed, so a batch replayed after a
     failure still finds them, and a run that died before moving is made up for by the
     next one.  A name that was loaded before is not loaded again; it is an error entry.
     """
     schema = as_struct(schema_ddl)
+    # Commas inside quotes count too, so this is the width or more.
+    there = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(folder)
+    width = there.agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
     positions = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
     cells = F.array(*[F.col(f.name) for f in positions])
     lines = (
         spark.readStream.schema(positions)
         .option("header", False)
         .option("escape", '"')
+        .option("multiLine", True)
         .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("maxFileAge", delimited.ANY_AGE)
         .option("maxFilesPerTrigger", max_files)
@@ -132,12 +149,15 @@ def load_drop_folder(
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        named = batch.withColumn("names", F.transform("cells", lambda c: F.lower(F.trim(c))))
-        # Absent cells are NULL, which would turn "not found" into NULL.
-        is_header = F.coalesce(F.array_contains("names", key_column), F.lit(False))
+        named = batch.withColumn("position", F.monotonically_increasing_id())
         # One row per file of the batch, so never more than ``max_files`` rows.
-        headers = named.where(is_header).groupBy("path").agg(F.min("names").alias("header"))
-        data = named.where(~is_header).drop("names").join(F.broadcast(headers), "path")
+        first = F.min(F.struct("position", F.transform("cells", lambda c: F.lower(F.trim(c))).alias("names")))
+        headers = named.groupBy("path").agg(first.alias("first")).select(
+            "path", F.col("first.position").alias("header_position"), F.col("first.names").alias("header"),
+            F.coalesce(F.array_contains("first.names", key_column), F.lit(False)).alias("has_header"))
+        rows = named.join(F.broadcast(headers), "path")
+        is_header = F.col("position") == F.col("header_position")
+        data = rows.where(F.col("has_header") & ~is_header)
         columns = []
         for field in schema:
             # Position 0 means the file lacks the column; get(-1) is NULL.
@@ -151,8 +171,8 @@ def load_drop_folder(
             )
             .write.mode("overwrite").parquet(f"{target}/rows/batch_id={batch_id}")
         )
-        counts = named.groupBy("path", "modified").agg(
-            F.count_if(~is_header).alias("row_count"), F.count_if(is_header).alias("headers")
+        counts = rows.groupBy("path", "modified").agg(
+            F.count_if(~is_header).alias("row_count"), F.count_if("has_header").alias("headers")
         )
         report = counts.select(
             "modified",

@@ -96,3 +96,18 @@ def test_hot_customer_is_split_in_the_join(spark, data):
     finally:
         for k, value in old.items():
             spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+
+
+@pytest.mark.parametrize("name", [
+    "amounts_never_mix_currencies", "top_countries_by_trade_count", "trade_count_by_year_and_month",
+    "daily_summary_of_joined_trades",
+])
+def test_no_join_without_customer_columns(name, spark, data):
+    assert "Join" not in plan_of(REGISTRY[name].run(spark, data))
+
+
+def test_not_in_reduces_its_subquery(spark, data):
+    trades = bridge.trades(spark, data)
+    plan = plan_of(joins.not_in(bridge.customers(spark, data), "customer_id", trades.where("amount > 100")))
+    below = plan[plan.index("LeftAnti") if "LeftAnti" in plan else 0:]
+    assert "keys=[__key" in below or "keys [1]: [__key" in below.lower() or "Keys [1]: [__key" in plan

@@ -4,10 +4,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from portolan import schemas
-from portolan.operators import messages
+from portolan import bridge, schemas
+from portolan.operators import joins, layers, messages, search
 from portolan.sources import delimited, json_files, xml_files
-from portolan.streaming import ingest
+from portolan.streaming import incremental, ingest
 
 HEADER = (
     "transaction_id,trade_date,settlement_date,customer_id,counterparty_country,transaction_type,"
@@ -117,12 +117,14 @@ def test_xml_messages(spark, tmp_path):
     }
     parsed = messages.parse(loaded)
     assert [r.message_id for r in messages.unreadable(parsed).collect()] == ["other.xml-1"]
-    rows = {r.msg_id: r for r in messages.transfers(parsed, "message_id").collect()}
+    every = messages.transfers(parsed, "message_id").collect()
+    assert sorted(r.end_to_end_id for r in every if r.msg_id == "M1") == ["E1", "E1b"]
+    rows = {r.msg_id: r for r in messages.transfers(parsed, "message_id", nth=0).collect()}
     assert set(rows) == {"M1", "M2", "M3", "M4"}
     assert rows["M1"].end_to_end_id == "E1" and rows["M1"].settlement_amount == Decimal("5.00")
     assert rows["M2"].settlement_amount is None and rows["M2"].debtor_name == "D2"
     assert rows["M3"].remittance_info is None and rows["M1"].remittance_info == "rent"
-    assert messages.transfers(parsed, every=True).count() == 5
+    assert messages.transfers(parsed).count() == 5
     alerts = messages.large_value_alerts(messages.transfers(parsed)).collect()
     assert [(a.msg_id, a.flag) for a in alerts] == [("M4", "LARGE_VALUE_ALERT")]
 
@@ -237,3 +239,112 @@ def test_drop_folder_batch_replayed_before_files_moved(spark, tmp_path, monkeypa
     ingest.load_drop_folder(*args)
     assert not (drop / "a.csv").exists() and (tmp_path / "archive" / "a.csv").exists()
     assert spark.read.parquet(str(tmp_path / "out" / "rows")).count() == 1
+
+
+def test_prefixed_bare_and_commented_documents(spark, tmp_path):
+    body = "<FIToFICstmrCdtTrf><GrpHdr><MsgId>{0}</MsgId></GrpHdr></FIToFICstmrCdtTrf>"
+    prefixed = "<p:Document xmlns:p='urn:x'>" + body.replace("</", "</p:").replace("<F", "<p:F").replace(
+        "<G", "<p:G").replace("<M", "<p:M") + "</p:Document>"
+    (tmp_path / "a.xml").write_text(
+        "<?xml version='1.0'?>\n" + prefixed.format("P1") + "\n" + prefixed.format("P2") + "\n<!-- the end -->\n")
+    (tmp_path / "b.xml").write_text("<Document>" + body.format("B1") + "</Document>stray words")
+    parsed = messages.parse(xml_files.load_xml_messages(spark, str(tmp_path)))
+    rows = {r.message_id: r.msg_id for r in messages.transfer_headers(parsed, "message_id").collect()}
+    assert rows == {"a.xml-1": "P1", "a.xml-2": "P2", "b.xml-1": "B1"}
+    assert [r.text for r in xml_files.leftover_text(spark, str(tmp_path)).collect()] == ["stray words"]
+
+
+def test_all_statements_transactions_and_texts(spark):
+    entry = "<Ntry><Amt Ccy='EUR'>{0}</Amt><NtryDtls><TxDtls><RmtInf><Ustrd>x{0}</Ustrd><Ustrd>y</Ustrd></RmtInf></TxDtls>" \
+            "<TxDtls/><TxDtls><RmtInf><Ustrd>z</Ustrd></RmtInf></TxDtls></NtryDtls></Ntry>"
+    statement = "<Stmt><Acct><Id><IBAN>{0}</IBAN></Id></Acct>{1}</Stmt>"
+    doc = "<Document><BkToCstmrStmt>" + statement.format("A", entry.format(1)) + statement.format(
+        "B", entry.format(2) + entry.format(3)) + "</BkToCstmrStmt></Document>"
+    rows = messages.statement_entries(messages.parse(spark.createDataFrame([(doc,)], "payload string"))).collect()
+    assert [(r.account_iban, r.statement_index, r.entry_index, r.remittance_info) for r in rows] == [
+        ("A", 0, 0, "x1 y z"), ("B", 1, 0, "x2 y z"), ("B", 1, 1, "x3 y z")]
+
+
+def test_quoted_line_breaks_stay_in_their_row(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\n1,"first\nsecond"\n2,plain\n')
+    good, rejects = delimited.load_csv(spark, str(tmp_path), "a int, b string")
+    assert sorted((r.a, r.b) for r in good.collect()) == [(1, "first\nsecond"), (2, "plain")]
+    assert rejects.count() == 0
+
+
+def test_late_files_are_still_read(spark, tmp_path):
+    import os
+    import time
+
+    source, args = str(tmp_path / "s"), (str(tmp_path / "t"), str(tmp_path / "c"))
+    spark.range(3).coalesce(1).write.parquet(source)
+    schema = spark.range(1).schema
+    assert incremental.capture_appends(spark, source, schema, *args) == 1
+    seen = set(os.listdir(source))
+    spark.range(5).coalesce(1).write.mode("append").parquet(source)
+    old = time.time() - 9 * 86400
+    for name in set(os.listdir(source)) - seen:
+        os.utime(f"{source}/{name}", (old, old))
+    assert incremental.capture_appends(spark, source, schema, *args) == 1
+    assert spark.read.parquet(args[0]).count() == 8
+
+
+def test_wide_drop_folder_files_and_cells_that_name_the_key(spark, tmp_path):
+    folder = tmp_path / "drop"
+    folder.mkdir()
+    names = [f"extra{i}" for i in range(38)] + ["deal_id", "customer_name"]
+    lines = [",".join(names), ",".join(["x"] * 38 + ["D1", "deal_id"]), ",".join(["x"] * 38 + ["D2", '"two\nlines"'])]
+    (folder / "wide.csv").write_text("\n".join(lines) + "\n")
+    report = ingest.load_drop_folder(
+        spark, str(folder), str(tmp_path / "archive"), str(tmp_path / "target"), str(tmp_path / "check"),
+        "deal_id string, customer_name string", "deal_id").collect()
+    assert [(r.status, r.row_count) for r in report] == [("LOADED", 2)]
+    rows = spark.read.parquet(str(tmp_path / "target" / "rows")).collect()
+    assert sorted((r.deal_id, r.customer_name) for r in rows) == [("D1", "deal_id"), ("D2", "two\nlines")]
+
+
+def test_whole_array_files_are_parsed_by_element(spark, tmp_path):
+    (tmp_path / "a.json").write_text("[" + ",\n".join('{"n": %d, "t": "%s"}' % (i, "x" * 1000) for i in range(20_000)) + "]")
+    loaded = json_files.load_json_array(spark, str(tmp_path))
+    assert json_files.variant_columns(loaded, {"n": "int"}).agg(F.sum("n")).first()[0] == 199_990_000
+
+
+def test_state_refuses_another_checkpoint(spark, data, tmp_path):
+    trades = bridge.trades(spark, data).select("transaction_id", *layers.DAILY_KEYS, "amount")
+    source, state, check = (str(tmp_path / n) for n in ("source", "state", "check"))
+    trades.limit(50).write.parquet(source)
+    incremental.update_daily_totals(spark, source, trades.schema, state, check)
+    total = incremental.read_daily_totals(spark, state).agg(F.sum("tx_count")).first()[0]
+    assert total == 50
+    with pytest.raises(ValueError):
+        incremental.update_daily_totals(spark, source, trades.schema, state, str(tmp_path / "other"))
+    compacted = str(tmp_path / "compacted")
+    incremental.compact_daily_totals(spark, state, compacted)
+    incremental.write_delta(trades.limit(50), 0, compacted, incremental._owner(spark, compacted)[1])  # replayed
+    trades.limit(20).write.mode("append").parquet(source)
+    assert incremental.update_daily_totals(spark, source, trades.schema, compacted, check) == 1
+    assert incremental.read_daily_totals(spark, compacted).agg(F.sum("tx_count")).first()[0] == 70
+
+
+def test_declared_summary_follows_its_sources(spark, data, tmp_path):
+    trades, customers = bridge.trades(spark, data), bridge.customers(spark, data)
+    path = str(tmp_path / "declared")
+    part = trades.where("trade_date < DATE '1996-01-01'")
+    incremental.refresh_daily_summary(part, customers, path)
+    incremental.refresh_daily_summary(part, customers, path)
+    assert len(os.listdir(f"{path}/daily_trade_summary")) == 1  # unchanged sources write nothing
+    changed = customers.union(customers.limit(3))
+    for now in (trades, part):
+        for who in (customers, changed):
+            got = incremental.refresh_daily_summary(now, who, path)
+            full = layers.daily_summary(layers.harmonized_trades(now, who), extremes=True)
+            assert sorted(map(str, got.collect())) == sorted(map(str, full.collect()))
+            assert sorted(map(str, layers.joined_daily_summary(now, who).collect())) == sorted(map(str, full.collect()))
+
+
+def test_null_keys_and_zero_vectors(spark):
+    rows = spark.createDataFrame([(None, 1), (2, 2)], "k int, x int")
+    assert joins.snapshot_diff(rows, rows, ["k"]).count() == 0
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [0.0, 1.0])], "id int, v array<double>")
+    got = [(r.id, r.similarity) for r in search.nearest(vectors, "id", "v", [1.0, 0.0], 3).collect()]
+    assert got == [(1, 1.0), (3, 0.0), (2, None)]
