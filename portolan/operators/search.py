@@ -20,8 +20,8 @@ K1, B = 1.2, 0.75
 EVERY_DOCUMENT = ""
 
 
-def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(term, key, doc_length, tf), in one pass over the documents.
+def postings(docs: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
+    """(term, key, kept attributes, doc_length, tf), in one pass over the documents.
 
     Grouping by term and document spreads a term that is in every document over all
     tasks, and all tokens of one document are combined before the shuffle.
@@ -29,24 +29,27 @@ def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
     words = tokens(F.col(text))
     return (
         docs.where(F.col(text).isNotNull())
-        .select(F.col(key), words.alias("words"))
+        .select(F.col(key), *keep, words.alias("words"))
         .select(
-            key, F.size("words").alias("doc_length"),
+            key, *keep, F.size("words").alias("doc_length"),
             F.explode(F.array_append("words", EVERY_DOCUMENT)).alias("term"),
         )
-        .groupBy("term", key, "doc_length")
+        .groupBy("term", key, *keep, "doc_length")
         .agg(F.count("*").alias("tf"))
     )
 
 
-def write_index(docs: DataFrame, key: str, text: str, path: str, batch: str) -> None:
+def write_index(docs: DataFrame, key: str, text: str, path: str, batch: str, *keep: str, version: int = 0) -> None:
     """Write one batch of the index; writing the same batch again replaces it.
 
     Postings are laid out by (term, key): a query's terms touch few files and row
-    groups, and a frequent term spans several files instead of one.
+    groups, and a frequent term spans several files instead of one.  The attributes in
+    ``keep`` stand in every posting, so a search can be restricted by them.  A document
+    written again in a batch of a higher ``version`` replaces its earlier text.
     """
     (
-        postings(docs, key, text)
+        postings(docs, key, text, *keep)
+        .withColumn("version", F.lit(version).cast("bigint"))
         .repartitionByRange("term", key)
         .sortWithinPartitions("term", key)
         .write.mode("overwrite")
@@ -54,8 +57,17 @@ def write_index(docs: DataFrame, key: str, text: str, path: str, batch: str) ->
     )
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_index(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    """All postings; with ``key`` only those of each document's newest version.
+
+    The newest versions come from the one posting that every document has, one row per
+    document and version; a filter on terms still reaches the scan.
+    """
+    rows = spark.read.parquet(path)
+    if key is None:
+        return rows
+    newest = rows.where(F.col("term") == EVERY_DOCUMENT).groupBy(key).agg(F.max("version").alias("version"))
+    return rows.join(newest, [key, "version"])
 
 
 def _bm25(tf: Column, doc_length: Column, df: Column, n: Column, mean_length: Column) -> Column:

@@ -175,6 +175,23 @@ def note_search_recent_exports(spark, sf_dir):
     return search.scan_search(recent, "transaction_id", "free_text_notes", _SECOND, 10, "booking_branch")
 
 
+@query("M11 M12", q.query("", "trades").rstrip()
+       + ", recent AS (SELECT * FROM trades WHERE transaction_type = 'EXPORT' AND booking_branch = 'Tokyo'), "
+       + _bm25_sql("recent", "transaction_id", "free_text_notes", _SECOND.replace("-", " ").split(), 10)
+       .replace("SELECT s.transaction_id, s.free_text_notes, score", "SELECT s.transaction_id, score"))
+def indexed_search_of_exports(spark, sf_dir):
+    """The index holds type and branch; notes written first under other words have a newer version."""
+    path = scratch_dir(spark, "notes-index")
+    trades = bridge.trades(spark, sf_dir).select("transaction_id", "free_text_notes", "transaction_type", "booking_branch")
+    old = trades.where("transaction_type = 'EXPORT'").withColumn("free_text_notes", F.lit("urgent expedited draft"))
+    args = ("transaction_id", "free_text_notes", path)
+    search.write_index(old, *args, "old", "transaction_type", "booking_branch", version=1)
+    search.write_index(trades, *args, "new", "transaction_type", "booking_branch", version=2)
+    index = search.read_index(spark, path, "transaction_id").where(
+        (F.col("transaction_type") == "EXPORT") & (F.col("booking_branch") == "Tokyo"))
+    return search.search(index, "transaction_id", _SECOND, 10)
+
+
 _JAPANESE = "制裁リスト 緊急"
 
 

@@ -66,6 +66,17 @@ def token_list_with_repeats(text):
     return regex.findall(TOKEN, text.lower())
 
 
+def test_changed_documents_replace_their_old_text(spark, tmp_path):
+    frame = lambda *rows: spark.createDataFrame(list(rows), "id int, text string")
+    path = str(tmp_path / "index")
+    search.write_index(frame((1, "größe alt"), (2, "alt"), (3, "neu")), "id", "text", path, "a", version=1)
+    search.write_index(frame((1, "größe neu")), "id", "text", path, "b", version=2)
+    index = search.read_index(spark, path, "id")
+    assert {r.id for r in search.search(index, "id", "alt", 9).collect()} == {2}
+    assert {r.id for r in search.search(index, "id", "Größe", 9).collect()} == {1}
+    assert index.where(F.col("term") == search.EVERY_DOCUMENT).count() == 3
+
+
 def test_search_against_brute_force(spark, tmp_path):
     rng = random.Random(3)
     docs = {i: " ".join(rng.choices(["alpha", "beta", "Gamma", "delta", "x1", "決済"], k=rng.randint(0, 12))) for i in range(60)}
