@@ -126,12 +126,14 @@ def _edges(graph: Graph):
 def _paths(counted: DataFrame) -> DataFrame:
     """Compacts repeated stretches; per path the ``seed, words`` of its first stretch and its length in edges."""
     known = counted.filter("copies > 1")
-    # a stretch that follows itself has no single place before it
-    left = known.select(F.col("words").alias("left_words"), F.col("copies").alias("left_copies"))
-    link = ((known["least_before"] == known["most_before"]) & (known["least_before"] == left["left_words"])
-            & (known["copies"] == left["left_copies"]) & (known["times"] == 1))
-    marked = known.join(left.dropDuplicates(["left_words", "left_copies"]), link, "left").select(
-        "seed", "words", "edges", "place", F.col("left_words").isNull().cast("long").alias("head"))
+    left = known.select(F.col("words").alias("left_words"), F.col("copies").alias("left_copies")).distinct()
+    # a stretch that begins a document somewhere, follows several others, or itself, begins a path
+    steady = (F.col("least_before") == F.col("most_before")) & (F.col("least_before") != 0) & (F.col("times") == 1)
+    follows = known.where(steady).join(
+        left, (F.col("least_before") == F.col("left_words")) & (F.col("copies") == F.col("left_copies")), "left")
+    shape = ["seed", "words", "edges", "place"]
+    marked = follows.select(*shape, F.col("left_words").isNull().cast("long").alias("head")).union(
+        known.where(~steady).select(*shape, F.lit(1).cast("long")))
     along = Window.partitionBy("place.row").orderBy("place.first").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     numbered = marked.withColumn("path", F.sum("head").over(along))
