@@ -199,6 +199,7 @@ def near_texts(documents: DataFrame, forest: Forest = Forest(), id_col: str = "d
     with the same shingles) and ``kept`` (the id is its class's).  Words are runs without white
     space, unchanged; shingles are compared by 64-bit hashes.
 
+    An id names one text; of several texts under one id, one is compared for all of them.
     A text of one to four words has one shingle of all its words.  A null text, or one without
     words, links with nothing.  A row with a null id has null class and copy ids and is never
     kept, though it counts among the links of its copies.  Repeated rows are rows of their own.
@@ -230,7 +231,6 @@ def near_texts(documents: DataFrame, forest: Forest = Forest(), id_col: str = "d
                            "buckets array<struct<bucket: long, chunks: long>>, grams array<long>")
     rows = sets.select("node", "copies", "keys", "grams", F.explode("buckets").alias("b")).select(
         "node", "copies", "keys", "grams", "b.bucket", F.col("b.chunks"))
-    # an id with several texts stands for the first class it is the smallest id of; the block drops repeats
     parts = max(24, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = in_blocks(rows, F.col("chunks"), "node").drop("chunks")
     found = kept(dealt.repartition(parts, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
