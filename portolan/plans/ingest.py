@@ -168,6 +168,55 @@ def results_of_json_responses(spark, sf_dir):
     )
 
 
+@query("A5 A2 A7", q.query(
+    """SELECT customer_segment, count(*) AS customers, sum(1 + customer_id % 2) AS elements,
+        (SELECT count(*) FROM customers WHERE customer_id % 7 = 3) AS rejects, 0 AS batches_of_last_run
+        FROM customers GROUP BY customer_segment""", "customers"))
+def continuous_json_ingest(spark, sf_dir):
+    """Arrays of one or two objects arrive in two waves, broken lines among them; a third run finds nothing."""
+    base = scratch_dir(spark, "json-ingest")
+    landing, target, checkpoint = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
+    one = F.to_json(F.struct("customer_id", "customer_segment"))
+    lines = bridge.customers(spark, sf_dir).select("customer_id", F.explode(F.array(
+        F.when(F.col("customer_id") % 2 == 0, F.concat(F.lit("["), one, F.lit("]")))
+        .otherwise(F.concat(F.lit("["), one, F.lit(", "), one, F.lit("]"))),
+        F.when(F.col("customer_id") % 7 == 3, F.concat(F.lit("["), one, F.lit(", {\"customer_id\": ")))
+    )).alias("value")).where("value IS NOT NULL")
+    for wave in (lines.where("customer_id % 3 = 0"), lines.where("customer_id % 3 <> 0")):
+        wave.select("value").write.mode("append").text(landing)
+        ingest.ingest_json(spark, landing, target, checkpoint, whole_file=False)
+    again = ingest.ingest_json(spark, landing, target, checkpoint, whole_file=False)
+    good, rejects = ingest.ingested(spark, target)
+    found = json_files.variant_columns(good, {"customer_id": "bigint", "customer_segment": "string"})
+    return found.groupBy("customer_segment").agg(
+        F.count_distinct("customer_id").alias("customers"), F.count("*").alias("elements"),
+    ).withColumns({"rejects": rejects.agg(F.count("*")).scalar(), "batches_of_last_run": F.lit(again)})
+
+
+@query("A5 A3 A7", q.query(
+    """SELECT 'LOADED' AS status, count(*) AS rows_loaded, count(*) AS distinct_ids, true AS every_error_named,
+        0 AS batches_of_last_run FROM trades
+       UNION ALL SELECT 'REJECTED', 0, 0, true, 0""", "trades"))
+def continuous_xml_ingest(spark, sf_dir):
+    """Message files arrive in two waves, with files that hold no message; a third run finds nothing."""
+    base = scratch_dir(spark, "xml-ingest")
+    landing, target, checkpoint = f"{base}/pacs_008", f"{base}/target", f"{base}/checkpoint"
+    trades = bridge.trades(spark, sf_dir)
+    early = F.col("trade_date") < "1998-01-01"
+    for wave in (trades.where(early), trades.where(~early)):
+        bridge.credit_transfer_xml(wave).write.mode("append").text(landing)
+        wave.select("free_text_notes").write.mode("append").text(landing)
+        ingest.ingest_xml(spark, landing, target, checkpoint)
+    again = ingest.ingest_xml(spark, landing, target, checkpoint)
+    good, _ = ingest.ingested(spark, target)
+    ids = good.agg(F.count_distinct("message_id")).scalar()
+    named = (F.col("rows_rejected") > 0) == F.col("first_error").isNotNull()
+    return ingest.load_ledger(spark, target).groupBy("status").agg(
+        F.sum("rows_loaded").alias("rows_loaded"), F.bool_and(named).alias("every_error_named"),
+    ).select("status", "rows_loaded", F.when(F.col("status") == "LOADED", ids).otherwise(0).alias("distinct_ids"),
+             "every_error_named", F.lit(again).alias("batches_of_last_run"))
+
+
 _BAD_DEAL = "company_size = '大手' AND region = '海外'"
 
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _items(doc: Column) -> Column:
+    """The elements of a JSON array or single object; NULL if the text is neither."""
+    parsed = F.try_parse_json(doc)
+    single = F.when(parsed.isNotNull(), F.array(parsed))
+    return F.when(F.ltrim(doc).startswith("{"), single).otherwise(F.from_json(doc, "array<variant>"))
+
+
 def explode_json_array(rows: DataFrame, text: str, path: str = "$") -> DataFrame:
     """One row per element of the JSON array in a text column; other columns are kept.
 
@@ -16,12 +23,25 @@ def explode_json_array(rows: DataFrame, text: str, path: str = "$") -> DataFrame
     """
     keep = [c for c in rows.columns if c != text]
     doc = F.col(text) if path == "$" else F.get_json_object(text, path)
-    single = F.ltrim(doc).startswith("{")
-    listed = F.when(single, F.array(F.try_parse_json(doc))).otherwise(F.from_json(doc, "array<variant>"))
-    parsed = rows.where(F.trim(text) != "").select(*keep, listed.alias("__items"))
+    parsed = rows.where(F.trim(text) != "").select(*keep, _items(doc).alias("__items"))
     return parsed.select(*keep, F.posexplode("__items").alias("element", "payload")).where(F.col("payload").isNotNull())
 
 
+def elements_and_rejects(rows: DataFrame, text: str) -> DataFrame:
+    """As ``explode_json_array`` in one pass, with the texts that are no JSON kept as rejects.
+
+    A reject has no payload; ``bad_columns`` names it and ``raw_row`` is its text.
+    """
+    keep = [c for c in rows.columns if c != text]
+    parsed = rows.where(F.trim(text) != "").select("*", _items(F.col(text)).alias("__items"))
+    bad = F.col("__items").isNull()
+    listed = parsed.select(
+        *keep, F.when(bad, F.array(F.lit("payload"))).otherwise(F.array().cast("array<string>")).alias("bad_columns"),
+        F.when(bad, F.col(text)).alias("raw_row"), F.posexplode_outer("__items").alias("element", "payload"),
+    )
+    return listed.where(F.col("payload").isNotNull() | F.col("raw_row").isNotNull())
+
+
 def invalid_json(rows: DataFrame, text: str) -> DataFrame:
     return rows.where((F.trim(text) != "") & F.try_parse_json(text).isNull())
 
@@ -29,8 +49,7 @@ def invalid_json(rows: DataFrame, text: str) -> DataFrame:
 def load_json_array(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
     """Load files that hold a JSON array: outer array stripped, one object per row.
 
-    ``whole_file=False`` reads one array per line, which lets Spark split the files; a
-    whole-file array must fit the variant size limit, as each object does in any case.
+    ``whole_file=False`` reads one array per line, which lets Spark split the files.
     """
     text = (
         spark.read.text(path, wholetext=whole_file)

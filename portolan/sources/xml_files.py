@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from portolan.sources.delimited import ANY_AGE
 
 _BLANK = " \n\r\t﻿"
 
@@ -16,23 +17,25 @@ _OPENING = r"<((?:[A-Za-z_][\w.-]*:)?)$"
 _NO_TEXT = r"(?s)<\?.*?\?>|<!--.*?-->"
 
 
-def _records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, streaming: bool = False, **options: str) -> DataFrame:
     """Text between the ends of ``Document`` tags of any prefix; such an end separates records."""
+    reader = spark.readStream if streaming else spark.read
     return (
-        spark.read.option("lineSep", "Document>")
+        reader.option("lineSep", "Document>")
         .option("recursiveFileLookup", True)
+        .option("maxFileAge", ANY_AGE)
+        .options(**options)
         .text(path)
         .select(
             F.btrim("value", F.lit(_BLANK)).alias("body"),
             F.col("_metadata.file_path").alias("source_file"),
             F.col("_metadata.file_block_start").alias("split_start"),
-            F.monotonically_increasing_id().alias("position"),
         )
     )
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of all files under ``path`` as text, with their row number in the file.
+def documents_of(records: DataFrame) -> DataFrame:
+    """Documents among the records of whole files as text, with their row number in the file.
 
     Records end where a closing ``Document`` tag ends, so large files split.  A record that
     ends otherwise is no document; see ``leftover_text``.  A start tag without attributes ends
@@ -40,7 +43,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     inside its split plus the number of documents in the file's earlier splits; only one
     count per split is grouped and joined back, never a whole file.
     """
-    records = _records(spark, path).where(F.col("body").rlike(_CLOSING))
+    records = records.withColumn("position", F.monotonically_increasing_id()).where(F.col("body").rlike(_CLOSING))
     prefix = F.regexp_extract("body", _CLOSING, 1)
     bare = ~F.col("body").rlike(r"<(?:[A-Za-z_][\w.-]*:)?Document[\s>]")
     docs = records.withColumn(
@@ -60,11 +63,19 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def leftover_text(spark: SparkSession, path: str) -> DataFrame:
+def leftovers_of(records: DataFrame) -> DataFrame:
     """Text outside all documents, by file; comments and processing instructions are none."""
-    records = _records(spark, path).where(~F.col("body").rlike(_CLOSING))
     text = F.btrim(F.regexp_replace(F.regexp_replace("body", _OPENING, ""), _NO_TEXT, ""), F.lit(_BLANK))
-    return records.select("source_file", text.alias("text")).where(F.col("text") != "")
+    return records.where(~F.col("body").rlike(_CLOSING)).select("source_file", text.alias("text")).where(
+        F.col("text") != "")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    return documents_of(read_records(spark, path))
+
+
+def leftover_text(spark: SparkSession, path: str) -> DataFrame:
+    return leftovers_of(read_records(spark, path))
 
 
 def message_type(path):
@@ -76,7 +87,7 @@ def message_type(path):
     )
 
 
-def load_xml_messages(spark: SparkSession, path: str) -> DataFrame:
+def messages_of(documents: DataFrame, path: str) -> DataFrame:
     """Message table: id, receive time, type, payload, file.
 
     The id is the file's path below ``path`` and the row number in the file, so part files of
@@ -84,10 +95,14 @@ def load_xml_messages(spark: SparkSession, path: str) -> DataFrame:
     """
     file = F.col("source_file")
     below = F.regexp_replace(file, "^.*?" + re.escape(path.rstrip("/").split("://")[-1]) + "/+", "")
-    return read_documents(spark, path).select(
+    return documents.select(
         F.concat(below, F.lit("-"), F.col("row_number").cast("string")).alias("message_id"),
         F.current_timestamp().alias("received_at"),
         message_type(file).alias("message_type"),
         "payload",
         "source_file",
     )
+
+
+def load_xml_messages(spark: SparkSession, path: str) -> DataFrame:
+    return messages_of(read_documents(spark, path), path)

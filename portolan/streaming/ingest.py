@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from portolan.functions.columns import base_name, null_if_token, try_typed
 from portolan.schemas import as_struct
-from portolan.sources import delimited
+from portolan.sources import delimited, json_files, xml_files
 
 
 def run_available(stream: DataFrame, handle, checkpoint: str) -> int:
@@ -45,18 +45,53 @@ def ingest_csv(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            delimited.typed_rows(batch, schema)
-            .withColumn("loaded_at", F.current_timestamp())
-            .withColumn("rejected", F.when(F.size("bad_columns") > 0, 1).otherwise(0))
-            .write.mode("overwrite")
-            .partitionBy("rejected")
-            .parquet(f"{target}/batch_id={batch_id}")
-        )
+        _write_rows(delimited.typed_rows(batch, schema), target, batch_id)
 
     return run_available(raw, write, checkpoint)
 
 
+def ingest_json(
+    spark: SparkSession, landing: str, target: str, checkpoint: str, whole_file: bool = True, max_files: int = 1000
+) -> int:
+    """Load new files of JSON arrays or objects below ``landing``; texts that are no JSON are rejects."""
+    raw = (
+        spark.readStream.option("wholetext", whole_file)
+        .option("maxFileAge", delimited.ANY_AGE)
+        .option("maxFilesPerTrigger", max_files)
+        .text(landing)
+        .select(F.col("value").alias("__text"), F.col("_metadata.file_path").alias("source_file"))
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _write_rows(json_files.elements_and_rejects(batch, "__text"), target, batch_id)
+
+    return run_available(raw, write, checkpoint)
+
+
+def ingest_xml(spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int = 1000) -> int:
+    """Load new message files below ``landing``; text outside all documents is a reject."""
+    records = xml_files.read_records(spark, landing, streaming=True, maxFilesPerTrigger=str(max_files))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        good = xml_files.messages_of(xml_files.documents_of(batch), landing).drop("received_at")
+        outside = xml_files.leftovers_of(batch).select(
+            "source_file", F.array(F.lit("payload")).alias("bad_columns"), F.col("text").alias("raw_row"))
+        _write_rows(good.unionByName(outside, allowMissingColumns=True), target, batch_id)
+
+    return run_available(records, write, checkpoint)
+
+
+def _write_rows(rows: DataFrame, target: str, batch_id: int) -> None:
+    """Good rows and rejects of a batch, told apart by ``rejected``."""
+    (
+        rows.withColumn("loaded_at", F.current_timestamp())
+        .withColumn("rejected", F.when(F.size("bad_columns") > 0, 1).otherwise(0))
+        .write.mode("overwrite")
+        .partitionBy("rejected")
+        .parquet(f"{target}/batch_id={batch_id}")
+    )
+
+
 def ingested(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejects) of an ingest target; ``rejected`` is a partition column."""
     rows = spark.read.parquet(target)
