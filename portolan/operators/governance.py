@@ -170,6 +170,20 @@ def detect_pii(df: DataFrame, threshold: float = 0.8, rules: tuple[PiiRule, ...]
     return df.agg(*rates).select(F.inline(F.array(*rows))).where(F.col("match_rate") >= threshold)
 
 
+def detected_tags(detected: DataFrame, tag: str = PII_TAG) -> dict[str, tuple[str, str]]:
+    """Tags for ``tag_columns`` out of detected categories; of several per column, the best rated.
+
+    A category counts as the allowed value that it begins with; other categories set no tag.
+    """
+    found: dict[str, tuple[str, str]] = {}
+    ranked = detected.orderBy(F.desc("match_rate"), "semantic_category")
+    for row in ranked.collect():  # one row per column and category of a table at most
+        value = next((v for v in ALLOWED_TAG_VALUES[tag] if row.semantic_category.startswith(v)), None)
+        if value is not None:
+            found.setdefault(row.column_name, (tag, value))
+    return found
+
+
 def compare_tags(assigned: DataFrame, detected: DataFrame) -> DataFrame:
     """Manual tags against detected categories, including columns only one side knows."""
     return assigned.select("column_name", F.col("tag_value").alias("manual_value")).join(

@@ -127,6 +127,18 @@ def detected_pii_columns(spark, sf_dir):
     return g.detect_pii(bridge.customers(spark, sf_dir)).withColumn("match_rate", F.round("match_rate", 6))
 
 
+@query("K11 K5", q.query(
+    f"""SELECT customer_id, {_MASK} AS customer_name, {_MASK} AS contact_email, {_MASK} AS contact_phone, region,
+        country_code, risk_rating FROM customers""", "customers"))
+def customers_masked_by_detection(spark, sf_dir):
+    """No tag is set by hand: detection tags the columns, and the masks follow the tags."""
+    customers = bridge.customers(spark, sf_dir)
+    tagged = g.tag_columns(customers, g.detected_tags(g.detect_pii(customers)))
+    return g.mask_tagged(tagged, "analyst", g.default_policies()).select(
+        "customer_id", "customer_name", "contact_email", "contact_phone", "region", "country_code", "risk_rating"
+    )
+
+
 _ASSIGNED = [(t, c, tag, value) for t, cols in g.COLUMN_TAGS.items() for c, (tag, value) in cols.items()]
 
 

@@ -168,6 +168,28 @@ def results_of_json_responses(spark, sf_dir):
     )
 
 
+@query("A1 A7", q.query(
+    f"""SELECT count(*) AS row_count, count(*) FILTER (customer_id % 5 < 2) AS misfit_rows,
+        count(*) FILTER (customer_id % 5 < 2) AS strict_rejects, true AS every_misfit_shown FROM trades""", "trades"))
+def csv_rows_of_wrong_width(spark, sf_dir):
+    """Some rows lack their last values, others have one too many; the report counts them, strict rejects them."""
+    landing = scratch_dir(spark, "width")
+    trades = bridge.trades(spark, sf_dir)
+    names = [f.name for f in schemas.as_struct(schemas.TRADES)]
+    for kind, columns in ((0, names[:-2]), (1, [*names, "booking_branch"]), (2, names)):
+        wave = trades.where(F.least(F.col("customer_id") % 5, F.lit(2)) == kind)
+        wave.select(*[F.col(c).alias(f"{c}_{i}") for i, c in enumerate(columns)]).write.mode(
+            "append").option("header", True).option("escape", '"').csv(landing)
+    schema = schemas.as_struct(schemas.TRADES)
+    report = delimited.width_report(delimited.typed_rows(delimited.read_text_columns(spark, landing, schema), schema))
+    _, rejects = delimited.load_csv(spark, landing, schemas.TRADES, strict=True)
+    shown = (F.col("misfit_rows") > 0) == F.col("example").isNotNull()
+    return report.agg(
+        F.sum("row_count").alias("row_count"), F.sum("misfit_rows").alias("misfit_rows"),
+        F.bool_and(shown).alias("every_misfit_shown"),
+    ).withColumn("strict_rejects", rejects.agg(F.count("*")).scalar())
+
+
 @query("A5 A2 A7", q.query(
     """SELECT customer_segment, count(*) AS customers, sum(1 + customer_id % 2) AS elements,
         (SELECT count(*) FROM customers WHERE customer_id % 7 = 3) AS rejects, 0 AS batches_of_last_run

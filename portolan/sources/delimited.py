@@ -12,20 +12,24 @@ from portolan.schemas import as_struct, as_text
 #: Streams take a file whatever its age; by default the source skips what is a week older than its newest.
 ANY_AGE = "36500d"
 
+#: Holds the text of a row whose number of values is not that of the schema.
+_MISFIT = "__misfit_row"
+
 
 def read_text_columns(
     spark: SparkSession, path: str, schema: StructType, streaming: bool = False, multiline: bool = True,
     **options: str,
 ) -> DataFrame:
-    """All columns as text plus ``source_file``.
+    """All columns as text plus ``source_file``, and the text of rows of another width.
 
-    Columns go by position: a short line gives NULLs, surplus values are dropped.  Values may
+    Columns go by position: a short row gives NULLs, surplus values are dropped.  Values may
     hold line breaks inside quotes, so a file is read by one task; ``multiline=False`` lets
     Spark split files that the caller knows to have none.
     """
     reader = spark.readStream if streaming else spark.read
     return (
-        reader.schema(as_text(schema))
+        reader.schema(as_text(schema).add(_MISFIT, "string"))
+        .option("columnNameOfCorruptRecord", _MISFIT)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -42,9 +46,13 @@ def _cleaned(name: str, null_tokens: tuple[str, ...]) -> Column:
 
 
 def typed_rows(
-    raw: DataFrame, schema: StructType, null_tokens: tuple[str, ...] = NULL_TOKENS
+    raw: DataFrame, schema: StructType, null_tokens: tuple[str, ...] = NULL_TOKENS, strict: bool = False
 ) -> DataFrame:
-    """Every raw row with its typed columns and ``bad_columns``, the names that do not fit."""
+    """Every raw row with its typed columns and ``bad_columns``, the names that do not fit.
+
+    ``misfit`` tells rows with too few or too many values, and ``raw_row`` keeps their text;
+    ``strict`` makes them bad rows, with ``(width)`` among the bad columns.
+    """
     typed, bad = {}, []
     for field in schema:
         text = _cleaned(field.name, null_tokens)
@@ -52,14 +60,19 @@ def typed_rows(
         typed[field.name] = value
         if field.dataType.simpleString() != "string":
             bad.append(F.when(text.isNotNull() & value.isNull(), F.lit(field.name)))
+    misfit = F.col(_MISFIT).isNotNull()
+    if strict:
+        bad.append(F.when(misfit, F.lit("(width)")))
     row = F.to_json(F.struct(*[F.col(f.name) for f in schema]))
     return raw.withColumns(
-        {"bad_columns": F.array_compact(F.array(*bad)), "raw_row": row}
+        {"bad_columns": F.array_compact(F.array(*bad)), "misfit": misfit,
+         "raw_row": F.when(misfit, F.col(_MISFIT)).otherwise(row)}
     ).select(
         *[typed[f.name].alias(f.name) for f in schema],
         "source_file",
+        "misfit",
         "bad_columns",
-        F.when(F.size("bad_columns") > 0, F.col("raw_row")).alias("raw_row"),
+        F.when((F.size("bad_columns") > 0) | F.col("misfit"), F.col("raw_row")).alias("raw_row"),
     )
 
 
@@ -67,7 +80,7 @@ def good_rows(rows: DataFrame) -> DataFrame:
     """Rows in which every value fits, with the load time as column default."""
     return (
         rows.where(F.size("bad_columns") == 0)
-        .drop("bad_columns", "raw_row")
+        .drop("bad_columns", "raw_row", "misfit")
         .withColumn("loaded_at", F.current_timestamp())
     )
 
@@ -77,13 +90,23 @@ def rejected_rows(rows: DataFrame) -> DataFrame:
     return rows.where(F.size("bad_columns") > 0).select("source_file", "bad_columns", "raw_row")
 
 
+def width_report(rows: DataFrame) -> DataFrame:
+    """Per file: rows, how many of them have too few or too many values, and one of these."""
+    return rows.groupBy("source_file").agg(
+        F.count("*").alias("row_count"), F.count_if("misfit").alias("misfit_rows"),
+        F.min(F.when(F.col("misfit"), F.col("raw_row"))).alias("example"),
+    )
+
+
 def load_csv(
-    spark: SparkSession, path: str, schema_ddl: str, null_tokens: tuple[str, ...] = NULL_TOKENS, **options
+    spark: SparkSession, path: str, schema_ddl: str, null_tokens: tuple[str, ...] = NULL_TOKENS,
+    strict: bool = False, **options,
 ) -> tuple[DataFrame, DataFrame]:
     """Load delimited files; a bad row is set aside and the rest is kept.
 
-    Returns (good, rejects); together they hold every line read.
+    Returns (good, rejects); together they hold every line read.  With ``strict`` a row of
+    another width is bad too.
     """
     schema = as_struct(schema_ddl)
-    rows = typed_rows(read_text_columns(spark, path, schema, **options), schema, null_tokens)
+    rows = typed_rows(read_text_columns(spark, path, schema, **options), schema, null_tokens, strict)
     return good_rows(rows), rejected_rows(rows)

@@ -36,16 +36,20 @@ def run_available(stream: DataFrame, handle, checkpoint: str) -> int:
 
 
 def ingest_csv(
-    spark: SparkSession, landing: str, schema_ddl: str, target: str, checkpoint: str, max_files: int = 1000
+    spark: SparkSession, landing: str, schema_ddl: str, target: str, checkpoint: str, max_files: int = 1000,
+    strict: bool = False,
 ) -> int:
-    """Load new delimited files below ``landing``; good rows and rejects in one pass."""
+    """Load new delimited files below ``landing``; good rows and rejects in one pass.
+
+    With ``strict`` a row with too few or too many values is a reject.
+    """
     schema = as_struct(schema_ddl)
     raw = delimited.read_text_columns(
         spark, landing, schema, streaming=True, maxFilesPerTrigger=str(max_files)
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_rows(delimited.typed_rows(batch, schema), target, batch_id)
+        _write_rows(delimited.typed_rows(batch, schema, strict=strict), target, batch_id)
 
     return run_available(raw, write, checkpoint)
 
@@ -95,17 +99,22 @@ def _write_rows(rows: DataFrame, target: str, batch_id: int) -> None:
 def ingested(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejects) of an ingest target; ``rejected`` is a partition column."""
     rows = spark.read.parquet(target)
-    good = rows.where("rejected = 0").drop("rejected", "bad_columns", "raw_row", "batch_id")
+    good = rows.where("rejected = 0").drop("rejected", "bad_columns", "raw_row", "misfit", "batch_id")
     return good, rows.where("rejected = 1").select("source_file", "bad_columns", "raw_row")
 
 
 def load_ledger(spark: SparkSession, target: str) -> DataFrame:
-    """Per loaded file: rows loaded and rejected, the first error, status, time of the load."""
+    """Per loaded file: rows loaded and rejected, the first error, status, time of the load.
+
+    ``misfit_rows`` counts rows with too few or too many values; formats without a width have none.
+    """
     rows = spark.read.parquet(target)
+    misfit = F.col("misfit") if "misfit" in rows.columns else F.lit(False)
     error = F.when(F.col("rejected") == 1, F.concat_ws(": ", F.array_join("bad_columns", ","), "raw_row"))
     return rows.groupBy("source_file").agg(
         F.count_if(F.col("rejected") == 0).alias("rows_loaded"),
         F.count_if(F.col("rejected") == 1).alias("rows_rejected"),
+        F.count_if(misfit).alias("misfit_rows"),
         F.min(error).alias("first_error"),
         F.min("loaded_at").alias("loaded_at"),
     ).withColumn("status", F.when(F.col("rows_rejected") == 0, "LOADED").when(F.col("rows_loaded") > 0, "PARTLY LOADED")

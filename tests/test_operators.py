@@ -226,6 +226,15 @@ def test_names_outside_any_list_are_found(spark):
     assert [(r.column_name, r.semantic_category) for r in found] == [("who", "NAME")]
 
 
+def test_detected_categories_become_tags(spark):
+    rates = [("a", "PHONE_NUMBER", 0.9), ("a", "NAME", 0.95), ("b", "EMAIL", 1.0), ("c", "POSTCODE", 1.0)]
+    tags = g.detected_tags(spark.createDataFrame(rates, "column_name string, semantic_category string, match_rate double"))
+    assert tags == {"a": (g.PII_TAG, "NAME"), "b": (g.PII_TAG, "EMAIL")}
+    df = g.tag_columns(spark.createDataFrame([("x", "y", "z")], "a string, b string, c string"), tags)
+    seen = g.mask_tagged(df, "analyst", g.default_policies()).first()
+    assert seen.a == seen.b != "x" and seen.c == "z"
+
+
 def test_pii_categories(spark):
     rows = [("Mary Smith", "m@x.org", "+81-3-1234-5678", "EU"), ("佐藤 太郎", "s@x.org", "03-1234-5678", "US"),
             (None, None, None, None)]

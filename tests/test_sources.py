@@ -348,3 +348,59 @@ def test_null_keys_and_zero_vectors(spark):
     vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [0.0, 1.0])], "id int, v array<double>")
     got = [(r.id, r.similarity) for r in search.nearest(vectors, "id", "v", [1.0, 0.0], 3).collect()]
     assert got == [(1, 1.0), (3, 0.0), (2, None)]
+
+
+def test_json_and_xml_files_are_loaded_once_with_a_ledger(spark, tmp_path):
+    landing, target, checkpoint = (str(tmp_path / x) for x in ("landing", "target", "checkpoint"))
+    os.mkdir(landing)
+    files = {"a.json": '[{"k": 1}, {"k": 2}]', "b.json": '[{"k": 3}, {"k"', "c.json": '{"k": 4}', "d.json": "[]",
+             "e.json": '{"k": 5', "f.json": "  "}
+    for name, text in files.items():
+        (tmp_path / "landing" / name).write_text(text)
+    assert ingest.ingest_json(spark, landing, target, checkpoint) == 1
+    assert ingest.ingest_json(spark, landing, target, checkpoint) == 0
+    (tmp_path / "landing" / "late.json").write_text('[{"k": 6}]')
+    assert ingest.ingest_json(spark, landing, target, checkpoint) == 1
+    good, rejects = ingest.ingested(spark, target)
+    assert sorted(r.k for r in json_files.variant_columns(good, {"k": "int"}).collect()) == [1, 2, 4, 6]
+    assert {os.path.basename(r.source_file): (r.bad_columns, r.raw_row) for r in rejects.collect()} == {
+        n: (["payload"], files[n]) for n in ("b.json", "e.json")}
+    ledger = {os.path.basename(r.source_file): (r.rows_loaded, r.rows_rejected, r.status)
+              for r in ingest.load_ledger(spark, target).collect()}
+    assert ledger["a.json"] == (2, 0, "LOADED") and ledger["b.json"] == (0, 1, "REJECTED")
+
+    landing, target, checkpoint = (str(tmp_path / x) for x in ("pacs_008", "xml", "xml-checkpoint"))
+    os.mkdir(landing)
+    (tmp_path / "pacs_008" / "a.xml").write_text('<Document x="1"><A/></Document>\n<Document x="2"/>\n<Document x="3"></Document> stray')
+    assert ingest.ingest_xml(spark, landing, target, checkpoint) == 1
+    (tmp_path / "pacs_008" / "b.xml").write_text("<p:Document><B/></p:Document><!-- end -->")
+    assert ingest.ingest_xml(spark, landing, target, checkpoint) == 1
+    assert ingest.ingest_xml(spark, landing, target, checkpoint) == 0
+    good, rejects = ingest.ingested(spark, target)
+    batch = xml_files.load_xml_messages(spark, landing)
+    key = lambda r: (r.message_id, r.message_type, r.payload)
+    assert sorted(map(key, good.collect())) == sorted(map(key, batch.collect()))
+    assert [(r.raw_row, os.path.basename(r.source_file)) for r in rejects.collect()] == [("stray", "a.xml")]
+
+
+def test_rows_of_another_width_are_reported_and_refused_on_request(spark, tmp_path):
+    short, surplus = "TX-6,2024-02-01,2024-02-05\n", GOOD.replace('"paid, in full"', "paid,twice")
+    path = _csv(tmp_path / "csv", "a.csv", GOOD, short, surplus)
+    _csv(tmp_path / "csv", "b.csv", GOOD)
+    schema = schemas.as_struct(schemas.TRADES)
+    rows = delimited.typed_rows(delimited.read_text_columns(spark, path, schema), schema)
+    report = {os.path.basename(r.source_file): r for r in delimited.width_report(rows).collect()}
+    assert (report["a.csv"].row_count, report["a.csv"].misfit_rows) == (3, 2)
+    assert (report["b.csv"].misfit_rows, report["b.csv"].example) == (0, None)
+    good, rejects = delimited.load_csv(spark, path, schemas.TRADES)
+    assert good.count() == 4 and rejects.count() == 0
+    good, rejects = delimited.load_csv(spark, path, schemas.TRADES, strict=True)
+    assert good.count() == 2
+    assert {(tuple(r.bad_columns), r.raw_row) for r in rejects.collect()} == {
+        (("(width)",), short.strip()), (("(width)",), surplus.strip())}
+    target = str(tmp_path / "target")
+    ingest.ingest_csv(spark, path, schemas.TRADES, target, str(tmp_path / "checkpoint"))
+    ledger = {os.path.basename(r.source_file): r.misfit_rows for r in ingest.load_ledger(spark, target).collect()}
+    assert ledger == {"a.csv": 2, "b.csv": 0}
+    good, _ = ingest.ingested(spark, target)
+    assert "misfit" not in good.columns and good.count() == 4
