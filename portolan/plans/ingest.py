@@ -191,7 +191,7 @@ def csv_rows_of_wrong_width(spark, sf_dir):
 
 
 @query("A5 A2 A7", q.query(
-    """SELECT customer_segment, count(*) AS customers, sum(1 + customer_id % 2) AS elements,
+    """SELECT customer_segment, count(*) AS customers, CAST(sum(1 + customer_id % 2) AS BIGINT) AS elements,
         (SELECT count(*) FROM customers WHERE customer_id % 7 = 3) AS rejects, 0 AS batches_of_last_run
         FROM customers GROUP BY customer_segment""", "customers"))
 def continuous_json_ingest(spark, sf_dir):
