@@ -60,7 +60,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_rules.judged(table(spark, sf_dir, "documents"))
+    return line_rules.judged(table(spark, sf_dir, "documents")).drop("left_text")
 
 
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -149,6 +149,28 @@ def test_line_rules_count_and_reject(docs, odd_rows):
     assert line_rules.judged(docs([])).count() == 0
 
 
+def test_line_rules_cut_common_lines_from_the_text(docs, odd_rows):
+    draw = random.Random(4)
+    common = ["Home | About  us", "größe der straße", "All rights reserved"]
+    rows = []
+    for i in range(60):
+        lines = [draw.choice([*common, common[0].upper(), "", "  "] + [f"own {i} line {k}" for k in range(4)])
+                 for _ in range(draw.randint(1, 9))]
+        rows.append((100 + i, "\n".join(lines), "en", "big"))
+    rows += [(200 + i, "\n".join(common), "en", "big") for i in range(30)] + [(300, "\n".join(common), "en", "small")]
+    rows += [(301, f"{common[0]}\n\nmine\n{common[1]}\n{common[2]}", "en", "big")] * 2
+    plain = lambda line: " ".join(line.split()).lower()
+    cut = {plain(c) for c in common}
+    got = line_rules.judged(docs(rows + odd_rows)).collect()
+    assert len(got) == len(rows + odd_rows)
+
+    def left(text, host):
+        return text and "\n".join(x for x in text.split("\n") if host != "big" or plain(x) not in cut)
+
+    want = Counter((i, left(t, h), len((t or "").split()) - len((left(t, h) or "").split())) for i, t, _, h in rows + odd_rows)
+    assert Counter((r.doc_id, r.left_text, r.n_common_words) for r in got) == want
+
+
 def brute_passages(rows, width):
     split = [(t or "").split() for _, t in rows]
     count = Counter(tuple(w[k:k + width]) for w in split for k in range(len(w) - width + 1))
