@@ -3,8 +3,8 @@
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept:
 
 1. ``quality``: documents that the classifier rejects go;
-2. ``near_duplicates``: of each group of near copies (Jaccard 0.8 on five-word runs) the one
-   with the smallest id stays; of repeated rows with that id, one;
+2. ``near_duplicates``: of each group of near copies (Jaccard 0.8 on five-word runs) one row
+   stays, with the smallest id; distinct texts under one id are not copies;
 3. ``repeated_passages``: words under a 35-word run that occurs elsewhere go; a document that
    had words and has none left goes;
 4. ``mix``: each document as often as its source's target weight asks for;
@@ -17,7 +17,7 @@ stages with brute force.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.llm import language, mixing, packing, passages, quality, shingle_join
@@ -31,10 +31,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row with a null id stays: it has no place in any group."""
-    found = shingle_join.near_texts(docs).filter("doc_id = class_id").select(F.col("doc_id").alias("__id")).distinct()
-    named = docs.join(found, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    """One row of each class of near copies, whatever the ids; a text without words has no class and stays."""
+    found = shingle_join.near_classes(docs).filter("class_key is not null")
+    first = found.groupBy("class_key").agg(F.min(F.struct(F.isnull("id").alias("none"), "id", "t1", "t2")).alias("f"))
+    keys = ["__none", "__id", "__t1", "__t2"]
+
+    def keyed(df: DataFrame, i: Column, t1: Column, t2: Column) -> DataFrame:
+        return df.withColumns(dict(zip(keys, [i.isNull(), F.coalesce(i.cast("long"), F.lit(0)), t1, t2], strict=True)))
+
+    first = keyed(first, F.col("f.id"), F.col("f.t1"), F.col("f.t2")).select(*keys)
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = keyed(docs.filter(worded), F.col("doc_id"), *shingle_join.text_keys(F.col("text"))).dropDuplicates(keys)
+    return rows.join(first, keys, "left_semi").select(*docs.columns).unionByName(docs.filter(~worded))
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

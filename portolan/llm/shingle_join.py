@@ -19,14 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portolan.llm.links import FOUND, Pieces, components, found_batch, groups, in_blocks
-from portolan.llm.scratch import kept
+from portolan.llm.scratch import hot_join, kept
 from portolan.llm.words import mix, slices, word_hashes, words
 
-SIGNED = ["id", "k1", "k2", "size", "keys"]
+SIGNED = ["id", "t1", "t2", "k1", "k2", "size", "keys"]
 STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -82,11 +82,11 @@ def _signed(forest: Forest):
                 found = words(part)
                 grams, bounds = shingles(word_hashes(part, found), found.bounds, forest.width)
                 filled = np.flatnonzero(np.diff(bounds))
-                ids = batch.column("id").slice(part.first, part.n_rows)
+                rows = [batch.column(c).slice(part.first, part.n_rows) for c in SIGNED[:3]]
                 bare = np.flatnonzero(np.diff(bounds) == 0)
                 if len(bare):
                     none = [pa.nulls(len(bare), kind) for kind in (*[pa.int64()] * 3, pa.list_(pa.int64()))]
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(bare)), *none], names=SIGNED)
+                    yield pa.RecordBatch.from_arrays([*(c.take(pa.array(bare)) for c in rows), *none], names=SIGNED)
                 if not len(filled):
                     continue
                 first = bounds[:-1][filled]
@@ -100,7 +100,7 @@ def _signed(forest: Forest):
                 k1 = np.add.reduceat(mix(grams + STEP), first)
                 k2 = np.add.reduceat(mix(grams ^ STEP), first)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(filled)),
+                    [*(c.take(pa.array(filled)) for c in rows),
                      pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
                      pa.array(np.diff(bounds)[filled]),
                      pa.ListArray.from_arrays(np.arange(0, keys.size + 1, forest.trees, dtype=np.int32),
@@ -111,10 +111,15 @@ def _signed(forest: Forest):
 
 
 def _sets(forest: Forest):
-    """One row per bucket that a text is in, with the sorted set of its shingles."""
+    """The buckets of each node, with the sorted set of its shingles; repeated rows of a node give one."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
+            nodes = batch.column("node").to_pylist()
+            new = [n not in seen and not seen.add(n) for n in nodes]
+            if not all(new):
+                batch = batch.filter(pa.array(new))
             for part in slices(batch.column("text")):
                 found = words(part)
                 grams, bounds = shingles(word_hashes(part, found), found.bounds, forest.width)
@@ -190,28 +195,30 @@ def _verified(forest: Forest):
     return verify
 
 
-def near_texts(documents: DataFrame, forest: Forest = Forest(), id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """Links between texts whose sets of five-word runs have a Jaccard similarity of 0.8 or more.
+def text_keys(text: Column) -> list[Column]:
+    """Two hashes that stand for a text where rows meet it again."""
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
 
-    Returns one row per input row: the id, ``n_links`` (other rows linked directly),
-    ``class_id`` (smallest id reachable by links, its own included), ``copy_id`` (smallest id
-    with the same shingles) and ``kept`` (the id is its class's).  Words are runs without white
-    space, unchanged; shingles are compared by 64-bit hashes.
 
-    An id names one text; of several texts under one id, one is compared for all of them.
-    A text of one to four words has one shingle of all its words.  A null text, or one without
-    words, links with nothing.  A row with a null id has null class and copy ids and is never
-    kept, though it counts among the links of its copies.  Repeated rows are rows of their own.
-    An empty table gives an empty result; further columns are left out.
+def near_classes(documents: DataFrame, forest: Forest = Forest(), id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """What ``near_texts`` says of each row, and the class itself.
+
+    Returns ``id``, ``t1`` and ``t2`` (``text_keys`` of the text), ``class_key`` (a number for
+    all texts that links connect, null for a text without words), ``n_links``, ``class_id`` and
+    ``copy_id``.  The nodes of the join are sets of shingles; ids are attached at the end.
     """
     spark = documents.sparkSession
-    texts = documents.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    signed = kept(texts.mapInArrow(_signed(forest), "id long, k1 long, k2 long, size long, keys array<long>"), "signed")
-    distinct = signed.filter("k1 is not null").groupBy("k1", "k2").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
+    text = F.col(f"`{text_col}`")
+    texts = documents.select(F.col(f"`{id_col}`").cast("long").alias("id"), *text_keys(text), text.alias("text"))
+    signed = texts.mapInArrow(_signed(forest), "id long, t1 long, t2 long, k1 long, k2 long, size long, keys array<long>")
+    signed = kept(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
+    # a class of equal shingles is the node; its number is that of one of its rows
+    distinct = signed.filter("k1 is not null").groupBy("k1", "k2").agg(
+        F.min("row").alias("node"), F.min("id").alias("first_id"), F.count("*").alias("copies"))
     distinct = kept(distinct, "copies")
-    firsts = (signed.join(distinct.filter("node is not null"), ["k1", "k2"]).filter("id = node")
-              .select("node", "copies", "size", "keys").dropDuplicates(["node"]))
+    firsts = (signed.select("row", "id", "t1", "t2", "size", "keys").join(distinct.select("node", "copies"), F.col("row") == F.col("node"))
+              .select("node", "copies", "size", "keys", F.col("id").alias("node_id"), F.col("t1").alias("n1"), F.col("t2").alias("n2")))
     firsts = kept(firsts, "firsts")
 
     low58 = F.shiftrightunsigned(F.col("key"), 6)
@@ -224,9 +231,10 @@ def near_texts(documents: DataFrame, forest: Forest = Forest(), id_col: str = "d
     chunks = F.greatest(F.ceil(F.col("rows") / forest.block_rows), F.ceil(F.col("sizes") / forest.block_shingles))
     members = (spread.select("node", "bucket").join(buckets.select("bucket", chunks.cast("long").alias("chunks")), "bucket")
                .groupBy("node").agg(F.collect_list(F.struct("bucket", "chunks")).alias("buckets")))  # one per tree at most
-    wanted = members.join(firsts.select("node", "copies", "keys"), "node")
+    wanted = members.join(firsts.select("node", "copies", "keys", "node_id", "n1", "n2"), "node")
 
-    sets = texts.join(wanted, texts["id"] == wanted["node"]).select("text", "node", "copies", "keys", "buckets")
+    same = F.col("id").eqNullSafe(F.col("node_id")) & (F.col("t1") == F.col("n1")) & (F.col("t2") == F.col("n2"))
+    sets = texts.join(wanted, same).select("text", "node", "copies", "keys", "buckets")
     sets = sets.mapInArrow(_sets(forest), "node long, copies long, keys array<long>, "
                            "buckets array<struct<bucket: long, chunks: long>>, grams array<long>")
     rows = sets.select("node", "copies", "keys", "grams", F.explode("buckets").alias("b")).select(
@@ -238,13 +246,36 @@ def near_texts(documents: DataFrame, forest: Forest = Forest(), id_col: str = "d
 
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
     whole = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    known = (distinct.join(counted, "node", "left").join(whole, "node", "left"))
-    ids = signed.select("id", "k1", "k2").join(known, ["k1", "k2"]).select(
-        "id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component", "node")).alias("class_id"),
-        F.when(F.col("id").isNotNull(), F.col("node")).alias("copy_id"))
+    least = whole.join(distinct.select("node", "first_id"), "node").groupBy("component").agg(F.min("first_id").alias("least"))
+    whole = hot_join(whole, least, ["component"])
+    known = distinct.join(counted, "node", "left").join(whole, "node", "left")
+    ids = signed.select("id", "t1", "t2", "k1", "k2").join(known, ["k1", "k2"]).select(
+        "id", "t1", "t2", F.coalesce("component", "node").alias("class_key"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        F.when(F.col("id").isNotNull(), F.coalesce("least", "first_id")).alias("class_id"),
+        F.when(F.col("id").isNotNull(), F.col("first_id")).alias("copy_id"))
     bare = signed.filter("k1 is null").select(
-        "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("class_id"), F.col("id").alias("copy_id"))
-    return ids.union(bare).select(
+        "id", "t1", "t2", F.lit(None).cast("long").alias("class_key"), F.lit(0).cast("long").alias("n_links"),
+        F.col("id").alias("class_id"), F.col("id").alias("copy_id"))
+    return ids.union(bare)
+
+
+def near_texts(documents: DataFrame, forest: Forest = Forest(), id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """Links between texts whose sets of five-word runs have a Jaccard similarity of 0.8 or more.
+
+    Returns one row per input row: the id, ``n_links`` (other rows linked directly),
+    ``class_id`` (smallest id reachable by links, its own included), ``copy_id`` (smallest id
+    with the same shingles) and ``kept`` (the id is its class's).  Words are runs without white
+    space, unchanged; shingles are compared by 64-bit hashes.
+
+    Texts are compared whatever their ids: several texts under one id are texts of their own,
+    and so are texts with null ids.  A text of one to four words has one shingle of all its
+    words.  A null text, or one without words, links with nothing.  A row with a null id has
+    null class and copy ids and is never kept, though it counts among the links of its copies.
+    Repeated rows are rows of their own.  An empty table gives an empty result; further columns
+    are left out.
+    """
+    return near_classes(documents, forest, id_col, text_col).select(
         F.col("id").alias(id_col), "n_links", "class_id", "copy_id",
         F.coalesce(F.col("id") == F.col("class_id"), F.lit(False)).alias("kept"))

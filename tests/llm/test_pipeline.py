@@ -9,6 +9,7 @@ from corpus_tables import docs, odd_rows  # noqa: F401
 import __spark_entry__ as entry_module
 import corpus_pipeline
 from portolan.llm.queries import ORACLES, QUERIES
+from portolan.llm.shingle_join import near_texts
 
 TABLES = "documents embeddings pages benchmark labels".split()
 
@@ -80,3 +81,20 @@ def test_stages_on_odd_rows(spark, data, docs, odd_rows):
         now.count()
     for _, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, docs([]).select(*columns), data).count() == 0
+
+
+def test_near_duplicates_go_by_text_and_not_by_id(spark, data, docs):
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(100)) for k in "abcd")
+    near = lambda t: t + " more"
+    rows = [(5, a), (5, b), (9, b), (12, near(b)), (20, near(a)), (5, a), (None, c), (None, c), (None, near(c)),
+            (None, d), (30, near(d)), (5, ""), (None, None)]
+    table = docs([(*r, "en", "s") for r in rows]).select(*columns)
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_stage(spark, table, data).collect())
+    of_c = [t for t in (c, near(c)) if (None, t) in got]
+    assert len(of_c) == 1
+    assert got == Counter([(5, a), (5, b), (None, of_c[0]), (30, near(d)), (5, ""), (None, None)])
+    links = Counter((r.doc_id, r.n_links, r.class_id, r.kept) for r in near_texts(table).collect())
+    assert links == Counter({
+        (5, 2, 5, True): 3, (9, 2, 5, False): 1, (12, 2, 5, False): 1, (20, 2, 5, False): 1, (None, 2, None, False): 3,
+        (None, 1, None, False): 1, (30, 1, 30, True): 1, (5, 0, 5, True): 1, (None, 0, None, False): 1})
