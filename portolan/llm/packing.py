@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from portolan.llm.links import groups
 from portolan.llm.mixing import word_count
 from portolan.llm.scratch import kept
+from portolan.llm.shingle_join import text_keys
 
 PACKED = "shard long, bin long, doc_id long, copy long, piece long, n_words long, place long"
 
@@ -114,37 +115,44 @@ def packed(documents: DataFrame, bins: Bins = Bins(), clusters: DataFrame | None
     pieces of one source.
 
     ``clusters`` (``doc_id, cluster``) names the duplicate cluster of documents; without it, or
-    for a document it lacks, texts with equal words are a cluster.  A null source conflicts
+    for a document it lacks, texts with equal words are a cluster.  With columns ``t1, t2``
+    (``shingle_join.text_keys``) it names single texts, also of several under one id.  A null source conflicts
     with other null sources.  Null and empty texts have no words and no piece.  Null ids are
     packed like others.  An empty table gives an empty result; further columns are left out.
     """
     words = word_count(F.col("text"))
     own = F.xxhash64(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")))
-    rows = documents.select("doc_id", "source", words.alias("words"), own.alias("cluster")).filter("words > 0")
+    rows = documents.select("doc_id", "source", words.alias("words"), own.alias("cluster"), *text_keys(F.col("text")))
+    rows = rows.filter("words > 0")
     if clusters is not None:
-        named = clusters.groupBy(F.col("doc_id").alias("named")).agg(F.min("cluster").alias("named_cluster"))
-        rows = rows.join(named, rows["doc_id"] == named["named"], "left").select(
+        by_text = [c for c in ("t1", "t2") if c in clusters.columns]
+        named = clusters.groupBy(F.col("doc_id").alias("named"), *[F.col(c).alias(f"named_{c}") for c in by_text]).agg(
+            F.min("cluster").alias("named_cluster"))
+        same = F.col("doc_id").eqNullSafe(F.col("named")) if by_text else F.col("doc_id") == F.col("named")
+        for c in by_text:
+            same &= F.col(c) == F.col(f"named_{c}")
+        rows = rows.join(named, same, "left").select(
             "doc_id", "source", "words",
             F.when(F.col("named_cluster").isNull(), F.xxhash64(F.lit(1), "cluster"))
             .otherwise(F.xxhash64(F.lit(2), "named_cluster")).alias("cluster"))
     # repeated rows are counted, then numbered: no window has to gather them
     rows = rows.groupBy("doc_id", "source", "words", "cluster").agg(F.count("*").alias("n"))
-    pieces = rows.select("doc_id", "source", "words", "cluster",
+    pieces = rows.select("doc_id", F.coalesce("source", F.lit("\0null")).alias("source"), "words", "cluster",
                          F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"))
     size = F.lit(bins.capacity)
     pieces = pieces.withColumn("last", F.floor(F.col("words") / size)).withColumn("rest", F.col("words") % size)
     pieces = kept(pieces, "pieces")
     full = pieces.filter("last > 0").select(
         "doc_id", "copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last") - 1)).alias("piece"),
-        size.cast("long").alias("n_words"), F.lit(0).cast("long").alias("place"))
+        size.cast("long").alias("n_words"), F.lit(0).cast("long").alias("place"),
+        F.hex(F.xxhash64("source", "words", "cluster")).alias("text"))
     full = full.withColumn("bin_id", F.concat_ws(
-        "-", F.lit("f"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "copy", "piece"))
+        "-", F.lit("f"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text", "copy", "piece"))
     rest = pieces.filter("rest > 0")
     shards = max(1, -(-rest.count() // bins.shard_rows))
     dealt = rest.select(
         F.pmod(F.xxhash64("doc_id", "copy", "cluster"), F.lit(shards)).alias("shard"), "doc_id", "copy",
-        F.col("last").alias("piece"), F.col("rest").alias("n_words"), F.coalesce("source", F.lit("\0null")).alias("source"),
-        "cluster")
+        F.col("last").alias("piece"), F.col("rest").alias("n_words"), "source", "cluster")
     parts = max(shards, 1)
     placed = (dealt.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_packed(bins), PACKED))
     placed = placed.withColumn("bin_id", F.concat_ws("-", F.lit("s"), "shard", "bin"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from portolan.llm import language, line_rules, mixing, packing, quality, shingle_join, sql, toxicity, url_rules
 from portolan.llm.near_vectors import near_vectors
@@ -49,7 +50,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"))
+    documents = table(spark, sf_dir, "documents")
+    clusters = shingle_join.near_classes(documents).select(
+        F.col("id").alias("doc_id"), "t1", "t2", F.col("class_key").alias("cluster"))
+    return packing.packed(documents, clusters=clusters)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

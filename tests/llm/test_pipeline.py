@@ -98,3 +98,20 @@ def test_near_duplicates_go_by_text_and_not_by_id(spark, data, docs):
     assert links == Counter({
         (5, 2, 5, True): 3, (9, 2, 5, False): 1, (12, 2, 5, False): 1, (20, 2, 5, False): 1, (None, 2, None, False): 3,
         (None, 1, None, False): 1, (30, 1, 30, True): 1, (5, 0, 5, True): 1, (None, 0, None, False): 1})
+
+
+def test_packing_query_keeps_near_copies_apart_and_full_bins_single(spark, docs, tmp_path):
+    group = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    near = [(i, f"{group('g', 100)} end{i}", "en", f"s{i}") for i in range(6)]
+    near += [(7, group("h", 90), "en", "s7"), (7, f"{group('g', 100)} more", "en", "s8"), (None, f"{group('g', 100)} also", "en", "s9")]
+    full = [(None, group(f"f{k}x", 2048 + k % 2), "en", "s") for k in range(4)] + [(50, group(f"e{k}x", 4096), "en", "s") for k in range(2)]
+    full += [(51, group("k", 2048), "en", "s"), (51, group("k", 2048) + " a", "en", "s"), (51, group("k", 2048), "en", None)]
+    docs(near + full).write.parquet(str(tmp_path / "documents.parquet"))
+    out = QUERIES["op7_best_fit_packing"](spark, str(tmp_path)).collect()
+    words, copies = Counter(), Counter()
+    for r in out:
+        words[r.bin_id] += r.n_words
+        copies[r.bin_id] += r.n_words == 101  # the near copies, and no other piece
+    assert sum(words.values()) == sum(len(t.split()) for _, t, _, _ in near + full)
+    assert max(words.values()) <= 2048
+    assert max(copies.values()) == 1 and sum(copies.values()) == 8
