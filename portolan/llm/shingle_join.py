@@ -1,9 +1,9 @@
-"""N-gram Jaccard join: a MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: banded MinHash with a fixed prefix, then exact verification.
 
-A text is the set of its runs of five words.  Each tree of the forest has its own sequence of
-minimum hashes, and texts that share a prefix of it are a bucket.  Two sets of similarity ``s``
-share a prefix of length ``k`` in a tree with chance ``s ** k``; the matched prefix is shortened
-step by step until ``trees`` trees reach the target recall at the threshold (``Forest.depth``).
+A text is the set of its runs of five words.  Each tree (band) has its own sequence of minimum
+hashes, and texts that share its prefix are a bucket.  Two sets of similarity ``s``
+share a prefix of length ``k`` in a tree with chance ``s ** k``; ``Forest.depth`` is the longest
+with which ``trees`` trees reach the target recall at the threshold, fixed before data is read.
 
 Texts with the same shingles are one class.  A bucket with the very members of a bucket of an
 earlier tree is dropped; what remains is verified on the full shingle sets, and a pair counts
