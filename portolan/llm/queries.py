@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portolan.llm import language, line_rules, mixing, packing, quality, shingle_join, sql, toxicity, url_rules
+from portolan.llm import (
+    alignment, hard_negatives, language, line_rules, mixing, packing, quality, shingle_join, sql, toxicity, url_rules, warc)
 from portolan.llm.near_vectors import near_vectors
 from portolan.llm.passages import without_repeats
+from portolan.llm.scratch import scratch_path
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
              ("block", "com/de/")]
@@ -72,10 +74,26 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(documents).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return found.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+                        "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_near_vectors, op2_url_verdicts, op3_shingle_join, op4_source_mix, op5_quality, op6_language,
-        op7_best_fit_packing, op8_toxicity, op9_line_rules, op10_passages)
+        op7_best_fit_packing, op8_toxicity, op9_line_rules, op10_passages,
+        op11_warc_records, op12_token_alignment, op13_hard_negatives)
 }
 
 ORACLES: dict[str, str] = {
@@ -85,4 +103,6 @@ ORACLES: dict[str, str] = {
     "op4_source_mix": sql.SOURCE_MIX,
     "op9_line_rules": sql.LINE_RULES,
     "op10_passages": sql.PASSAGES,
+    "op11_warc_records": sql.WARC_RECORDS,
+    "op13_hard_negatives": sql.HARD_NEGATIVES,
 }
