@@ -17,8 +17,8 @@ per document.
 block, where every set bit adds its weight times the count to its document.
 
 *Tokens.*  Neither tokenizer merges across a plain space that follows a non-space (a table of
-pieces that could is refused), so texts are cut there and each distinct stretch is tokenized
-once per slice, and once per worker while it stays in a bounded cache.
+pieces that could is refused), so texts are cut there, and each distinct stretch of a slice of
+texts is tokenized and aligned once, many of them laid end to end.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -41,8 +41,8 @@ from portolan.llm.words import Slice, mix, slices, spans_hash
 BLOCK = 4096  # documents a block
 DENSE = BLOCK // 16  # from this many places on, plain bits are no longer than places
 PAIRS_HELD = 1 << 22  # document-pair entries of a block before it is closed early
-CACHED = 1 << 16  # stretches a worker remembers
-CACHED_BYTES = 64
+TEXT_SLICE = 1 << 22  # bytes of text whose distinct stretches are found together
+CHUNK = 1 << 12  # bytes of stretches tokenized in one go
 
 FOLDER = "/opt/tokenizers"
 BYTE_MODEL, PIECE_MODEL = f"{FOLDER}/byte_bpe_50k.json", f"{FOLDER}/piece_bpe_32k.model"
@@ -50,10 +50,13 @@ BYTE_MODEL, PIECE_MODEL = f"{FOLDER}/byte_bpe_50k.json", f"{FOLDER}/piece_bpe_32
 ROWS = ("block long, place int, a int, b int, level int, n int, bits binary, doc_id long, n_a long, n_b long, "
         "n_groups long, n_links long, groups_sha256 string")
 
-#: Last bytes of white-space signs beyond ASCII; after them no cut is made.
-WIDE_SPACE_ENDS = [*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]
-PLAIN = np.zeros(256, bool)
-PLAIN[[b for b in range(0x21, 0x100) if b != 0x7F and b not in WIDE_SPACE_ENDS]] = True
+#: Fixed value: how the byte tokenizer's pre-tokenizer parts a text.
+BYTE_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+LATIN_LEAD = 0xC8  # signs whose bytes are no greater are classed alike by every version of Unicode
+
+#: Last bytes of white-space signs beyond ASCII.
+WIDE_SPACE_END = np.zeros(256, bool)
+WIDE_SPACE_END[[*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
 
 
 def byte_signs() -> dict[str, int]:
@@ -63,38 +66,38 @@ def byte_signs() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Spelling:
+    """Bytes of each entry of a vocabulary, as one array."""
+
+    def __init__(self, entries: list[bytes]):
+        self.size = np.array([len(e) for e in entries], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(entries), np.uint8)
+
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        return self.data[spread(self.start[ids], self.size[ids])]
+
+
+def spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``start[k], start[k] + 1, ...``: ``n[k]`` places each, one after the other."""
+    return np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
+
+
 @dataclass
-class Unit:
-    """A stretch of text and what both tokenizers make of it; ``fits`` is false if bytes differ."""
-
-    n_a: int = 0
-    n_b: int = 0
-    n_groups: int = 0
-    groups: str = ""
-    fits: bool = True
-    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # one per link: a << 32 | b
-
-
-def linked(a: list[int], ends_a: np.ndarray, b: list[int], ends_b: np.ndarray) -> Unit:
-    """Groups and links of two cuts of the same bytes."""
-    ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-    starts_a, starts_b = np.append(0, ends_a[:-1]), np.append(0, ends_b[:-1])
-    # the tokens of b that overlap a token of a are consecutive
-    first = np.searchsorted(ends_b, starts_a, "right")
-    last = np.searchsorted(starts_b, ends_a, "left")
-    n = last - first
-    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
-    cuts = np.intersect1d(ends_a, ends_b)
-    parts, lo_a, lo_b = [], 0, 0
-    for hi_a, hi_b in zip((np.searchsorted(ends_a, cuts) + 1).tolist(), (np.searchsorted(ends_b, cuts) + 1).tolist(),
-                          strict=True):
-        parts.append(",".join(map(str, a[lo_a:hi_a])) + "|" + ",".join(map(str, b[lo_b:hi_b])))
-        lo_a, lo_b = hi_a, hi_b
-    return Unit(len(a), len(b), len(cuts), ";".join(parts), True, np.repeat(ids_a, n) << 32 | ids_b[at])
+class Cut:
+    """Stretches of text cut by both tokenizers, laid end to end; those whose bytes differ have no tokens."""
+
+    fits: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    groups: list[bytes]  # ``a1,a2|b1;a3|b2;``
+    n_links: np.ndarray
+    pairs: np.ndarray  # one per link: a << 32 | b
 
 
 class Aligner:
-    """Both tokenizers, and the stretches aligned lately."""
+    """Both tokenizers and the spelling of their ids."""
 
     def __init__(self, byte_model: str, piece_model: str):
         from sentencepiece import SentencePieceProcessor
@@ -104,36 +107,108 @@ class Aligner:
         self.byte.encode_special_tokens = True
         signs = byte_signs()
         with open(byte_model, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
-        self.bytes_a = {i: bytes(signs.get(c, 0) for c in entry) for entry, i in vocabulary.items()}
+            model = json.load(file)["model"]
+        vocabulary = model["vocab"]
+        entries = [b""] * (max(vocabulary.values()) + 1)
+        for entry, i in vocabulary.items():
+            entries[i] = bytes(signs[c] for c in entry if c in signs)
+        self.quick = self._quick(model, entries)
+        self.spelling_a = Spelling(entries)
         self.piece = SentencePieceProcessor(model_file=piece_model)
         pieces = [self.piece.id_to_piece(i) for i in range(self.piece.get_piece_size())]
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("pieces that reach across words cannot be aligned stretch by stretch")
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.piece.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(pieces)]
-        self.known: dict[bytes, Unit] = {}
-
-    def units(self, stretches: list[bytes]) -> list[Unit]:
-        new = [s for s in stretches if s not in self.known]
-        texts = [s.decode("utf-8", "replace") for s in new]
-        made: dict[bytes, Unit] = {}
-        if new:
-            coded_a = self.byte.encode_batch_fast(texts, add_special_tokens=False)
-            coded_b = self.piece.encode([t[1:] for t in texts], num_threads=1)
-            for raw, a, b in zip(new, [e.ids for e in coded_a], coded_b, strict=True):
-                made[raw] = self._aligned(raw, a, b)
-        out = [self.known.get(s) or made[s] for s in stretches]
-        if len(self.known) + len(made) > CACHED:
-            self.known.clear()
-        self.known.update((s, u) for s, u in made.items() if len(s) <= CACHED_BYTES)
-        return out
-
-    def _aligned(self, raw: bytes, a: list[int], b: list[int]) -> Unit:
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
-            return Unit(fits=False)
-        return linked(a, np.cumsum([len(p) for p in parts_a]), b, np.cumsum([len(p) for p in parts_b]))
+        self.spelling_b = Spelling([bytes([int(p[3:5], 16)]) if self.piece.is_byte(i) else p.replace("▁", " ").encode()
+                                    for i, p in enumerate(pieces)])
+        self.space = self.piece.piece_to_id("▁")
+        self.digits = Spelling([b"%d" % i for i in range(max(len(entries), len(pieces)))])
+
+    def _quick(self, model: dict, entries: list[bytes]):
+        """The byte tokenizer by ranks, where its file allows that: merges in the order of their ids, known pattern."""
+        from tiktoken import Encoding
+
+        pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
+        made = [model["vocab"].get("".join(p)) for p in pairs]
+        kind = json.loads(self.byte.pre_tokenizer.__getstate__()) if self.byte.pre_tokenizer else {}
+        plain = (made == list(range(256, 256 + len(made))) and kind.get("type") == "ByteLevel"
+                 and not kind.get("add_prefix_space") and kind.get("use_regex", True) and self.byte.normalizer is None)
+        ranks = {e: i for i, e in enumerate(entries[:256 + len(made)]) if e}
+        if not plain or len(ranks) != 256 + len(made):
+            return None
+        return Encoding("ranks", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def _tokenized(self, raw: np.ndarray, bounds: np.ndarray, rare: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Ids of consecutive stretches laid end to end, halved until those whose bytes differ are alone.
+
+        Yields (first, last, ids of a, ids of b); a stretch without tokens does not fit.
+        """
+        waiting = [(0, len(bounds) - 1)]
+        while waiting:
+            lo, hi = waiting.pop()
+            own = raw[bounds[lo]:bounds[hi]].tobytes()
+            text = own.decode("utf-8", "replace")
+            if rare or self.quick is None:
+                a = self.byte.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            else:
+                a = self.quick(text)
+            ids_a = np.array(a, np.int64)
+            # the piece tokenizer sets a space before a text, but none before an empty one
+            ids_b = np.array(self.piece.encode(text[1:]) if text != " " else [self.space], np.int64)
+            if self.spelling_a.spelled(ids_a).tobytes() == own == self.spelling_b.spelled(ids_b).tobytes():
+                yield lo, hi, ids_a, ids_b
+            elif hi - lo > 1:
+                waiting += [((lo + hi) // 2, hi), (lo, (lo + hi) // 2)]
+
+    def cut(self, raw: np.ndarray, size: np.ndarray, chunks: list[tuple[int, int, bool]]) -> Cut:
+        """Cut stretches that lie end to end in ``raw``; ``chunks`` may each be tokenized in one go.
+
+        A chunk is (first, last, rare): rare ones hold signs whose class may differ between
+        libraries, so they always go through the tokenizer's own.
+        """
+        bounds = np.append(0, np.cumsum(size))
+        fits = np.zeros(len(size), bool)
+        parts_a, parts_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for first, last, rare in chunks:
+            for lo, hi, a, b in self._tokenized(raw, bounds[first:last + 1], rare):
+                fits[first + lo:first + hi] = True
+                parts_a.append(a)
+                parts_b.append(b)
+        ids_a, ids_b = np.concatenate(parts_a), np.concatenate(parts_b)
+        ends_a, ends_b = np.cumsum(self.spelling_a.size[ids_a]), np.cumsum(self.spelling_b.size[ids_b])
+        upto = np.cumsum(np.where(fits, size, 0))
+        n_a = np.diff(np.searchsorted(ends_a, upto, "right"), prepend=0)
+        n_b = np.diff(np.searchsorted(ends_b, upto, "right"), prepend=0)
+        # the tokens of b that overlap a token of a are consecutive
+        first = np.searchsorted(ends_b, ends_a - self.spelling_a.size[ids_a], "right")
+        n = np.searchsorted(ends_b - self.spelling_b.size[ids_b], ends_a, "left") - first
+        pairs = np.repeat(ids_a, n) << 32 | ids_b[spread(first, n)]
+        # stretches begin where tokens of both begin, so no group or link reaches across them
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        at_a, at_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        upto_a, upto_b = np.cumsum(np.bincount(at_a, minlength=len(cuts))), np.cumsum(np.bincount(at_b, minlength=len(cuts)))
+        place_a = np.arange(len(ids_a)) + np.append(0, upto_b)[at_a]
+        place_b = np.arange(len(ids_b)) + upto_a[at_b]
+        ids, mark = np.empty(len(ids_a) + len(ids_b), np.int64), np.empty(len(ids_a) + len(ids_b), np.uint8)
+        ids[place_a], ids[place_b] = ids_a, ids_b
+        mark[place_a] = np.where(ends_a == cuts[at_a], ord("|"), ord(","))
+        mark[place_b] = np.where(ends_b == cuts[at_b], ord(";"), ord(","))
+        width = self.digits.size[ids]
+        stop = np.cumsum(width + 1)
+        text = np.empty(int(stop[-1]) if len(stop) else 0, np.uint8)
+        text[stop - 1] = mark
+        text[spread(stop - 1 - width, width)] = self.digits.spelled(ids)
+        last = np.append(0, stop)[np.cumsum(n_a + n_b)].tolist()
+        text = text.tobytes()
+        groups = [text[lo:hi] for lo, hi in zip([0, *last[:-1]], last, strict=True)]
+        n_groups = _per(ends_a == cuts[at_a], n_a)
+        return Cut(fits, n_a, n_b, n_groups, groups, _per(n, n_a), pairs)
+
+
+def _per(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``n[k]`` values."""
+    upto = np.append(0, np.cumsum(values, dtype=np.int64))
+    last = np.cumsum(n)
+    return upto[last] - upto[last - n]
 
 
 @lru_cache(maxsize=1)
@@ -152,16 +227,33 @@ def spaced(part: Slice) -> Slice:
     return Slice(part.first, data, offsets)
 
 
-def stretches(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def plain(data: np.ndarray) -> np.ndarray:
+    """Bytes after which a space may be cut off: ends of signs that are surely no white space."""
+    before = np.append(np.zeros(1, np.uint8), data[:-1])
+    wide = WIDE_SPACE_END[data] & ((before == 0xC2) | (before == 0x80) | (before == 0x81) | (before == 0x9A))
+    return (data > 0x20) & (data != 0x7F) & ~wide
+
+
+def stretches(part: Slice, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and rows of the stretches: a row is cut before each space after a plain byte."""
     cut = np.zeros(len(part.data), bool)
-    cut[1:] = (part.data[1:] == 0x20) & PLAIN[part.data[:-1]]
+    cut[1:] = (part.data[1:] == 0x20) & after[:-1]
     cut[part.offsets[:-1][np.diff(part.offsets) > 0]] = True
     start = np.flatnonzero(cut)
     end = np.append(start[1:], len(part.data))
     return start, end, np.searchsorted(part.offsets, start, "right") - 1
 
 
+def chunked(size: np.ndarray, rare: np.ndarray, alone: np.ndarray) -> list[tuple[int, int, bool]]:
+    """Runs of stretches of one kind and about ``CHUNK`` bytes; those that end in white space are alone."""
+    if not len(size):
+        return []
+    piece = np.where(alone, np.arange(len(size)), -1 - np.cumsum(size) // CHUNK)
+    new = np.flatnonzero((piece[1:] != piece[:-1]) | (rare[1:] != rare[:-1])) + 1
+    edges = [0, *new.tolist(), len(size)]
+    return [(lo, hi, bool(rare[lo])) for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+
+
 class Block:
     """Consecutive documents of a task, and the pairs they link."""
 
@@ -260,41 +352,42 @@ def document_batch(block: int, place: np.ndarray, ids: pa.Array, counts: list[np
 def align_slice(part: Slice, known: Aligner):
     """Per row the four counts and the digest of its groups; and (row, pair, times) of all links."""
     part = spaced(part)
-    start, end, row = stretches(part)
+    after = plain(part.data)
+    start, end, row = stretches(part, after)
     n_rows = part.n_rows
     key = spans_hash(part.data.astype(np.uint64) + np.uint64(1), start, end) ^ mix((end - start).astype(np.uint64))
     _, first, unit = np.unique(key, return_index=True, return_inverse=True)
-    raw = part.data.tobytes()
-    made = known.units([raw[start[i]:end[i]] for i in first])
+    size = (end - start)[first]
+    if len(first):
+        rare, alone = np.maximum.reduceat(part.data, start)[first] > LATIN_LEAD, ~after[end - 1][first]
+    else:
+        rare = alone = np.zeros(0, bool)
+    order = np.lexsort((alone, rare))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    unit, size = place[unit], size[order]
+    made = known.cut(part.data[spread(start[first[order]], size)], size, chunked(size, rare[order], alone[order]))
     fits = np.ones(n_rows, bool)
-    bad = ~np.array([u.fits for u in made], bool)
-    if bad.any():
-        fits[row[bad[unit]]] = False
+    fits[row[~made.fits[unit]]] = False
     own = fits[row]
     unit, row = unit[own], row[own]
-    counts = []
-    for name in ("n_a", "n_b", "n_groups"):
-        per = np.array([getattr(u, name) for u in made], np.int64)
-        counts.append(np.bincount(row, per[unit], n_rows).astype(np.int64))
-    sizes = np.array([len(u.pairs) for u in made], np.int64)
-    counts.append(np.bincount(row, sizes[unit], n_rows).astype(np.int64))
-    texts = [u.groups for u in made]
+    counts = [np.bincount(row, per[unit], n_rows).astype(np.int64)
+              for per in (made.n_a, made.n_b, made.n_groups, made.n_links)]
     bounds = np.searchsorted(row, np.arange(n_rows + 1))
-    order = unit.tolist()
-    digests = ["" if lo == hi else hashlib.sha256(";".join([texts[i] for i in order[lo:hi]]).encode()).hexdigest()
+    texts = [made.groups[i] for i in unit.tolist()]
+    digests = ["" if lo == hi else hashlib.sha256(memoryview(b"".join(texts[lo:hi]))[:-1]).hexdigest()
                for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
     # links of a document: first its distinct stretches with their counts, then the pairs in these
     if not len(unit):
         nothing = np.zeros(0, np.int64)
         return counts, digests, (nothing, nothing, nothing)
-    held, times = np.unique(row * len(made) + unit, return_counts=True)
-    row, unit = held // len(made), held % len(made)
-    flat = np.concatenate([u.pairs for u in made])
-    begin = np.cumsum(sizes) - sizes
-    n = sizes[unit]
-    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[unit], n)
+    n_units = len(made.n_links)
+    held, times = np.unique(row * n_units + unit, return_counts=True)
+    row, unit = held // n_units, held % n_units
+    n = made.n_links[unit]
+    at = spread((np.cumsum(made.n_links) - made.n_links)[unit], n)
     row, times = np.repeat(row, n), np.repeat(times, n)
-    pairs, code = np.unique(flat, return_inverse=True)
+    pairs, code = np.unique(made.pairs, return_inverse=True)
     joint = row * len(pairs) + code[at]
     held, back = np.unique(joint, return_inverse=True)
     return counts, digests, (held // len(pairs), pairs[held % len(pairs)],
@@ -308,7 +401,7 @@ def _aligned(byte_model: str, piece_model: str):
         block = Block(number)
         for batch in batches:
             ids = batch.column("doc_id")
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), TEXT_SLICE):
                 counts, digests, (row, pair, times) = align_slice(part, known)
                 done = 0
                 while done < part.n_rows:

@@ -85,8 +85,8 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
 
-def slices(texts: pa.Array) -> Iterator[Slice]:
-    """A string column cut into slices of whole rows; null counts as empty."""
+def slices(texts: pa.Array, size: int = SLICE) -> Iterator[Slice]:
+    """A string column cut into slices of whole rows and about ``size`` bytes; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
@@ -100,7 +100,7 @@ def slices(texts: pa.Array) -> Iterator[Slice]:
     data = np.frombuffer(body, np.uint8) if body is not None and body.size else np.zeros(0, np.uint8)
     first = 0
     while first < n:
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         last = min(n, max(first + 1, last))
         own = offsets[first:last + 1]
         yield Slice(first, data[own[0]:own[-1]], own - own[0])

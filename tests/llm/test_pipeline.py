@@ -29,7 +29,7 @@ def test_query_equals_its_sql(name, spark, data):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry_module.queries())
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "repeated_passages", "mix", "packing"]
 
 
