@@ -11,6 +11,7 @@ from portolan.plans.registry import query
 from portolan.plans.trade import _DAILY_GROUP, _DAILY_SQL
 from portolan.session import scratch_dir
 from portolan.streaming import incremental
+from portolan.streaming.declared import DeclaredSummary, appended, removed
 
 _KEYS_SQL = f"{q.day('trade_date')} AS trade_date, booking_branch, currency_code, transaction_type"
 _TOTALS_SQL = f"count(*) AS tx_count, {q.dbl('sum(amount)')} AS total_amount"
@@ -61,17 +62,64 @@ def incremental_daily_totals(spark, sf_dir):
     return totals.withColumn("has_update_time", F.col("last_updated_at").isNotNull()).drop("last_updated_at")
 
 
+def _followed(spark, sf_dir, name, keys=tuple(layers.DAILY_KEYS), waves=5):
+    """A declared summary after loads, a late append, changed customers, and rows that came and went.
+
+    At the end it holds the given tables as they are.
+    """
+    trades, customers = bridge.trades(spark, sf_dir), bridge.customers(spark, sf_dir)
+    early = F.col("trade_date") < F.lit("1998-01-01").cast("date")
+    stale = customers.where("customer_id % 40 = 1").withColumn("customer_segment", F.lit("stale"))
+    extreme = trades.where("trade_date = DATE '1997-05-05'").withColumn(
+        "amount", (F.col("amount") + 9_000_000).cast("decimal(18,2)"))
+    declared = DeclaredSummary(spark, scratch_dir(spark, name), keys, parts=8, full_beyond=0.5)
+    changes = [
+        (appended(trades.where(early)), appended(customers.where("customer_id % 40 > 1").union(stale))),
+        (appended(trades.where(~early)), None),
+        (None, removed(stale).union(appended(customers.where("customer_id % 40 <= 1")))),
+        (appended(extreme), None),
+        (removed(extreme), None),
+    ]
+    for of_trades, of_customers in changes[:waves]:
+        declared.refresh(of_trades, of_customers)
+    return declared
+
+
 @query("J4 D4", q.query(
     f"""{_DAILY_SQL}, {q.dbl('min(amount)')} AS min_amount, {q.dbl('max(amount)')} AS max_amount
         FROM trades t LEFT JOIN customers c ON t.customer_id = c.customer_id {_DAILY_GROUP}""",
     "trades", "customers"))
 def declared_daily_summary(spark, sf_dir):
-    """A refresh over part of the trades, one after an append, and one that finds nothing new."""
-    trades, customers = bridge.trades(spark, sf_dir), bridge.customers(spark, sf_dir)
-    path = scratch_dir(spark, "declared")
-    incremental.refresh_daily_summary(trades.where("trade_date < DATE '1998-01-01'"), customers, path)
-    incremental.refresh_daily_summary(trades, customers, path)
-    return incremental.refresh_daily_summary(trades, customers, path)
+    return _followed(spark, sf_dir, "declared").summary()
+
+
+@query("J4 J5 C2", q.query(
+    f"""SELECT region AS customer_region, customer_segment, currency_code, count(*) AS tx_count,
+        {q.dbl('sum(amount)')} AS total_amount, {q.dbl('min(amount)')} AS min_amount,
+        {q.dbl('max(amount)')} AS max_amount
+        FROM trades t LEFT JOIN customers c ON t.customer_id = c.customer_id GROUP BY ALL""", "trades", "customers"))
+def declared_segment_summary(spark, sf_dir):
+    """The same by attributes of the customer, after a compaction: changed customers move their trades."""
+    declared = _followed(spark, sf_dir, "segments", ("customer_region", "customer_segment", "currency_code"), waves=3)
+    declared.compact()
+    return declared.summary().drop("avg_amount")
+
+
+@query("J5 J8", q.query(
+    """SELECT 1::BIGINT AS version, 'full' AS mode,
+        (SELECT count(*) FROM trades WHERE trade_date < DATE '1998-01-01') AS trade_rows,
+        (SELECT count(*) FROM customers WHERE customer_id % 40 > 0) AS customer_rows,
+        (SELECT count(*) FROM trades WHERE trade_date < DATE '1998-01-01') AS joined_rows
+      UNION ALL SELECT 2, 'incremental', count(*), 0, count(*) FROM trades WHERE trade_date >= DATE '1998-01-01'
+      UNION ALL SELECT 3, 'incremental', 0,
+        (SELECT sum(CASE WHEN customer_id % 40 = 1 THEN 2 ELSE 1 END) FROM customers WHERE customer_id % 40 <= 1)::BIGINT,
+        2 * count(*) FROM trades t JOIN customers c ON t.customer_id = c.customer_id WHERE c.customer_id % 40 <= 1
+      UNION ALL SELECT v, 'incremental', n, 0, n FROM (VALUES (4), (5)) u(v),
+        (SELECT count(*) AS n FROM trades WHERE trade_date = DATE '1997-05-05')""", "trades", "customers"))
+def declared_refreshes(spark, sf_dir):
+    """Rows that each refresh wrote: they follow the changes, not the tables."""
+    return _followed(spark, sf_dir, "refreshes").ledger().select(
+        "version", "mode", "trade_rows", "customer_rows", "joined_rows")
 
 
 @query("J5", q.query(

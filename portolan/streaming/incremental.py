@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.operators.joins import merge_additive
-from portolan.operators.layers import DAILY_KEYS, daily_summary, harmonized_trades
+from portolan.operators.layers import DAILY_KEYS
 from portolan.sources.delimited import ANY_AGE
+from portolan.streaming.declared import DeclaredSummary, appended, difference
 from portolan.streaming.ingest import run_available
 
 MEASURES = ["tx_count", "total_amount"]
@@ -129,40 +130,18 @@ def compact_daily_totals(spark: SparkSession, state: str, compacted: str) -> Non
     _claim(spark, compacted, owner, max(held, int(last) if last is not None else -1))
 
 
-_VERSIONS = "version bigint, trades string, customers string"
-
-
-def _signature(df: DataFrame) -> str:
-    """Changes with any row added, dropped or altered: row count and two combined row hashes."""
-    row = df.agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("x"),
-        F.sum(F.xxhash64(F.lit(1), *df.columns).cast("decimal(38,0)")).alias("s"),
-    ).first()
-    return f"{row.n}/{row.x}/{row.s}"
-
-
 def refresh_daily_summary(trades: DataFrame, customers: DataFrame, path: str) -> DataFrame:
-    """The declarative twin: joined table first, then the summary that reads it.
+    """The declarative twin for sources without a change feed: joined table, then its summary.
 
-    Each refresh writes a new version and names it only when it is complete, so readers never
-    see half of one.  If neither source has changed, nothing is written and the last version
-    is returned.
+    The changes are found by comparing both tables with what is held; what is written follows
+    the changes.  A caller that knows its changes hands them to ``DeclaredSummary.refresh``.
     """
-    spark = trades.sparkSession
-    now = (_signature(trades), _signature(customers))
-    try:
-        last = spark.read.schema(_VERSIONS).parquet(f"{path}/versions").orderBy(F.desc("version")).first()
-    except AnalysisException:
-        last = None
-    version = last.version if last else 0
-    if last is None or (last.trades, last.customers) != now:
-        version += 1
-        joined = harmonized_trades(trades, customers).drop("contact_email", "contact_phone")
-        joined.write.mode("overwrite").parquet(f"{path}/trade_orders/{version}")
-        summary = daily_summary(spark.read.parquet(f"{path}/trade_orders/{version}"), extremes=True)
-        summary.write.mode("overwrite").parquet(f"{path}/daily_trade_summary/{version}")
-        spark.createDataFrame([(version, *now)], _VERSIONS).coalesce(1).write.mode("append").parquet(f"{path}/versions")
-    return spark.read.parquet(f"{path}/daily_trade_summary/{version}")
+    held = DeclaredSummary(trades.sparkSession, path)
+    if held.ledger().isEmpty():
+        held.refresh(appended(trades), appended(customers))
+    else:
+        held.refresh(difference(held.trades(), trades), difference(held.customers(), customers))
+    return held.summary()
 
 
 def apply_delta(totals: DataFrame, batch: DataFrame) -> DataFrame:
