@@ -127,6 +127,27 @@ def json_array_elements(spark, sf_dir):
     return json_files.variant_columns(loaded, fields).drop("source_file", "loaded_at")
 
 
+@query("A2", q.query(
+    """SELECT customer_id, customer_name || '], "' AS customer_name, [customer_id, 7]::VARCHAR AS pair, false AS rejected
+        FROM customers WHERE customer_id % 11 <> 4
+       UNION ALL SELECT NULL, NULL, NULL, true FROM customers WHERE customer_id % 11 = 4""", "customers"))
+def json_array_file(spark, sf_dir):
+    """Files that are one array each, over many lines; strings hold brackets and commas, some elements are broken."""
+    landing = scratch_dir(spark, "json-file")
+    told = F.to_json(F.struct("customer_id", F.concat("customer_name", F.lit('], "')).alias("customer_name"),
+                              F.array("customer_id", F.lit(7)).alias("pair")))
+    broken = F.concat(F.lit('{"customer_id": '), F.col("customer_id").cast("string"), F.lit(' "no": [1, 2]}'))
+    item = F.when(F.col("customer_id") % 11 == 4, broken).otherwise(told)
+    files = bridge.customers(spark, sf_dir).groupBy((F.col("customer_id") % 16).alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(item), ",\n"), F.lit("]")).alias("value"))
+    files.repartition(16, "file").select("value", "file").write.partitionBy("file").text(landing)
+    rows = json_files.read_array_elements(spark, landing)
+    fields = {"customer_id": "bigint", "customer_name": "string", "pair": "string"}
+    return json_files.variant_columns(rows, fields).select(
+        "customer_id", "customer_name", F.replace("pair", F.lit(","), F.lit(", ")).alias("pair"),
+        (F.size("bad_columns") > 0).alias("rejected"))
+
+
 @query("A2 I1", q.query(
     f"""SELECT customer_id, customer_name, contact_email, country_code, customer_segment, risk_rating,
         {q.day('onboarded_date')} AS onboarded_date FROM customers""", "customers"))

@@ -8,39 +8,48 @@ from pyspark.sql.types import StructType
 
 from portolan.functions.columns import NULL_TOKENS, null_if_token, try_typed
 from portolan.schemas import as_struct, as_text
-
-#: Streams take a file whatever its age; by default the source skips what is a week older than its newest.
-ANY_AGE = "36500d"
+from portolan.sources import spanning
+from portolan.sources.spanning import ANY_AGE
 
 #: Holds the text of a row whose number of values is not that of the schema.
 _MISFIT = "__misfit_row"
 
 
 def read_text_columns(
-    spark: SparkSession, path: str, schema: StructType, streaming: bool = False, multiline: bool = True,
-    **options: str,
+    spark: SparkSession, path: str, schema: StructType, multiline: bool = True, **options: str,
 ) -> DataFrame:
     """All columns as text plus ``source_file``, and the text of rows of another width.
 
     Columns go by position: a short row gives NULLs, surplus values are dropped.  Values may
-    hold line breaks inside quotes, so a file is read by one task; ``multiline=False`` lets
-    Spark split files that the caller knows to have none.
+    hold line breaks inside quotes, and files split all the same; ``multiline=False`` leaves out
+    the search for such rows in files that the caller knows to have none.
     """
-    reader = spark.readStream if streaming else spark.read
+    if multiline:
+        machine = spanning.quoted_lines()
+        return text_columns(spanning.records(spanning.units(spark.read, path, machine), machine), schema, **options)
     return (
-        reader.schema(as_text(schema).add(_MISFIT, "string"))
+        spark.read.schema(as_text(schema).add(_MISFIT, "string"))
         .option("columnNameOfCorruptRecord", _MISFIT)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("maxFileAge", ANY_AGE)
         .options(**options)
         .csv(path)
         .select("*", F.col("_metadata.file_path").alias("source_file"))
     )
 
 
+def text_columns(records: DataFrame, schema: StructType, **options: str) -> DataFrame:
+    """The same columns out of the records of whole files, whose first one is the header."""
+    text = F.rtrim(F.replace("text", F.lit("\r\n"), F.lit("\n")), F.lit("\r"))
+    kinds = as_text(schema).add(_MISFIT, "string")
+    given = {"columnNameOfCorruptRecord": _MISFIT, "quote": '"', "escape": '"', "multiLine": "true"}
+    # an array of one keeps Catalyst from copying the parse into every filter
+    parsed = F.explode(F.array(F.from_csv(text, kinds.toDDL(), given | options)))
+    return records.where((F.col("number") > 0) & (text != "")).select("source_file", parsed.alias("__row")).select(
+        "__row.*", "source_file")
+
+
 def _cleaned(name: str, null_tokens: tuple[str, ...]) -> Column:
     return null_if_token(F.col(name), null_tokens)
 

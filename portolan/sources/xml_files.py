@@ -4,78 +4,55 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portolan.sources.delimited import ANY_AGE
+from portolan.sources import spanning
 
 _BLANK = " \n\r\t﻿"
 
 
-_CLOSING = r"</((?:[A-Za-z_][\w.-]*:)?)$"
-_OPENING = r"<((?:[A-Za-z_][\w.-]*:)?)$"
 _NO_TEXT = r"(?s)<\?.*?\?>|<!--.*?-->"
 
 
-def read_records(spark: SparkSession, path: str, streaming: bool = False, **options: str) -> DataFrame:
-    """Text between the ends of ``Document`` tags of any prefix; such an end separates records."""
-    reader = spark.readStream if streaming else spark.read
-    return (
-        reader.option("lineSep", "Document>")
-        .option("recursiveFileLookup", True)
-        .option("maxFileAge", ANY_AGE)
-        .options(**options)
-        .text(path)
-        .select(
-            F.btrim("value", F.lit(_BLANK)).alias("body"),
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-        )
-    )
+def records_of(units: DataFrame) -> DataFrame:
+    """Text up to and with each end of a ``Document`` tag of any prefix, and what follows the last.
+
+    Ends inside CDATA sections and comments are text.  Files split; see ``spanning.records``.
+    """
+    return spanning.records(units, spanning.xml_documents())
+
+
+def read_units(reader, path: str, **options: str) -> DataFrame:
+    return spanning.units(reader, path, spanning.xml_documents(), recursiveFileLookup="true", **options)
 
 
 def documents_of(records: DataFrame) -> DataFrame:
-    """Documents among the records of whole files as text, with their row number in the file.
+    """Documents among the records of whole files, with their row number in the file.
 
-    Records end where a closing ``Document`` tag ends, so large files split.  A record that
-    ends otherwise is no document; see ``leftover_text``.  A start tag without attributes ends
-    a record too and is put back in front of its document.  A row number is the position
-    inside its split plus the number of documents in the file's earlier splits; only one
-    count per split is grouped and joined back, never a whole file.
+    A record that was not closed is no document; see ``leftovers_of``.  Text that is neither
+    prolog nor comment before a document's start tag is no part of it.
     """
-    records = records.withColumn("position", F.monotonically_increasing_id()).where(F.col("body").rlike(_CLOSING))
-    prefix = F.regexp_extract("body", _CLOSING, 1)
-    bare = ~F.col("body").rlike(r"<(?:[A-Za-z_][\w.-]*:)?Document[\s>]")
-    docs = records.withColumn(
-        "body", F.concat(F.when(bare, F.concat(F.lit("<"), prefix, F.lit("Document>"))).otherwise(""),
-                         F.col("body"), F.lit("Document>")))
-    splits = docs.groupBy("source_file", "split_start").agg(
-        F.min("position").alias("first_position"), F.max("position").alias("last_position"),
-        F.count("*").alias("n")
-    )
-    before = Window.partitionBy("source_file").orderBy("split_start").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = splits.withColumn("docs_before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n", "last_position")
-    row = F.col("position") - F.col("first_position") + F.col("docs_before") + 1
-    return docs.join(offsets, ["source_file", "split_start"]).select(
-        F.col("body").alias("payload"), "source_file", row.alias("row_number")
-    )
+    body = F.concat("text", F.lit("Document>"))
+    before = rf"(?s)^(?:{_NO_TEXT}|[^<]|<(?!(?:[A-Za-z_][\w.-]*:)?Document[\s>]))*"
+    stray = F.btrim(F.regexp_replace(F.regexp_extract(body, before, 0), _NO_TEXT, ""), F.lit(_BLANK))
+    payload = F.when(stray == "", F.btrim(body, F.lit(_BLANK))).otherwise(F.regexp_replace(body, before, ""))
+    return records.where("closed").select(
+        payload.alias("payload"), "source_file", (F.col("number") + 1).alias("row_number"))
 
 
 def leftovers_of(records: DataFrame) -> DataFrame:
-    """Text outside all documents, by file; comments and processing instructions are none."""
-    text = F.btrim(F.regexp_replace(F.regexp_replace("body", _OPENING, ""), _NO_TEXT, ""), F.lit(_BLANK))
-    return records.where(~F.col("body").rlike(_CLOSING)).select("source_file", text.alias("text")).where(
-        F.col("text") != "")
+    """Text after the last document, by file; comments and processing instructions are none."""
+    text = F.btrim(F.regexp_replace("text", _NO_TEXT, ""), F.lit(_BLANK))
+    return records.where("not closed").select("source_file", text.alias("text")).where(F.col("text") != "")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return documents_of(read_records(spark, path))
+    return documents_of(records_of(read_units(spark.read, path)))
 
 
 def leftover_text(spark: SparkSession, path: str) -> DataFrame:
-    return leftovers_of(read_records(spark, path))
+    return leftovers_of(records_of(read_units(spark.read, path)))
 
 
 def message_type(path):

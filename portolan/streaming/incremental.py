@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from portolan.operators.joins import merge_additive
 from portolan.operators.layers import DAILY_KEYS
-from portolan.sources.delimited import ANY_AGE
+from portolan.sources.spanning import ANY_AGE
 from portolan.streaming.declared import DeclaredSummary, appended, difference
 from portolan.streaming.ingest import run_available
 

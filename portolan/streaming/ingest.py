@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from portolan.functions.columns import base_name, null_if_token, try_typed
 from portolan.schemas import as_struct
-from portolan.sources import delimited, json_files, xml_files
+from portolan.sources import delimited, json_files, spanning, xml_files
 
 
 def run_available(stream: DataFrame, handle, checkpoint: str) -> int:
@@ -44,45 +44,48 @@ def ingest_csv(
     With ``strict`` a row with too few or too many values is a reject.
     """
     schema = as_struct(schema_ddl)
-    raw = delimited.read_text_columns(
-        spark, landing, schema, streaming=True, maxFilesPerTrigger=str(max_files)
-    )
+    machine = spanning.quoted_lines()
+    lines = spanning.units(spark.readStream, landing, machine, maxFilesPerTrigger=str(max_files))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_rows(delimited.typed_rows(batch, schema, strict=strict), target, batch_id)
+        raw = delimited.text_columns(spanning.records(batch, machine), schema)
+        _write_rows(delimited.typed_rows(raw, schema, strict=strict), target, batch_id)
 
-    return run_available(raw, write, checkpoint)
+    return run_available(lines, write, checkpoint)
 
 
 def ingest_json(
     spark: SparkSession, landing: str, target: str, checkpoint: str, whole_file: bool = True, max_files: int = 1000
 ) -> int:
     """Load new files of JSON arrays or objects below ``landing``; texts that are no JSON are rejects."""
+    machine = spanning.json_elements()
+    options = {"maxFilesPerTrigger": str(max_files)}
     raw = (
-        spark.readStream.option("wholetext", whole_file)
-        .option("maxFileAge", delimited.ANY_AGE)
-        .option("maxFilesPerTrigger", max_files)
-        .text(landing)
+        spanning.units(spark.readStream, landing, machine, **options) if whole_file else
+        spark.readStream.option("maxFileAge", spanning.ANY_AGE).options(**options).text(landing)
         .select(F.col("value").alias("__text"), F.col("_metadata.file_path").alias("source_file"))
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_rows(json_files.elements_and_rejects(batch, "__text"), target, batch_id)
+        rows = (json_files.array_elements(spanning.records(batch, machine)) if whole_file
+                else json_files.elements_and_rejects(batch, "__text"))
+        _write_rows(rows, target, batch_id)
 
     return run_available(raw, write, checkpoint)
 
 
 def ingest_xml(spark: SparkSession, landing: str, target: str, checkpoint: str, max_files: int = 1000) -> int:
     """Load new message files below ``landing``; text outside all documents is a reject."""
-    records = xml_files.read_records(spark, landing, streaming=True, maxFilesPerTrigger=str(max_files))
+    units = xml_files.read_units(spark.readStream, landing, maxFilesPerTrigger=str(max_files))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good = xml_files.messages_of(xml_files.documents_of(batch), landing).drop("received_at")
-        outside = xml_files.leftovers_of(batch).select(
+        records = xml_files.records_of(batch)
+        good = xml_files.messages_of(xml_files.documents_of(records), landing).drop("received_at")
+        outside = xml_files.leftovers_of(records).select(
             "source_file", F.array(F.lit("payload")).alias("bad_columns"), F.col("text").alias("raw_row"))
         _write_rows(good.unionByName(outside, allowMissingColumns=True), target, batch_id)
 
-    return run_available(records, write, checkpoint)
+    return run_available(units, write, checkpoint)
 
 
 def _write_rows(rows: DataFrame, target: str, batch_id: int) -> None:
@@ -183,7 +186,7 @@ def load_drop_folder(
         .option("escape", '"')
         .option("multiLine", True)
         .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .option("maxFileAge", delimited.ANY_AGE)
+        .option("maxFileAge", spanning.ANY_AGE)
         .option("maxFilesPerTrigger", max_files)
         .csv(folder)
         .select(

@@ -363,12 +363,12 @@ def test_json_and_xml_files_are_loaded_once_with_a_ledger(spark, tmp_path):
     (tmp_path / "landing" / "late.json").write_text('[{"k": 6}]')
     assert ingest.ingest_json(spark, landing, target, checkpoint) == 1
     good, rejects = ingest.ingested(spark, target)
-    assert sorted(r.k for r in json_files.variant_columns(good, {"k": "int"}).collect()) == [1, 2, 4, 6]
+    assert sorted(r.k for r in json_files.variant_columns(good, {"k": "int"}).collect()) == [1, 2, 3, 4, 6]
     assert {os.path.basename(r.source_file): (r.bad_columns, r.raw_row) for r in rejects.collect()} == {
-        n: (["payload"], files[n]) for n in ("b.json", "e.json")}
+        "b.json": (["payload"], '{"k"'), "e.json": (["payload"], files["e.json"])}
     ledger = {os.path.basename(r.source_file): (r.rows_loaded, r.rows_rejected, r.status)
               for r in ingest.load_ledger(spark, target).collect()}
-    assert ledger["a.json"] == (2, 0, "LOADED") and ledger["b.json"] == (0, 1, "REJECTED")
+    assert ledger["a.json"] == (2, 0, "LOADED") and ledger["b.json"] == (1, 1, "PARTLY LOADED")
 
     landing, target, checkpoint = (str(tmp_path / x) for x in ("pacs_008", "xml", "xml-checkpoint"))
     os.mkdir(landing)
@@ -405,3 +405,28 @@ def test_rows_of_another_width_are_reported_and_refused_on_request(spark, tmp_pa
     assert ledger == {"a.csv": 2, "b.csv": 0}
     good, _ = ingest.ingested(spark, target)
     assert "misfit" not in good.columns and good.count() == 4
+
+
+def test_broken_elements_reject_themselves_and_not_their_file(spark, tmp_path):
+    texts = {"comma.json": '[{"n": 1}, {"n": 2},]', "tru.json": '[{"n": 3}, {"n": tru}, [1, 2], {"n": 4}]',
+             "cut.json": '[{"n": 5}, {"n": 6}', "brace.json": '[{"n": 7}, {"n": 8, {"n": 9}]', "two.json": '[{"n": 10}] x'}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    loaded = json_files.load_json_array(spark, str(tmp_path))
+    found = json_files.variant_columns(loaded.where("source_file not like '%x%'"), {"n": "int"}).collect()
+    assert sorted(r.n for r in found if r.n) == [1, 2, 3, 4, 5, 6, 7]
+    bad = {(os.path.basename(r.source_file), r.element): r.raw_row
+           for r in json_files.array_rejects(spark, str(tmp_path)).collect()}
+    assert bad == {("comma.json", 2): "", ("tru.json", 1): '{"n": tru}',
+                   ("brace.json", 1): '{"n": 8, {"n": 9}', ("two.json", 0): '{"n": 10}] x'}
+
+
+def test_document_ends_inside_sections_are_text(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(
+        "<Document x='1'><A><![CDATA[see </Document> tag]]></A></Document>\n<!-- </Document> --><Document><B/></Document>"
+        "junk <Document x='3'/>\n<Document></Document>")
+    rows = {r.row_number: r.payload for r in xml_files.read_documents(spark, str(tmp_path)).collect()}
+    assert rows == {1: "<Document x='1'><A><![CDATA[see </Document> tag]]></A></Document>",
+                    2: "<!-- </Document> --><Document><B/></Document>",
+                    3: "<Document x='3'/>\n<Document></Document>"}
+    assert xml_files.leftover_text(spark, str(tmp_path)).count() == 0
