@@ -151,15 +151,16 @@ def repeated_spans(texts: DataFrame, graph: Graph = Graph()) -> DataFrame:
     found = texts.select("row", "text").mapInArrow(_stretched(graph), STRETCHES)
     seeds = found.groupBy("seed").agg(F.sum("times").alias("n")).filter("n > 1").select("seed")
     found = kept(hot_join(found, seeds, ["seed"], "left_semi"), "stretches")
-    # the first place in one number, since a minimum of numbers combines by hash; 2**24 words exceed any text
-    at = F.col("row").cast("decimal(20,0)") * F.lit(1 << 24) + F.col("first")
-    split = F.floor(F.col("at") / F.lit(1 << 24)).cast("long")
+    # the first place in one number, since a minimum of numbers combines by hash; no column holds 2**31 words
+    places = F.lit(1 << 31).cast("decimal(10,0)")
+    at = F.col("row").cast("decimal(19,0)") * places + F.col("first")
+    split = F.floor(F.col("at") / places).cast("long")
     counted = found.groupBy("seed", "words").agg(
         F.sum("times").alias("copies"), F.max("times").alias("times"), F.max("edges").alias("edges"), F.min("before").alias("least_before"),
         F.max("before").alias("most_before"), F.min(at.cast("decimal(30,0)")).alias("at")).withColumn("r", split)
     counted = kept(counted.select(
         "seed", "words", "copies", "times", "edges", "least_before", "most_before",
-        F.struct(F.col("r").alias("row"), (F.col("at") - F.col("r").cast("decimal(20,0)") * F.lit(1 << 24))
+        F.struct(F.col("r").alias("row"), (F.col("at") - F.col("r").cast("decimal(19,0)") * places)
                  .cast("long").alias("first")).alias("place")), "counted")
     length = F.col("length") + (F.col("times") - 1) * F.col("edges") + graph.width - 1
     passages = found.join(_paths(counted), ["seed", "words"]).select("row", "first", length.alias("n_words"))
@@ -209,7 +210,7 @@ def without_repeats(documents: DataFrame, graph: Graph = Graph(), id_col: str =
     on the input.  ``stripped`` is the text itself if nothing was removed, else the words left,
     joined by one space; ``kept_sha256`` is the hash of the words left joined by one space.
 
-    Null texts have no words and a null ``stripped``.  Repeated rows are places of their own,
+    Rows that agree in id and text share one list of spans, each once.  Null texts have no words and a null ``stripped``.  Repeated rows are places of their own,
     so rows that agree in id and text lose all runs they have.  Ids may be null or repeated.
     Columns of the input named like one of the four are replaced.  An empty table gives an empty result.
     """
@@ -222,7 +223,7 @@ def without_repeats(documents: DataFrame, graph: Graph = Graph(), id_col: str =
         F.xxhash64(F.col(f"`{id_col}`"), text).alias("row"), text.alias("text"),
         F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("rest"))
     spans = repeated_spans(texts, graph).groupBy(F.col("row").alias("own")).agg(
-        F.collect_list(F.struct("first", "n_words")).alias("spans"))
+        F.collect_set(F.struct("first", "n_words")).alias("spans"))
     schema = StructType([texts.schema["rest"], texts.schema["text"], *_parse(added)])
     done = texts.join(spans, F.col("row") == F.col("own"), "left").mapInArrow(_stripped, schema)
     back = {c: F.col("rest")[f"c{i}"] for i, c in enumerate(others)} | {text_col: F.col("text")}
