@@ -13,7 +13,6 @@ per bucket and language, whatever the size of the corpus.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,9 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portolan.llm.words import mix, slices, words
+from portolan.llm.words import SLICE, mix, slices, words
 
-LETTER = re.compile(r"[^\W\d_]")
 BREAK = np.zeros(256, bool)
 BREAK[[b for b in range(128) if not chr(b).isalpha()]] = True
 LOWER = np.arange(256, dtype=np.uint64)
@@ -38,7 +36,7 @@ class Grams:
     bits: int = 15
     orders: tuple[int, ...] = (2, 3, 4)
     rounds: int = 8
-    most_languages: int = 512
+    held: int = 1 << 22  # counts that a task keeps apart before it adds them up
 
     @property
     def buckets(self) -> int:
@@ -80,7 +78,14 @@ def _count(grams: Grams, languages: list[str]):
     number = {lang: i for i, lang in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), grams.buckets), np.int64)
+        held, n_held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            key, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            n = np.zeros(len(key), np.int64)
+            np.add.at(n, back, np.concatenate([n for _, n in held]))
+            return key, n
+
         for batch in batches:
             lang = np.array([number[x] for x in batch.column("lang").to_pylist()], np.int64)
             for part in slices(batch.column("text")):
@@ -88,15 +93,19 @@ def _count(grams: Grams, languages: list[str]):
                 if not len(found.start):
                     continue
                 out, bounds = _grams(part.data, found.start, found.end, grams)
-                own = np.repeat(lang[part.first + found.row], np.diff(bounds))
-                for code in out:
-                    ok = code >= 0
-                    total += np.bincount(own[ok] * grams.buckets + code[ok], minlength=total.size).reshape(total.shape)
-        for i in range(len(languages)):
-            some = np.flatnonzero(total[i])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), i, np.int64)), pa.array(some), pa.array(total[i, some])],
-                names=["language", "bucket", "n"])
+                own = np.repeat(lang[part.first + found.row], np.diff(bounds)) * grams.buckets
+                held.append(np.unique(np.concatenate([own[code >= 0] + code[code >= 0] for code in out]),
+                                      return_counts=True))
+                n_held += len(held[-1][0])
+                if n_held > grams.held:
+                    key, n = added()
+                    # many languages fill no table here; what is counted so far goes on as it is
+                    yield pa.RecordBatch.from_arrays([pa.array(key // grams.buckets), pa.array(key % grams.buckets),
+                                                      pa.array(n)], names=["language", "bucket", "n"])
+                    held, n_held = held[:1], 0
+        key, n = added()
+        yield pa.RecordBatch.from_arrays([pa.array(key // grams.buckets), pa.array(key % grams.buckets), pa.array(n)],
+                                         names=["language", "bucket", "n"])
 
     return count
 
@@ -104,13 +113,10 @@ def _count(grams: Grams, languages: list[str]):
 def train(texts: DataFrame, grams: Grams = Grams()) -> Model:
     """A model from all rows of ``text, lang``; rows with a null text or language are left out.
 
-    The number of languages must not exceed ``grams.most_languages``, which bounds the model.
+    Any value of ``lang`` is a language; each adds ``4 * grams.buckets`` bytes to the model.
     """
     rows = texts.dropna(subset=["text", "lang"]).select("text", F.col("lang").cast("string").alias("lang"))
-    found = rows.select("lang").distinct().limit(grams.most_languages + 1).collect()
-    if len(found) > grams.most_languages:
-        raise ValueError(f"more than {grams.most_languages} languages")
-    languages = sorted(r[0] for r in found)
+    languages = sorted(r[0] for r in rows.select("lang").distinct().collect())
     counts = np.zeros((grams.buckets, max(1, len(languages))))
     if languages:
         summed = (rows.mapInArrow(_count(grams, languages), "language long, bucket long, n long")
@@ -162,7 +168,7 @@ def proportions(like: np.ndarray, bounds: np.ndarray, rounds: int) -> np.ndarray
         pick = np.repeat(bounds[:-1][open_] - own[:-1], sizes) + np.arange(own[-1])
         # the others begin where they are, a little apart from zero
         start = np.where(trial, share[:, open_] + np.float32(1e-3), np.float32(0))
-        new_share, new_value = _fit(like[:, pick], own, start / start.sum(axis=0), max(2, rounds // 4))
+        new_share, new_value = _fit(like[:, pick], own, start / start.sum(axis=0), rounds)
         score = new_value - cost[open_] * trial.sum(axis=0)
         better = score >= best[open_]
         took = open_[better]
@@ -174,10 +180,12 @@ def _predicted(model: Model):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, "und"], dtype=object)
         logs = np.vstack([model.logs, np.zeros((1, model.logs.shape[1]), np.float32)]).T.copy()
+        # the likelihoods of a slice have a row per language
+        size = max(1, 16 * SLICE // max(16, len(names)))
         for batch in batches:
             texts = batch.column("text").to_pylist()
             lang, score = np.full(batch.num_rows, len(names) - 1), np.zeros(batch.num_rows)
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), size):
                 found = words(part, BREAK)
                 if not len(found.start) or not model.languages:
                     continue
@@ -191,7 +199,7 @@ def _predicted(model: Model):
                 top = share.argmax(axis=0)
                 lang[part.first:part.first + part.n_rows] = top
                 score[part.first:part.first + part.n_rows] = share[top, np.arange(part.n_rows)]
-            none = np.array([t is None or not LETTER.search(t) for t in texts], bool)
+            none = np.array([not any(map(str.isalpha, t or "")) for t in texts], bool)
             lang[none], score[none] = len(names) - 1, 0.0
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("held_out"), pa.array(names[lang], pa.string()),
