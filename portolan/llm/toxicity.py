@@ -6,9 +6,9 @@ and for each pair of terms the product of their factors; so a pair such as an in
 mention of a group can weigh more, or less, than its two words.  With ``k`` factors the sum over
 all pairs takes time linear in the terms.
 
-The machine learns from a bounded sample of labelled texts (``Settings.sample``), on the terms
-whose presence differs most between the classes (``Settings.terms``, by chi-square), and is
-applied to every whole text.
+The machine learns from a bounded sample of labelled texts (``Settings.sample``), on all
+terms whose presence differs between the classes (by chi-square), and is applied to every whole
+text.  A pair of terms of which neither says anything alone is not learned.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ LOWER[ord("A"):ord("Z") + 1] += np.uint64(32)
 class Settings:
     bits: int = 18
     stem: int = 5  # bytes of the first part of a longer word
-    terms: int = 4096
     factors: int = 4
     sample: int = 20_000
     rounds: int = 300
@@ -96,8 +95,7 @@ def fit_machine(row: np.ndarray, bucket: np.ndarray, y: np.ndarray, settings: Se
     expected = seen * one / all_
     chi = (toxic - expected) ** 2 / np.maximum(expected * (1 - one / all_), 1e-9)
     chi[seen < 3] = 0
-    best = np.argsort(-chi, kind="stable")[:settings.terms]
-    best = best[chi[best] > 6.6]  # one per cent of terms without effect pass this
+    best = np.flatnonzero(chi > 6.6)  # one per cent of terms without effect pass this
     place = np.full(size, -1, np.int32)
     place[best] = np.arange(len(best))
     use = place[bucket] >= 0 if n else np.zeros(0, bool)

@@ -78,3 +78,18 @@ def test_pairs_of_terms_can_outweigh_the_terms():
     z = machine.logits(row, machine.place[bucket], 2000)
     assert ((z > 0) == (y > 0)).all()
     assert (machine.factors[machine.place[1]] @ machine.factors[machine.place[2]]) > 0
+
+
+def test_any_number_of_languages_and_no_letters(spark, docs):
+    rows = [(i, f"qx{i:03d}w zy{i:03d}v " .translate(str.maketrans("0123456789", "abcdefghij")) * 4, f"l{i}", "s")
+            for i in range(600)]
+    table = docs(rows)
+    model = language.train(table)
+    assert len(model.languages) == 600
+    got = {r.doc_id: r.lang_pred for r in language.languages_of(table.limit(40), model, language.part_of("doc_id", 4) == 2)
+           .collect()}
+    assert sum(got[i] == f"l{i}" for i in got) >= 0.9 * len(got)
+    odd = docs([(1, "²³ ½ ①", None, "s"), (2, "12 34 !", None, "s"), (3, "漢", None, "s")])
+    told = {r.doc_id: (r.lang_pred, r.score) for r in language.languages_of(
+        odd, model, language.part_of("doc_id", 4) == 2).collect()}
+    assert told[1] == told[2] == ("und", 0.0) and told[3][0] != "und"

@@ -210,3 +210,11 @@ def test_passages_leave_clean_texts_alone(docs):
     rows = passages.without_repeats(docs([(1, text, "en", "a"), (2, None, "en", "a")])).collect()
     assert {r.doc_id: r.stripped for r in rows} == {1: text, 2: None}
     assert passages.without_repeats(docs([])).count() == 0
+
+
+def test_repeated_rows_without_ids_share_their_spans_once(docs):
+    text = " ".join(f"v{i}" for i in range(60))
+    table = docs([(None, text, "en", "a")] * 40)
+    assert passages.repeated_spans(table.selectExpr("xxhash64(doc_id, text) AS row", "text")).distinct().count() >= 1
+    got = passages.without_repeats(table).collect()
+    assert len(got) == 40 and all(r.n_removed == r.n_words == 60 for r in got)
