@@ -145,7 +145,7 @@ PII_RULES = (
     PiiRule("EMAIL", "IDENTIFIER", r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"),
     PiiRule("NAME", "IDENTIFIER",
             r"^\p{Lu}[\p{L}'’.-]*(?: \p{Lu}[\p{L}'’.-]*)+$|^[々一-鿿]{1,4} [々ぁ-ヿ一-鿿]{1,5}$",
-            "(?i)region|country|city|branch|segment|type|status|stage|category|industry|product|rating|label"),
+            "(?i)region|country|city|place|town|branch|segment|type|status|stage|category|industry|product|rating|label"),
     PiiRule("PHONE_NUMBER", "IDENTIFIER", r"^[+]?[0-9][0-9()-]{7,}[0-9]$"),
 )
 
@@ -153,7 +153,8 @@ PII_RULES = (
 def detect_pii(df: DataFrame, threshold: float = 0.8, rules: tuple[PiiRule, ...] = PII_RULES) -> DataFrame:
     """Text columns that hold names, e-mail addresses or phone numbers, with match rates.
 
-    All columns and categories are rated in one pass over the data.
+    All columns and categories are rated in one pass over the data.  A table without text columns
+    has none.
     """
     text_columns = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
     rates, rows = [], []
@@ -167,6 +168,9 @@ def detect_pii(df: DataFrame, threshold: float = 0.8, rules: tuple[PiiRule, ...]
                 F.struct(F.lit(name).alias("column_name"), F.lit(rule.category).alias("semantic_category"),
                          F.lit(rule.privacy).alias("privacy_category"), F.col(alias).alias("match_rate"))
             )
+    if not rows:
+        return df.sparkSession.createDataFrame(
+            [], "column_name string, semantic_category string, privacy_category string, match_rate double")
     return df.agg(*rates).select(F.inline(F.array(*rows))).where(F.col("match_rate") >= threshold)
 
 

@@ -101,9 +101,12 @@ def scan_search(docs: DataFrame, key: str, text: str, query: str, k: int, *keep:
     """The same ranking without an index, by scanning the documents.
 
     Term counts are a per-row expression; one aggregate over the scan gives the corpus
-    figures and each task keeps its ``k`` best rows, so documents are never shuffled.
+    figures and each task keeps its ``k`` best rows, so documents are never shuffled.  A query
+    without a token finds nothing.
     """
     terms = token_list(query)
+    if not terms:  # nothing to look for
+        return docs.select(key, text, *keep, F.lit(0.0).alias("score")).limit(0)
     # The one-element explode keeps the counting in one place of the plan; a projection
     # would be copied into the filter and the score.
     counts = F.struct(

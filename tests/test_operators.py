@@ -296,3 +296,11 @@ def test_amounts_bring_their_currency(spark, data):
         metrics.metric_query(views, ["trade_count"], ["industry"])
     with pytest.raises(ValueError):
         metrics.metric_query(views, ["branch"], [])
+
+
+def test_queries_without_tokens_and_tables_without_text(spark):
+    notes = spark.createDataFrame([(1, "some words")], "id int, note string")
+    assert search.scan_search(notes, "id", "note", "???", 3).collect() == []
+    assert governance.detect_pii(spark.range(5)).collect() == []
+    places = spark.createDataFrame([("Berlin East",), ("New York",)], "place string")
+    assert governance.detect_pii(places).collect() == []
