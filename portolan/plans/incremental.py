@@ -72,7 +72,7 @@ def _followed(spark, sf_dir, name, keys=tuple(layers.DAILY_KEYS), waves=5):
     stale = customers.where("customer_id % 40 = 1").withColumn("customer_segment", F.lit("stale"))
     extreme = trades.where("trade_date = DATE '1997-05-05'").withColumn(
         "amount", (F.col("amount") + 9_000_000).cast("decimal(18,2)"))
-    declared = DeclaredSummary(spark, scratch_dir(spark, name), keys, parts=8, full_beyond=0.5)
+    declared = DeclaredSummary(spark, scratch_dir(spark, name), keys, parts=8, full_beyond=4.0)
     changes = [
         (appended(trades.where(early)), appended(customers.where("customer_id % 40 > 1").union(stale))),
         (appended(trades.where(~early)), None),

@@ -301,6 +301,6 @@ def test_amounts_bring_their_currency(spark, data):
 def test_queries_without_tokens_and_tables_without_text(spark):
     notes = spark.createDataFrame([(1, "some words")], "id int, note string")
     assert search.scan_search(notes, "id", "note", "???", 3).collect() == []
-    assert governance.detect_pii(spark.range(5)).collect() == []
+    assert g.detect_pii(spark.range(5)).collect() == []
     places = spark.createDataFrame([("Berlin East",), ("New York",)], "place string")
-    assert governance.detect_pii(places).collect() == []
+    assert g.detect_pii(places).collect() == []
