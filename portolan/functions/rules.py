@@ -1,6 +1,6 @@
-"""Phrase rules for reading trade notes.  All phrases are lower case and matched as
-substrings of the lower-cased note, which serves English and Japanese alike.  They are
-parameters: every operator takes another list just as well.
+"""Phrase rules for reading trade notes.  All phrases are lower case and matched as whole
+words of what the note says and does not deny (``functions/phrases.py``), English and Japanese
+alike.  They are parameters: every operator takes another list just as well.
 """
 
 # Labels in order of precedence when two score the same; the last one is the default.
@@ -11,6 +11,7 @@ LABEL_RULES = [
     ("Suspicious/Compliance", "suspicious", 3),
     ("Suspicious/Compliance", "unusual", 3),
     ("Suspicious/Compliance", "sanctions", 3),
+    ("Suspicious/Compliance", "sanctioned", 3),
     ("Suspicious/Compliance", "aml flag", 3),
     ("Suspicious/Compliance", "sar filing", 2),
     ("Suspicious/Compliance", "due diligence", 2),
@@ -50,7 +51,7 @@ POSITIVE_PHRASES = [
     "premium", "vip", "white-glove", "approval obtained", "重要顧客", "承認取得",
 ]
 NEGATIVE_PHRASES = [
-    "suspicious", "aml flag", "unusual", "sanctions", "disputed", "non-receipt", "shortfall",
+    "suspicious", "aml flag", "unusual", "sanctions", "sanctioned", "disputed", "non-receipt", "shortfall",
     "incorrect", "amlフラグ", "制裁リスト", "金額相違", "未着",
 ]
 
@@ -58,6 +59,7 @@ NEGATIVE_PHRASES = [
 RISK_RULES = [
     ("HIGH", "suspicious"),
     ("HIGH", "sanctions"),
+    ("HIGH", "sanctioned"),
     ("HIGH", "aml flag"),
     ("HIGH", "amlフラグ"),
     ("HIGH", "制裁リスト"),

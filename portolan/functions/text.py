@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 # Signs of scripts that come without spaces (Chinese, kana, Hangul) are tokens one by one;
 # elsewhere a token is a run of letters, digits and combining marks.  ``[^\P{L}..]`` is a
 # letter outside the listed signs, written so that all engines read it alike.
-_SIGNS = "々-〇ぁ-ヿ㐀-䶿一-鿿가-힣"
-TOKEN = rf"[{_SIGNS}]|(?:[^\P{{L}}{_SIGNS}]|[\p{{N}}\p{{M}}])+"
+SIGNS = "々-〇ぁ-ヿ㐀-䶿一-鿿가-힣"
+TOKEN = rf"[{SIGNS}]|(?:[^\P{{L}}{SIGNS}]|[\p{{N}}\p{{M}}])+"
 
 
 def tokens(text: Column) -> Column:

@@ -1,46 +1,55 @@
 """Reading trade notes by rules: label, sentiment, risk.
 
-The rules become one expression per row, so scoring is a narrow map inside the JVM: no
-join, no shuffle, and no text is skipped or cut.
+The rules are tables of phrases.  A note is read once for all of them, in one expression of a
+size that does not depend on their number, so scoring is a narrow map inside the JVM: no join,
+no shuffle, and no text is skipped or cut.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portolan.functions import rules as r
 from portolan.functions import values as v
 from portolan.functions.columns import percent
+from portolan.functions.phrases import phrases_in, table
 from portolan.functions.text import token_list, tokens
 
 
-def _hits(lowered: Column, phrases: list[tuple[str, int]]) -> Column:
-    return reduce(
-        lambda a, b: a + b,
-        [F.when(lowered.contains(phrase), weight).otherwise(0) for phrase, weight in phrases],
+def _scores(text: Column, rules: list[tuple[str, str, int]], order: list[str]) -> Column:
+    """The weights of the phrases found, summed per label, as an array in the order of the labels."""
+    weights: dict[str, list[int]] = {}
+    for label, phrase, weight in rules:
+        if label in order:
+            weights.setdefault(phrase, [0] * len(order))[order.index(label)] += weight
+    none = F.array(*[F.lit(0)] * len(order))
+    if not weights:
+        return F.when(text.isNotNull(), none)
+    by_phrase = table({p: F.array(*map(F.lit, own)) for p, own in weights.items()})
+    return F.aggregate(
+        phrases_in(text, weights), none, lambda sums, p: F.zip_with(sums, by_phrase[p], lambda a, b: a + b)
     )
 
 
-def _best_label(scores: dict[str, Column], default: str) -> Column:
-    """The label with the highest positive score; earlier labels win ties."""
-    scored = [
-        F.struct(s.alias("score"), F.lit(-i).alias("rank"), F.lit(name).alias("label"))
-        for i, (name, s) in enumerate(scores.items())
-    ]
-    best = F.greatest(*scored)
-    return F.when(best["score"] > 0, best["label"]).otherwise(default)
+def _best_label(scores: Column, order: list[str]) -> Column:
+    """The label with the highest positive score, as an array of one; earlier labels win ties.
+
+    The last label is the default.  The scores travel through an array of one, so that they are
+    worked out once.
+    """
+    names = F.array(*map(F.lit, order))
+
+    def best(s: Column) -> Column:
+        top = F.array_max(s)
+        return F.when(top > 0, F.element_at(names, F.array_position(s, top).cast("int"))).otherwise(order[-1])
+
+    return F.when(scores.isNotNull(), F.transform(F.array(scores), best))
 
 
 def labels(text: Column, label_rules=r.LABEL_RULES, order=r.LABELS) -> Column:
     """The label of a note by weighted phrases, as an array of one."""
-    lowered = F.lower(text)
-    scores = {
-        name: _hits(lowered, [(p, w) for label, p, w in label_rules if label == name]) for name in order
-    }
-    return F.when(text.isNotNull(), F.array(_best_label(scores, order[-1])))
+    return _best_label(_scores(text, label_rules, order), order)
 
 
 def described_terms(descriptions: dict[str, str], stop_words=r.DESCRIPTION_STOP_WORDS) -> dict[str, list[str]]:
@@ -55,10 +64,8 @@ def labels_by_description(text: Column, descriptions=v.LABEL_DESCRIPTIONS, order
     """The label of a note by words shared with the label's description, as an array of one."""
     words = tokens(text)
     terms = described_terms(descriptions)
-    scores = {
-        name: F.size(F.array_intersect(words, F.array(*[F.lit(t) for t in terms[name]]))) for name in order
-    }
-    return F.when(text.isNotNull(), F.array(_best_label(scores, order[-1])))
+    scores = F.array(*[F.size(F.array_intersect(words, F.array(*map(F.lit, terms[name])))) for name in order])
+    return F.when(text.isNotNull(), _best_label(scores, order))
 
 
 def classify(df: DataFrame, text: str, column: Column | None = None) -> DataFrame:
@@ -79,26 +86,29 @@ def label_shares(df: DataFrame, text: str) -> DataFrame:
 
 
 def sentiment(text: Column, positive=r.POSITIVE_PHRASES, negative=r.NEGATIVE_PHRASES) -> Column:
-    lowered = F.lower(text)
-    good = _hits(lowered, [(p, 1) for p in positive]) > 0
-    bad = _hits(lowered, [(p, 1) for p in negative]) > 0
-    return (
-        F.when(text.isNull(), None)
-        .when(good & bad, "mixed")
-        .when(good, "positive")
-        .when(bad, "negative")
-        .otherwise("neutral")
-    )
+    """positive, negative, mixed or neutral, by the phrases found; NULL for a NULL text."""
+    rules = [("good", p, 1) for p in positive] + [("bad", p, 1) for p in negative]
+
+    def tone(s: Column) -> Column:
+        good, bad = s[0] > 0, s[1] > 0
+        return F.when(good & bad, "mixed").when(good, "positive").when(bad, "negative").otherwise("neutral")
+
+    return F.when(text.isNotNull(), F.transform(F.array(_scores(text, rules, ["good", "bad"])), tone)[0])
 
 
 def risk(text: Column, risk_rules=r.RISK_RULES) -> tuple[Column, Column]:
-    """Risk level and the reason, from the first rule whose phrase occurs."""
-    lowered = F.lower(text)
-    level = F.coalesce(*[F.when(lowered.contains(p), lv) for lv, p in risk_rules], F.lit("LOW"))
-    reason = F.coalesce(
-        *[F.when(lowered.contains(p), f"contains '{p}'") for _, p in risk_rules], F.lit(r.NO_RISK_REASON)
+    """Risk level and the reason, from the first rule whose phrase occurs; NULL for a NULL text."""
+    rank = {p: i for i, (_, p) in reversed(list(enumerate(risk_rules)))}
+    if not rank:
+        return F.when(text.isNotNull(), "LOW"), F.when(text.isNotNull(), r.NO_RISK_REASON)
+    by_phrase = table({p: F.lit(i) for p, i in rank.items()})
+    first = F.array_min(F.transform(phrases_in(text, rank), lambda p: by_phrase[p]))
+    level = F.get(F.array(*[F.lit(lv) for lv, _ in risk_rules]), first)
+    reason = F.get(F.array(*[F.lit(f"contains '{p}'") for _, p in risk_rules]), first)
+    return (
+        F.when(text.isNotNull(), F.coalesce(level, F.lit("LOW"))),
+        F.when(text.isNotNull(), F.coalesce(reason, F.lit(r.NO_RISK_REASON))),
     )
-    return F.when(text.isNotNull(), level), F.when(text.isNotNull(), reason)
 
 
 def remittance_risk(df: DataFrame, text: str) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from portolan import bridge
 from portolan.functions import rules as r
 from portolan.functions import values as v
-from portolan.functions.text import TOKEN, token_list
+from portolan.functions.phrases import HEARD, bounds
+from portolan.functions.text import SIGNS, TOKEN, token_list
 from portolan.operators import reports, search, triage
 from portolan.plans import sql as q
 from portolan.plans.registry import query
@@ -15,11 +18,28 @@ from portolan.session import scratch_dir
 from portolan.streaming.index import refresh_index
 
 # The oracle joins distinct notes to rule tables instead of scoring row by row.
-_NOTES = "(SELECT DISTINCT free_text_notes AS note FROM trades)"
+def _notes(source: str = "trades") -> str:
+    said = "lower(note)"
+    for pattern, instead in HEARD:
+        said = f"regexp_replace({said}, '{pattern.replace("'", "''")}', '{instead}', 'g')"
+    return f"(SELECT note, {said} AS heard FROM (SELECT DISTINCT free_text_notes AS note FROM {source}))"
+
+
+def _bounded(rules: list[tuple], at: int) -> list[tuple]:
+    """The rules with a pattern of their phrase (in column ``at``) and its word bounds."""
+    out = []
+    for rule in rules:
+        before, after = bounds(rule[at])
+        left, right = rf"(?:^|[^\p{{L}}\p{{N}}\p{{M}}]|[{SIGNS}])", rf"(?:$|[^\p{{L}}\p{{N}}\p{{M}}]|[{SIGNS}])"
+        out.append((*rule, (left if before else "") + re.escape(rule[at]) + (right if after else "")))
+    return out
+
+
+_NOTES = _notes()
 _ORDER = "CASE label " + " ".join(f"WHEN '{n}' THEN {i}" for i, n in enumerate(r.LABELS)) + " END"
 _LABEL_SQL = f"""SELECT note, coalesce(arg_min(label, -1000 * score + rank), '{r.LABELS[-1]}') AS classification
     FROM (SELECT note, label, sum(weight) AS score, min({_ORDER}) AS rank FROM {_NOTES}
-          LEFT JOIN (VALUES {q.rows(r.LABEL_RULES)}) AS t(label, phrase, weight) ON contains(lower(note), phrase)
+          LEFT JOIN (VALUES {q.rows(_bounded(r.LABEL_RULES, 1))}) AS t(label, phrase, weight, seen) ON regexp_matches(heard, seen)
           GROUP BY note, label) GROUP BY note"""
 _TERMS = [(label, t) for label, terms in triage.described_terms(v.LABEL_DESCRIPTIONS).items() for t in terms]
 _DESCRIBED_SQL = f"""SELECT note, coalesce(arg_min(label, -1000 * score + rank), '{r.LABELS[-1]}') AS classification
@@ -31,11 +51,11 @@ _SIGNED = [(p, 1, 0) for p in r.POSITIVE_PHRASES] + [(p, 0, 1) for p in r.NEGATI
 _SENTIMENT_SQL = f"""SELECT note, CASE WHEN good > 0 AND bad > 0 THEN 'mixed' WHEN good > 0 THEN 'positive'
     WHEN bad > 0 THEN 'negative' ELSE 'neutral' END AS sentiment
     FROM (SELECT note, sum(g) AS good, sum(b) AS bad FROM {_NOTES}
-          LEFT JOIN (VALUES {q.rows(_SIGNED)}) AS t(phrase, g, b) ON contains(lower(note), phrase) GROUP BY note)"""
+          LEFT JOIN (VALUES {q.rows(_bounded(_SIGNED, 0))}) AS t(phrase, g, b, seen) ON regexp_matches(heard, seen) GROUP BY note)"""
 _RISKS = [(i, level, p, f"contains '{p}'") for i, (level, p) in enumerate(r.RISK_RULES)]
 RISK_SQL = f"""SELECT note, coalesce(arg_min(level, ord), 'LOW') AS risk_level,
     coalesce(arg_min(why, ord), '{r.NO_RISK_REASON}') AS reason FROM {_NOTES}
-    LEFT JOIN (VALUES {q.rows(_RISKS)}) AS t(ord, level, phrase, why) ON contains(lower(note), phrase) GROUP BY note"""
+    LEFT JOIN (VALUES {q.rows(_bounded(_RISKS, 2))}) AS t(ord, level, phrase, why, seen) ON regexp_matches(heard, seen) GROUP BY note"""
 _PCT = "((2000 * sum(n) + sum(sum(n)) OVER ()) // (2 * sum(sum(n)) OVER ())) / 10.0::DOUBLE"
 
 
@@ -118,6 +138,25 @@ def note_risk(spark, sf_dir):
     return triage.remittance_risk(df, "free_text_notes")
 
 
+_ALTERED = """CASE booking_branch WHEN 'Tokyo' THEN concat('Not ', free_text_notes)
+    WHEN 'NewYork' THEN replace(replace(free_text_notes, 'VIP', 'VIPER'), 'AML', 'XAML')
+    WHEN 'London' THEN concat('Never late but ', free_text_notes, ' Sanctioned entity?')
+    ELSE concat(free_text_notes, ' 制裁リスト該当なし') END"""
+
+
+@query("M1 M4 M7", q.query("", "trades").rstrip()
+       + f", altered AS (SELECT transaction_id, {_ALTERED} AS free_text_notes FROM trades) "
+       + f"""SELECT transaction_id, free_text_notes, classification, sentiment, risk_level, reason FROM altered
+        JOIN ({_LABEL_SQL.replace(_NOTES, _notes('altered'))}) a ON a.note = free_text_notes
+        JOIN ({_SENTIMENT_SQL.replace(_NOTES, _notes('altered'))}) b ON b.note = free_text_notes
+        JOIN ({RISK_SQL.replace(_NOTES, _notes('altered'))}) c ON c.note = free_text_notes""")
+def notes_with_denials(spark, sf_dir):
+    """Notes that deny, contrast, or hold a phrase inside a longer word."""
+    notes = bridge.trades(spark, sf_dir).select("transaction_id", F.expr(_ALTERED).alias("free_text_notes"))
+    read = triage.classify(notes, "free_text_notes").withColumn("sentiment", triage.sentiment(F.col("free_text_notes")))
+    return triage.remittance_risk(read, "free_text_notes")
+
+
 def _bm25_sql(source: str, key: str, text: str, terms: list[str], k: int, keep: str = "") -> str:
     """BM25 over ``source`` by unnesting every token and joining the counts."""
     keep_sql = f", {keep}" if keep else ""

@@ -12,12 +12,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from portolan import bridge
-from portolan.functions import rules, values as v
+from portolan.functions import phrases, rules, values as v
 from portolan.functions.columns import money_text, percent, try_typed
 from portolan.functions.text import TOKEN, token_list
 from portolan.operators import governance as g
 from portolan.operators import joins, layers, metrics, reports, search, triage, versions
 from portolan.streaming import incremental
+from conftest import plan_of
 
 # --- text ---------------------------------------------------------------------------------
 
@@ -30,6 +31,51 @@ NOTE_LABELS = (
 )
 
 
+READ = [  # note, label, sentiment, risk
+    ("The wire went to a sanctioned entity", _SUSPICIOUS, "negative", "HIGH"),
+    ("Not suspicious at all, routine", _STANDARD, "neutral", "LOW"),
+    ("Not suspicious, but disputed", _DISPUTE, "negative", "MEDIUM"),
+    ("VIPER cables shipment", _STANDARD, "neutral", "LOW"),
+    ("It isn't urgent. VIP!", _VIP, "positive", "LOW"),
+    ("xAMLフラグ確認", _STANDARD, "neutral", "LOW"),
+    ("AMLフラグあり", _SUSPICIOUS, "negative", "HIGH"),
+    ("制裁リスト該当なし。通常", _STANDARD, "neutral", "LOW"),
+    ("", _STANDARD, "neutral", "LOW"),
+    (None, None, None, None),
+]
+
+
+def test_notes_are_read_by_whole_words_and_outside_denials(spark):
+    notes = spark.createDataFrame([(i, *row) for i, row in enumerate(READ)], "i int, note string, l string, s string, k string")
+    level, _ = triage.risk(F.col("note"))
+    rows = triage.classify(notes, "note").select(
+        "note", "classification", triage.sentiment(F.col("note")).alias("tone"), level.alias("level"), "i").orderBy("i").collect()
+    assert [tuple(r)[:4] for r in rows] == READ
+
+
+def test_thousands_of_phrases_against_single_patterns(spark):
+    draw = random.Random(3)
+    parts = ["ab", "abc", "b", "ca", "é1", "急", "未着", "a-b", " ", " "]
+    word = lambda n: "".join(draw.choice(parts) for _ in range(draw.randint(1, n))).strip() or "b"
+    many = list({word(5) for _ in range(3000)})
+    texts = [word(30) for _ in range(60)]
+
+    def single(p):
+        before, after = phrases.bounds(p)
+        inner = phrases.WORD
+        return regex.compile((f"(?<!{inner})" if before else "") + regex.escape(p) + (f"(?!{inner})" if after else ""))
+
+    single_patterns = {p: single(p) for p in many}
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select("text", phrases.phrases_in(F.col("text"), many).alias("found")).collect()
+    assert sum(len(r.found) for r in got) > 300
+    for row in got:
+        assert len(row.found) == len(set(row.found))
+        assert set(row.found) == {p for p, one in single_patterns.items() if one.search(row.text)}
+    few = len(plan_of(df.select(phrases.phrases_in(F.col("text"), many[:20]))).splitlines())
+    assert len(plan_of(df.select(phrases.phrases_in(F.col("text"), many))).splitlines()) == few
+
+
 def test_note_labels_sentiment_and_risk(spark):
     notes = spark.createDataFrame(list(enumerate(v.NOTES)), "i int, note string")
     level, reason = triage.risk(F.col("note"))
