@@ -34,9 +34,11 @@ _WORD = regex.compile(WORD)
 def heard(text: Column) -> Column:
     """The lower-cased text without what it denies."""
     said = F.lower(text)
-    for pattern, instead in HEARD:
+    for pattern, instead in HEARD[:-1]:
         said = F.regexp_replace(said, pattern, instead)
-    return said
+    # the ends of Japanese denials are looked for first, since runs of kanji are costly to try
+    ends = text.contains("なし") | text.contains("ない") | text.contains("ありません")
+    return F.when(ends, F.regexp_replace(said, *HEARD[-1])).otherwise(said)
 
 
 def bounds(phrase: str) -> tuple[bool, bool]:
@@ -62,7 +64,8 @@ def pattern(phrases: Iterable[str]) -> str:
             node = node.setdefault(sign, {})
         node[""] = f"(?!{WORD})" if after else ""
     ways = [(f"(?<!{WORD})" if before else "") + _branch(tree) for before, tree in trees.items()]
-    return f"(?=({'|'.join(ways)}))"
+    first = "".join(sorted({"\\" + c if c in r"\[]^-&~" else c for tree in trees.values() for c in tree}))
+    return f"(?=[{first}])(?=({'|'.join(ways)}))"
 
 
 def begun(phrases: Iterable[str]) -> dict[str, list[str]]:

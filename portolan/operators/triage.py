@@ -36,7 +36,7 @@ def _best_label(scores: Column, order: list[str]) -> Column:
     """The label with the highest positive score, as an array of one; earlier labels win ties.
 
     The last label is the default.  The scores travel through an array of one, so that they are
-    worked out once.
+    worked out once; callers deal with NULL texts.
     """
     names = F.array(*map(F.lit, order))
 
@@ -44,12 +44,12 @@ def _best_label(scores: Column, order: list[str]) -> Column:
         top = F.array_max(s)
         return F.when(top > 0, F.element_at(names, F.array_position(s, top).cast("int"))).otherwise(order[-1])
 
-    return F.when(scores.isNotNull(), F.transform(F.array(scores), best))
+    return F.transform(F.array(scores), best)
 
 
 def labels(text: Column, label_rules=r.LABEL_RULES, order=r.LABELS) -> Column:
     """The label of a note by weighted phrases, as an array of one."""
-    return _best_label(_scores(text, label_rules, order), order)
+    return F.when(text.isNotNull(), _best_label(_scores(text, label_rules, order), order))
 
 
 def described_terms(descriptions: dict[str, str], stop_words=r.DESCRIPTION_STOP_WORDS) -> dict[str, list[str]]:

@@ -11,7 +11,7 @@ from portolan.functions import rules as r
 from portolan.functions import values as v
 from portolan.functions.phrases import HEARD, bounds
 from portolan.functions.text import SIGNS, TOKEN, token_list
-from portolan.operators import reports, search, triage
+from portolan.operators import reports, search, triage, vectors
 from portolan.plans import sql as q
 from portolan.plans.registry import query
 from portolan.session import scratch_dir
@@ -282,3 +282,24 @@ def nearest_vectors(spark, sf_dir):
     vectors = bridge.table(spark, sf_dir, "embeddings")
     target = vectors.where(F.col("vec_id") == 7).select("embedding").scalar()
     return search.nearest(vectors.where(F.col("vec_id") != 7), "vec_id", "embedding", target, 10)
+
+
+@query("M10", """SELECT vec_id, label, round(list_cosine_similarity(embedding::DOUBLE[],
+    (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 7)), 6) AS similarity
+    FROM embeddings WHERE vec_id <> 7 ORDER BY similarity DESC, vec_id LIMIT 10""")
+def nearest_vectors_by_index(spark, sf_dir):
+    """The same rows from an index, which prunes lists by their radius."""
+    rows = bridge.table(spark, sf_dir, "embeddings")
+    index = vectors.build_index(rows, "vec_id", "embedding", scratch_dir(spark, "vectors"), "label")
+    target = rows.where(F.col("vec_id") == 7).select("embedding").first().embedding
+    return index.search(target, 10, where=F.col("vec_id") != 7)
+
+
+@query("M10", "SELECT count(*) AS indexed, true AS recall_reached FROM embeddings")
+def vector_index_recall(spark, sf_dir):
+    """Probes chosen on one sample of targets find nine tenths of the neighbours of another."""
+    rows = bridge.table(spark, sf_dir, "embeddings")
+    index = vectors.build_index(rows, "vec_id", "embedding", scratch_dir(spark, "vectors"))
+    probes = index.probes_for(10, seed=1)
+    found = float((index.needed_probes(10, seed=2) <= probes).mean())
+    return index.rows().agg(F.count("*").alias("indexed"), F.lit(found >= 0.9).alias("recall_reached"))

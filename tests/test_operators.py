@@ -16,7 +16,7 @@ from portolan.functions import phrases, rules, values as v
 from portolan.functions.columns import money_text, percent, try_typed
 from portolan.functions.text import TOKEN, token_list
 from portolan.operators import governance as g
-from portolan.operators import joins, layers, metrics, reports, search, triage, versions
+from portolan.operators import joins, layers, metrics, reports, search, triage, vectors, versions
 from portolan.streaming import incremental
 from conftest import plan_of
 
@@ -151,6 +151,37 @@ def test_nearest_vectors_against_brute_force(spark, data):
     assert [(-r.similarity, r.vec_id) for r in got] == expected
 
 
+def test_vector_index_equals_the_scan(spark, tmp_path):
+    draw = random.Random(5)
+    middles = [[draw.gauss(0, 1) for _ in range(8)] for _ in range(12)]
+    rows = [(i, f"g{i % 3}", [m + draw.gauss(0, 0.2) for m in middles[i % 12]]) for i in range(600)]
+    rows += [(700 + i, "tie", rows[0][2]) for i in range(15)]
+    rows += [(800, "odd", None), (801, "odd", [0.0] * 8), (802, "odd", [float("nan")] * 8), (803, "odd", [1.0]),
+             (804, "odd", [None] * 8), (805, "odd", [float("inf")] + [0.0] * 7), (806, "odd", [])]
+    df = spark.createDataFrame(rows, "id int, kind string, v array<double>")
+    index = vectors.build_index(df, "id", "v", str(tmp_path / "index"), "kind")
+    assert index.rows().count() == 615
+    sound = df.where("kind <> 'odd'")
+    for target in (rows[0][2], rows[17][2], [1.0] * 8, [-5.0] + [0.1] * 7):
+        exact = search.nearest(sound.select("id", "v"), "id", "v", target, 20).collect()
+        assert [(r.id, r.similarity) for r in index.search(target, 20).collect()] == [tuple(r) for r in exact]
+        some = search.nearest(sound.where("kind = 'g1'").select("id", "v"), "id", "v", target, 5).collect()
+        got = index.search(target, 5, probes=1, where=F.col("kind") == "g1").collect()
+        assert [r.id for r in got] == [r.id for r in some]
+    assert "PartitionFilters: [list" in plan_of(index.search(rows[17][2], 3, exact=False)).replace("isnotnull(list#", "list#")
+    assert index.search([1.0] * 8, 1000).count() == 615
+    probes = index.probes_for(10, recall=0.95)
+    assert 1 <= probes <= 12 and (index.needed_probes(10, seed=2) <= probes).mean() >= 0.9
+    with pytest.raises(ValueError):
+        index.search([0.0] * 8, 3)
+
+
+def test_vector_index_of_nothing(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (2, [])], "id int, v array<float>")
+    index = vectors.build_index(df, "id", "v", str(tmp_path / "index"))
+    assert index.search([1.0], 3).collect() == [] and index.probes_for(3) == 1
+
+
 def test_sample_is_repeatable_subset_of_exact_size(spark):
     ids = spark.range(5000)
     a = {r.id for r in reports.sample_rows(ids, "id", 300, 1).collect()}
