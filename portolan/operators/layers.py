@@ -53,14 +53,13 @@ def daily_summary(trades: DataFrame, extremes: bool = False) -> DataFrame:
     return trades.groupBy(*DAILY_KEYS).agg(*aggregates)
 
 
-def joined_daily_summary(trades: DataFrame, customers: DataFrame) -> DataFrame:
+def joined_daily_summary(trades: DataFrame, customers: DataFrame, unique_customers: bool = False) -> DataFrame:
     """The daily summary, with extremes, of trades joined with their customers.
 
-    No customer column is asked for, so with unique customer keys the left join changes
-    nothing and the trades are grouped without it.
+    No customer column is asked for, so with ``unique_customers`` (``customer_id`` is stated to
+    be a key) the left join changes nothing and the trades are grouped without it.
     """
-    keyed = customers.where(F.col("customer_id").isNotNull())
-    if keyed.groupBy("customer_id").count().where("count > 1").isEmpty():
+    if unique_customers:
         return daily_summary(trades, extremes=True)
     return daily_summary(harmonized_trades(trades, customers), extremes=True)
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from portolan import bridge
 from portolan.operators import joins, versions
 from portolan.plans import sql as q
 from portolan.plans.registry import query
+from portolan.session import scratch_dir
+from portolan.streaming.history import History
 
 _EARLY, _LATE = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
 
@@ -41,6 +45,20 @@ def accounts_as_of(spark, sf_dir):
     return _state(spark, sf_dir, _LATE)
 
 
+@query("L2", q.query(
+    f"""SELECT account_id, {q.stamp('changed_at')} AS changed_at, change_seq, status, {q.dbl('balance')} AS balance
+        FROM ({_state_sql(_LATE)})""", "changes"))
+def accounts_as_of_snapshots(spark, sf_dir):
+    """The same state from two snapshots and three batches, all but the first full of late changes."""
+    changes = bridge.account_changes(spark, sf_dir)
+    held = History(spark, scratch_dir(spark, "history"), "account_id", "changed_at", "change_seq", "op")
+    for batch, at in enumerate([datetime(2024, 1, 12), datetime(2024, 1, 17, 12), None]):
+        held.append(changes.where(F.col("change_seq") % 3 == batch), batch)
+        if at:
+            held.snapshot(at)
+    return held.as_of(datetime.fromisoformat(_LATE))
+
+
 _LOST = "booking_branch = 'Tokyo' AND trade_date < DATE '1998-01-01'"
 
 
