@@ -75,15 +75,11 @@ def _bm25(tf: Column, doc_length: Column, df: Column, n: Column, mean_length: Co
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * doc_length / mean_length))
 
 
-def search(index: DataFrame, key: str, query: str, k: int) -> DataFrame:
-    """The ``k`` best documents for a query: (key, score), ties by key."""
-    hits = index.where(F.col("term").isin(*token_list(query)))
+def bm25_top(hits: DataFrame, key: str, n: Column, mean_length: Column, k: int) -> DataFrame:
+    """The ``k`` best documents out of the postings of a query's terms: (key, score), ties by key."""
     # At most one row per query term.
     term_stats = hits.groupBy("term").agg(F.count("*").alias("df"))
-    corpus = index.where(F.col("term") == EVERY_DOCUMENT).agg(
-        F.struct(F.count("*").alias("n"), F.avg("doc_length").alias("mean_length"))
-    ).scalar()
-    score = _bm25(F.col("tf"), F.col("doc_length"), F.col("df"), corpus["n"], corpus["mean_length"])
+    score = _bm25(F.col("tf"), F.col("doc_length"), F.col("df"), n, mean_length)
     return (
         hits.join(F.broadcast(term_stats), "term")
         .groupBy(key)
@@ -93,6 +89,15 @@ def search(index: DataFrame, key: str, query: str, k: int) -> DataFrame:
     )
 
 
+def search(index: DataFrame, key: str, query: str, k: int) -> DataFrame:
+    """The ``k`` best documents for a query: (key, score), ties by key."""
+    hits = index.where(F.col("term").isin(*token_list(query)))
+    corpus = index.where(F.col("term") == EVERY_DOCUMENT).agg(
+        F.struct(F.count("*").alias("n"), F.avg("doc_length").alias("mean_length"))
+    ).scalar()
+    return bm25_top(hits, key, corpus["n"], corpus["mean_length"], k)
+
+
 def _occurrences(words: str, term: str) -> Column:
     return F.size(words) - F.size(F.array_remove(words, term))
 

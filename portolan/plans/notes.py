@@ -16,6 +16,7 @@ from portolan.plans import sql as q
 from portolan.plans.registry import query
 from portolan.session import scratch_dir
 from portolan.streaming.index import refresh_index
+from portolan.streaming.segments import SegmentedIndex
 
 # The oracle joins distinct notes to rule tables instead of scoring row by row.
 def _notes(source: str = "trades") -> str:
@@ -231,6 +232,20 @@ def indexed_search_of_exports(spark, sf_dir):
     return search.search(index, "transaction_id", _SECOND, 10)
 
 
+@query("M9 M12 J1", _search_sql("trades", "transaction_id", "free_text_notes", _FIRST.split(), 25)
+       .replace("SELECT s.transaction_id, s.free_text_notes, score", "SELECT s.transaction_id, score"))
+def segmented_search_after_rewrites(spark, sf_dir):
+    """Four batches, most notes first under other words, two merges of segments, then a search."""
+    trades = bridge.trades(spark, sf_dir).select("transaction_id", "free_text_notes", "booking_branch")
+    index = SegmentedIndex(
+        spark, scratch_dir(spark, "segments"), "transaction_id", "free_text_notes", ("booking_branch",), fanout=2)
+    draft = F.lit("suspicious draft under compliance review")
+    index.add(trades.withColumn("free_text_notes", draft), 0)
+    for batch, branches in enumerate([["Tokyo"], ["NewYork", "London"], ["Singapore"]], 1):
+        index.add(trades.where(F.col("booking_branch").isin(branches)), batch)
+    return index.search(_FIRST, 25)
+
+
 _JAPANESE = "制裁リスト 緊急"
 
 
