@@ -174,6 +174,48 @@ def detect_pii(df: DataFrame, threshold: float = 0.8, rules: tuple[PiiRule, ...]
     return df.agg(*rates).select(F.inline(F.array(*rows))).where(F.col("match_rate") >= threshold)
 
 
+def dictionary_rates(df: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Share of each text column's values that hold a word of a dictionary (``word``, ``kind``).
+
+    Returns ``column_name``, ``kind`` and ``match_rate``.  Words are told apart by white space, upper
+    and lower case alike.  Equal values are counted first, so the join meets the words of distinct
+    values; the dictionary may be of any size.  NULL values are no values.
+    """
+    columns = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, kind string, match_rate double")
+    cells = df.select(F.inline(F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("value")) for c in columns])))
+    counted = cells.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    words = dictionary.select(F.lower("word").alias("word"), "kind").distinct()
+    held = counted.withColumn("word", F.explode(F.array_distinct(F.split(F.lower("value"), r"\s+")))).join(words, "word")
+    found = held.groupBy("column_name", "kind", "value").agg(F.first("n").alias("n")).groupBy(
+        "column_name", "kind").agg(F.sum("n").alias("found"))
+    totals = counted.groupBy("column_name").agg(F.sum("n").alias("n"))  # one row per column
+    return found.join(totals, "column_name").select("column_name", "kind", (F.col("found") / F.col("n")).alias("match_rate"))
+
+
+def detect_pii_with_dictionary(
+    df: DataFrame, dictionary: DataFrame, threshold: float = 0.8, rules: tuple[PiiRule, ...] = PII_RULES
+) -> DataFrame:
+    """``detect_pii`` with the evidence of a dictionary whose kinds are ``name`` and ``place``.
+
+    A column of places is no column of names, whatever its values look like, unless as many of them
+    hold a name; a column whose values hold names is one, whatever their shape.
+    """
+    shaped = detect_pii(df, threshold, rules)
+    known = dictionary_rates(df, dictionary).where(F.col("match_rate") >= threshold)
+    named = known.where("kind = 'name'").select("column_name", F.col("match_rate").alias("name_rate"))
+    places = known.where("kind = 'place'").join(named, "column_name", "left_anti").select("column_name")
+    is_name = F.col("semantic_category") == "NAME"
+    kept = shaped.where(~is_name).unionByName(shaped.where(is_name).join(places, "column_name", "left_anti").select(
+        *shaped.columns))
+    more = named.join(shaped.where(is_name), "column_name", "left_anti").select(
+        "column_name", F.lit("NAME").alias("semantic_category"), F.lit("IDENTIFIER").alias("privacy_category"),
+        F.col("name_rate").alias("match_rate"))
+    return kept.unionByName(more)
+
+
 def detected_tags(detected: DataFrame, tag: str = PII_TAG) -> dict[str, tuple[str, str]]:
     """Tags for ``tag_columns`` out of detected categories; of several per column, the best rated.
 

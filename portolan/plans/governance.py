@@ -139,6 +139,40 @@ def customers_masked_by_detection(spark, sf_dir):
     )
 
 
+# Columns that shape alone reads wrongly: places of two words, names in small letters.
+_SITED = ["customer_name", "lower(customer_name) AS holder",
+          "concat(upper(substr(n_name, 1, 1)), lower(substr(n_name, 2)), ' East') AS site"]
+_NAME_WORDS = [(w, "name") for w in v.FAMILY_NAMES_JA + v.FAMILY_NAMES_EN + v.GIVEN_NAMES_JA + v.GIVEN_NAMES_EN]
+_SHAPE = q.text_list([next(r.pattern for r in g.PII_RULES if r.category == "NAME")])[1:-1]
+
+
+@query("K11", q.query(
+    f"""SELECT column_name, semantic_category, 'IDENTIFIER' AS privacy_category, round(match_rate, 6) AS match_rate FROM (
+        WITH cells AS (SELECT unnest(['customer_name', 'holder', 'site']) AS column_name,
+                unnest([customer_name, holder, site]) AS value FROM (SELECT {", ".join(_SITED)}
+                FROM customers JOIN nation ON n_nationkey = customer_id % 25)),
+            dict AS (SELECT DISTINCT lower(word) AS word, kind FROM (
+                SELECT * FROM (VALUES {q.rows(_NAME_WORDS)}) AS t(word, kind)
+                UNION ALL SELECT unnest(string_split_regex(n_name, '\\s+')), 'place' FROM nation)),
+            rates AS (SELECT column_name, avg(CAST(regexp_matches(value, {_SHAPE}) AS DOUBLE)) AS shape,
+                avg(CAST(EXISTS (SELECT 1 FROM dict WHERE kind = 'name'
+                    AND list_contains(string_split_regex(lower(value), '\\s+'), word)) AS DOUBLE)) AS named,
+                avg(CAST(EXISTS (SELECT 1 FROM dict WHERE kind = 'place'
+                    AND list_contains(string_split_regex(lower(value), '\\s+'), word)) AS DOUBLE)) AS placed
+                FROM cells GROUP BY column_name)
+        SELECT column_name, 'NAME' AS semantic_category, CASE WHEN shape >= 0.8 THEN shape ELSE named END AS match_rate
+        FROM rates WHERE named >= 0.8 OR (shape >= 0.8 AND placed < 0.8))""",
+    "customers"))
+def detected_names_by_dictionary(spark, sf_dir):
+    nation = bridge.table(spark, sf_dir, "nation")
+    names = spark.createDataFrame(_NAME_WORDS, "word string, kind string")
+    places = nation.select(F.explode(F.split("n_name", r"\s+")).alias("word"), F.lit("place").alias("kind"))
+    customers = bridge.customers(spark, sf_dir)
+    sited = customers.join(nation, F.col("n_nationkey") == F.col("customer_id") % 25).selectExpr(*_SITED)
+    return g.detect_pii_with_dictionary(sited, names.unionByName(places)).withColumn(
+        "match_rate", F.round("match_rate", 6))
+
+
 _ASSIGNED = [(t, c, tag, value) for t, cols in g.COLUMN_TAGS.items() for c, (tag, value) in cols.items()]
 
 

@@ -303,6 +303,22 @@ def test_names_outside_any_list_are_found(spark):
     assert [(r.column_name, r.semantic_category) for r in found] == [("who", "NAME")]
 
 
+def test_dictionary_tells_places_from_names(spark):
+    rows = [("Berlin East", "orla szabo", "Mara Quist", None), ("Paris West", "bram okafor", "Lio Venn", None),
+            ("Oslo Harbour", None, "Paris Szabo", None), (None, "ines wren", "Paris Okafor", None)]
+    df = spark.createDataFrame(rows, "place_of_work string, holder string, person string, bare string")
+    df = df.withColumnRenamed("place_of_work", "site")
+    words = [("berlin", "place"), ("Paris", "place"), ("oslo", "place"), ("Szabo", "name"), ("okafor", "name"), ("wren", "name")]
+    dictionary = spark.createDataFrame(words + words, "word string, kind string")
+    rates = {(r.column_name, r.kind): r.match_rate for r in g.dictionary_rates(df, dictionary).collect()}
+    assert rates == {("site", "place"): 1.0, ("holder", "name"): 1.0, ("person", "place"): 0.5, ("person", "name"): 0.5}
+    by_shape = {r.column_name for r in g.detect_pii(df).collect()}
+    assert by_shape == {"site", "person"}
+    assert {r.column_name for r in g.detect_pii_with_dictionary(df, dictionary).collect()} == {"holder", "person"}
+    numbers = spark.createDataFrame([(1,)], "n int")
+    assert g.detect_pii_with_dictionary(numbers, dictionary).collect() == []
+
+
 def test_detected_categories_become_tags(spark):
     rates = [("a", "PHONE_NUMBER", 0.9), ("a", "NAME", 0.95), ("b", "EMAIL", 1.0), ("c", "POSTCODE", 1.0)]
     tags = g.detected_tags(spark.createDataFrame(rates, "column_name string, semantic_category string, match_rate double"))
