@@ -9,7 +9,7 @@ from portolan.plans import sql as q
 from portolan.plans.registry import query
 from portolan.session import scratch_dir
 from portolan.sources import delimited, json_files
-from portolan.streaming import ingest
+from portolan.streaming import ingest, ledger
 
 # Damage done to the files, by value: text in a number, an impossible date, NULL tokens.
 _BAD_AMOUNT = "booking_branch = 'London' AND currency_code = 'CNY'"
@@ -111,6 +111,23 @@ def load_ledger_totals(spark, sf_dir):
     )
 
 
+@query("A7 A5", q.query(
+    f"""SELECT 10 AS files, (SELECT count(*) FROM ({_GOOD_SQL})) AS rows_loaded, count(*) AS rows_rejected,
+        0 AS files_told_otherwise FROM trades WHERE ({_BAD_AMOUNT}) OR ({_BAD_DATE})""", "trades"))
+def ledger_of_many_batches(spark, sf_dir):
+    """A file a batch, so the ledger is a merged segment and a tail; held against a regrouping of all rows."""
+    base = scratch_dir(spark, "batches")
+    landing, target = f"{base}/landing", f"{base}/target"
+    _damaged_trades(spark, sf_dir).repartition(10).write.option("header", True).option("escape", '"').csv(landing)
+    ingest.ingest_csv(spark, landing, schemas.TRADES, target, f"{base}/checkpoint", max_files=1)
+    told = ingest.load_ledger(spark, target).drop("status")
+    counted = ledger.file_figures(spark.read.parquet(target)).select(*told.columns)
+    return told.agg(
+        F.count("*").cast("int").alias("files"), F.sum("rows_loaded").alias("rows_loaded"),
+        F.sum("rows_rejected").alias("rows_rejected"),
+    ).withColumn("files_told_otherwise", told.exceptAll(counted).agg(F.count("*").cast("int")).scalar())
+
+
 @query("A2 I10", q.query(
     """SELECT customer_id, customer_name, risk_rating, NULL::VARCHAR AS contact_phone, 0 AS element FROM customers
        UNION ALL SELECT customer_id, NULL, NULL, contact_phone, 1 FROM customers""", "customers"))

@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from portolan.functions.columns import base_name, null_if_token, try_typed
 from portolan.schemas import as_struct
 from portolan.sources import delimited, json_files, spanning, xml_files
+from portolan.streaming import ledger
 
 
 def run_available(stream: DataFrame, handle, checkpoint: str) -> int:
@@ -89,14 +90,15 @@ def ingest_xml(spark: SparkSession, landing: str, target: str, checkpoint: str,
 
 
 def _write_rows(rows: DataFrame, target: str, batch_id: int) -> None:
-    """Good rows and rejects of a batch, told apart by ``rejected``."""
-    (
-        rows.withColumn("loaded_at", F.current_timestamp())
-        .withColumn("rejected", F.when(F.size("bad_columns") > 0, 1).otherwise(0))
-        .write.mode("overwrite")
-        .partitionBy("rejected")
-        .parquet(f"{target}/batch_id={batch_id}")
-    )
+    """Good rows and rejects of a batch, told apart by ``rejected``, and the batch's part of the ledger."""
+    told = rows.withColumns({
+        "loaded_at": F.current_timestamp(),
+        "rejected": F.when(F.size("bad_columns") > 0, 1).otherwise(0),
+    })
+    path = f"{target}/batch_id={batch_id}"
+    told.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    spark = rows.sparkSession
+    ledger.record(spark, target, batch_id, spark.read.schema(told.schema).parquet(path))
 
 
 def ingested(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
@@ -111,17 +113,7 @@ def load_ledger(spark: SparkSession, target: str) -> DataFrame:
 
     ``misfit_rows`` counts rows with too few or too many values; formats without a width have none.
     """
-    rows = spark.read.parquet(target)
-    misfit = F.col("misfit") if "misfit" in rows.columns else F.lit(False)
-    error = F.when(F.col("rejected") == 1, F.concat_ws(": ", F.array_join("bad_columns", ","), "raw_row"))
-    return rows.groupBy("source_file").agg(
-        F.count_if(F.col("rejected") == 0).alias("rows_loaded"),
-        F.count_if(F.col("rejected") == 1).alias("rows_rejected"),
-        F.count_if(misfit).alias("misfit_rows"),
-        F.min(error).alias("first_error"),
-        F.min("loaded_at").alias("loaded_at"),
-    ).withColumn("status", F.when(F.col("rows_rejected") == 0, "LOADED").when(F.col("rows_loaded") > 0, "PARTLY LOADED")
-                 .otherwise("REJECTED"))
+    return ledger.held(spark, target)
 
 
 # --- drop folder ------------------------------------------------------------------------
