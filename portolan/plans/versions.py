@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from portolan import bridge
-from portolan.operators import joins, versions
+from portolan.operators import joins, range_hashes, versions
 from portolan.plans import sql as q
 from portolan.plans.registry import query
 from portolan.session import scratch_dir
@@ -98,15 +98,49 @@ def not_in_with_null_keys(spark, sf_dir):
     return joins.not_in(bridge.customers(spark, sf_dir), "customer_id", keys).select("customer_id", "customer_name")
 
 
-@query("J7", q.query(
+_BETWEEN_SQL = q.query(
     f"""SELECT coalesce(a.account_id, b.account_id) AS account_id,
         CASE WHEN a.account_id IS NULL THEN 'INSERT' WHEN b.account_id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS op,
         b.status, {q.dbl('b.balance')} AS balance, a.status AS old_status, {q.dbl('a.balance')} AS old_balance
         FROM ({_state_sql(_EARLY)}) a FULL JOIN ({_state_sql(_LATE)}) b ON a.account_id = b.account_id
         WHERE a.account_id IS NULL OR b.account_id IS NULL OR a.status IS DISTINCT FROM b.status
-           OR a.balance IS DISTINCT FROM b.balance""", "changes"))
+           OR a.balance IS DISTINCT FROM b.balance""", "changes")
+
+
+@query("J7", _BETWEEN_SQL)
 def account_changes_between(spark, sf_dir):
     columns = ["account_id", "status", "balance"]
     return joins.snapshot_diff(
         _state(spark, sf_dir, _EARLY).select(*columns), _state(spark, sf_dir, _LATE).select(*columns), ["account_id"]
     )
+
+
+@query("J7", _BETWEEN_SQL)
+def account_changes_by_range_hashes(spark, sf_dir):
+    """The same changes from two stored snapshots: only key ranges whose hashes differ are read and joined."""
+    layout = range_hashes.Layout(("account_id",), width=64)
+    paths = [scratch_dir(spark, "snapshot") for _ in range(2)]
+    for path, as_of in zip(paths, (_EARLY, _LATE), strict=True):
+        range_hashes.store(_state(spark, sf_dir, as_of).select("account_id", "status", "balance"), layout, path)
+    return range_hashes.stored_diff(spark, *paths, layout)
+
+
+_RESTATED = "o_orderdate >= DATE '1998-07-01' AND o_orderkey % 5 = 0"
+
+
+@query("J7", f"""SELECT o_orderkey AS order_key, 'UPDATE' AS op, {q.dbl('o_totalprice + 1')} AS price, {q.dbl('o_totalprice')} AS old_price
+    FROM orders WHERE {_RESTATED} AND o_orderkey % 10 <> 0
+    UNION ALL SELECT o_orderkey, 'DELETE', NULL, {q.dbl('o_totalprice')} FROM orders WHERE {_RESTATED} AND o_orderkey % 10 = 0
+    UNION ALL SELECT -1 - o_orderkey, 'INSERT', {q.dbl('o_totalprice')}, NULL FROM orders WHERE {_RESTATED}""")
+def restated_orders_by_range_hashes(spark, sf_dir):
+    """Orders of the last weeks change, go, or come under new keys; ranges by the hash of the key."""
+    orders = bridge.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_totalprice").alias("price"), F.expr(_RESTATED).alias("restated"))
+    gone = orders.where("NOT restated OR order_key % 10 <> 0")
+    restated = gone.withColumn("price", F.when(F.col("restated"), F.col("price") + 1).otherwise(F.col("price")))
+    fresh = orders.where("restated").withColumn("order_key", -1 - F.col("order_key"))
+    layout = range_hashes.Layout(("order_key",), ranges=16_384)
+    paths = [scratch_dir(spark, "orders") for _ in range(2)]
+    range_hashes.store(orders.drop("restated"), layout, paths[0])
+    range_hashes.store(restated.unionByName(fresh).drop("restated"), layout, paths[1])
+    return range_hashes.stored_diff(spark, *paths, layout)
