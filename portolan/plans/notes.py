@@ -10,8 +10,8 @@ from portolan import bridge
 from portolan.functions import rules as r
 from portolan.functions import values as v
 from portolan.functions.phrases import HEARD, bounds
-from portolan.functions.text import SIGNS, TOKEN, token_list
-from portolan.operators import reports, search, triage, vectors
+from portolan.functions.text import SIGNS, TOKEN, token_list, tokens
+from portolan.operators import reports, search, term_vectors, triage, vectors
 from portolan.plans import sql as q
 from portolan.plans.registry import query
 from portolan.session import scratch_dir
@@ -76,6 +76,39 @@ def classified_notes_by_description(spark, sf_dir):
     return triage.classify(df, "free_text_notes", triage.labels_by_description(F.col("free_text_notes")))
 
 
+# A few words per language; most turns are told by other words, which come up beside these elsewhere.
+_LANGUAGE_WORDS = {
+    "English": ["with", "this", "from"], "French": ["avec", "dans", "pour"],
+    "German": ["nicht", "und", "mit"], "Spanish": ["para", "los", "del"],
+}
+_SEEDS = [(label, w) for label, words in _LANGUAGE_WORDS.items() for w in words]
+_LABEL_RANK = [(label, i) for i, label in enumerate(_LANGUAGE_WORDS)]
+
+
+@query("M2", q.query(
+    f"""SELECT conv_id, turn, CASE WHEN text IS NOT NULL THEN coalesce(label, 'Other') END AS classification,
+        len(list_intersect(regexp_extract_all(lower(text), '{TOKEN}'), {q.text_list([w for _, w in _SEEDS])})) > 0 AS shares_a_word
+        FROM conversations LEFT JOIN best ON text = note""",
+    words=f"""SELECT note, unnest(list_distinct(regexp_extract_all(lower(note), '{TOKEN}'))) AS term
+        FROM (SELECT DISTINCT text AS note FROM conversations WHERE text IS NOT NULL)""",
+    notes="SELECT CAST(count(DISTINCT text) AS DOUBLE) AS n_all FROM conversations",
+    seeds=q.rows_cte("label, seed", _SEEDS), ranks=q.rows_cte("label, rank", _LABEL_RANK),
+    alone="SELECT term, count(*) AS n FROM words GROUP BY term",
+    pairs="""SELECT a.term, b.term AS seed, CAST(count(*) AS DOUBLE) AS n_both
+        FROM words a JOIN (SELECT * FROM words WHERE term IN (SELECT seed FROM seeds)) b USING (note) GROUP BY ALL HAVING count(*) >= 3""",
+    weights="""SELECT p.term, label, sum(ln(n_both * n_all / (t.n * s.n)) / -ln(n_both / n_all)) / 3 AS weight
+        FROM pairs p JOIN seeds USING (seed) JOIN alone t ON t.term = p.term JOIN alone s ON s.term = p.seed, notes
+        WHERE n_both < n_all AND n_both * n_all > t.n * s.n GROUP BY p.term, label""",
+    best="""SELECT note, arg_min(label, rank - 1000000000 * score) AS label FROM (
+        SELECT note, label, round(sum(weight), 6) AS score FROM words JOIN weights USING (term) GROUP BY note, label)
+        JOIN ranks USING (label) WHERE score > 0 GROUP BY note"""))
+def turns_labelled_by_related_words(spark, sf_dir):
+    turns = bridge.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    known = F.array(*[F.lit(w) for _, w in _SEEDS])
+    return term_vectors.label_by_related_terms(turns, "text", _LANGUAGE_WORDS, "Other").select(
+        "conv_id", "turn", "classification", F.arrays_overlap(tokens(F.col("text")), known).alias("shares_a_word"))
+
+
 @query("M3 E1", q.query(
     f"""SELECT classification, CAST(sum(n) AS BIGINT) AS cnt, {_PCT} AS pct
         FROM (SELECT free_text_notes, count(*) AS n FROM
