@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan.sources import spanning
@@ -27,24 +27,48 @@ def read_units(reader, path: str, **options: str) -> DataFrame:
     return spanning.units(reader, path, spanning.xml_documents(), recursiveFileLookup="true", **options)
 
 
+def _payload() -> Column:
+    """The document of a closed record; text before its start tag that is neither prolog nor comment is no part of it."""
+    body = F.concat("text", F.lit("Document>"))
+    before = rf"(?s)^(?:{_NO_TEXT}|[^<]|<(?!(?:[A-Za-z_][\w.-]*:)?Document[\s>]))*"
+    stray = F.btrim(F.regexp_replace(F.regexp_extract(body, before, 0), _NO_TEXT, ""), F.lit(_BLANK))
+    # ends with the tag, so there is nothing to trim on the right
+    return F.when(stray == "", F.ltrim(body, F.lit(_BLANK))).otherwise(F.regexp_replace(body, before, ""))
+
+
 def documents_of(records: DataFrame) -> DataFrame:
     """Documents among the records of whole files, with their row number in the file.
 
-    A record that was not closed is no document; see ``leftovers_of``.  Text that is neither
-    prolog nor comment before a document's start tag is no part of it.
+    A record that was not closed is no document; see ``leftovers_of``.
     """
-    body = F.concat("text", F.lit("Document>"))
-    before = rf"(?s)^(?:{_NO_TEXT}|[^<]|<(?!(?:[A-Za-z_][\w.-]*:)?Document[\s>]))*"
-    stray = F.btrim(F.regexp_replace(F.regexp_extract(body, before, 0), _NO_TEXT, ""), F.lit(_BLANK))
-    payload = F.when(stray == "", F.btrim(body, F.lit(_BLANK))).otherwise(F.regexp_replace(body, before, ""))
     return records.where("closed").select(
-        payload.alias("payload"), "source_file", (F.col("number") + 1).alias("row_number"))
+        _payload().alias("payload"), "source_file", (F.col("number") + 1).alias("row_number"))
 
 
 def leftovers_of(records: DataFrame) -> DataFrame:
     """Text after the last document, by file; comments and processing instructions are none."""
-    text = F.btrim(F.regexp_replace("text", _NO_TEXT, ""), F.lit(_BLANK))
-    return records.where("not closed").select("source_file", text.alias("text")).where(F.col("text") != "")
+    return records.where("not closed").select("source_file", _leftover().alias("text")).where(F.col("text") != "")
+
+
+def _leftover() -> Column:
+    return F.btrim(F.regexp_replace("text", _NO_TEXT, ""), F.lit(_BLANK))
+
+
+def rows_of(records: DataFrame, path: str) -> DataFrame:
+    """Messages and, as rejects, what lies outside all documents, in one pass over the records.
+
+    A reject has ``bad_columns`` and its text as ``raw_row``; the columns of a message are NULL.
+    """
+    closed = F.col("closed")
+    rows = records.where(closed | (_leftover() != ""))
+    return rows.select(
+        F.when(closed, _message_id(path, F.col("number") + 1)).alias("message_id"),
+        F.when(closed, message_type(F.col("source_file"))).alias("message_type"),
+        F.when(closed, _payload()).alias("payload"),
+        "source_file",
+        F.when(~closed, F.array(F.lit("payload"))).alias("bad_columns"),
+        F.when(~closed, _leftover()).alias("raw_row"),
+    )
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -58,24 +82,30 @@ def leftover_text(spark: SparkSession, path: str) -> DataFrame:
 def message_type(path):
     """Message type guessed from the file path."""
     return (
-        F.when(path.ilike("%pacs_008%"), "pacs.008")
-        .when(path.ilike("%camt_053%"), "camt.053")
+        F.when(path.rlike("(?is)pacs.008"), "pacs.008")
+        .when(path.rlike("(?is)camt.053"), "camt.053")
         .otherwise("unknown")
     )
 
 
+def _message_id(path: str, row_number: Column) -> Column:
+    folder = path.rstrip("/").split("://")[-1]
+    at = F.locate(f"{folder}/", F.col("source_file"))
+    cut = F.substr("source_file", at + len(folder), F.length("source_file"))
+    below = F.when(at > 0, F.ltrim(cut, F.lit("/"))).otherwise(F.col("source_file"))
+    return F.concat(below, F.lit("-"), row_number.cast("string"))
+
+
 def messages_of(documents: DataFrame, path: str) -> DataFrame:
     """Message table: id, receive time, type, payload, file.
 
     The id is the file's path below ``path`` and the row number in the file, so part files of
     two folders differ.
     """
-    file = F.col("source_file")
-    below = F.regexp_replace(file, "^.*?" + re.escape(path.rstrip("/").split("://")[-1]) + "/+", "")
     return documents.select(
-        F.concat(below, F.lit("-"), F.col("row_number").cast("string")).alias("message_id"),
+        _message_id(path, F.col("row_number")).alias("message_id"),
         F.current_timestamp().alias("received_at"),
-        message_type(file).alias("message_type"),
+        message_type(F.col("source_file")).alias("message_type"),
         "payload",
         "source_file",
     )

@@ -80,11 +80,7 @@ def ingest_xml(spark: SparkSession, landing: str, target: str, checkpoint: str,
     units = xml_files.read_units(spark.readStream, landing, maxFilesPerTrigger=str(max_files))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = xml_files.records_of(batch)
-        good = xml_files.messages_of(xml_files.documents_of(records), landing).drop("received_at")
-        outside = xml_files.leftovers_of(records).select(
-            "source_file", F.array(F.lit("payload")).alias("bad_columns"), F.col("text").alias("raw_row"))
-        _write_rows(good.unionByName(outside, allowMissingColumns=True), target, batch_id)
+        _write_rows(xml_files.rows_of(xml_files.records_of(batch), landing), target, batch_id)
 
     return run_available(units, write, checkpoint)
 
