@@ -140,6 +140,11 @@ def _move_files(spark: SparkSession, uris: list[str], folder: str) -> None:
         fs.rename(source, jvm.org.apache.hadoop.fs.Path(target, source.getName()))
 
 
+def _first_positions(named: DataFrame) -> DataFrame:
+    """Where each file's rows begin; needs no cell, so none is made, and numbers combine before the shuffle."""
+    return named.groupBy("path", "modified").agg(F.min("position").alias("header_position"))
+
+
 def load_drop_folder(
     spark: SparkSession,
     folder: str,
@@ -165,7 +170,7 @@ def load_drop_folder(
     schema = as_struct(schema_ddl)
     # Commas inside quotes count too, so this is the width or more.
     there = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(folder)
-    width = there.agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+    width = there.agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(",")))) + 1).first()[0] or 1
     positions = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
     cells = F.array(*[F.col(f.name) for f in positions])
     lines = (
@@ -186,38 +191,40 @@ def load_drop_folder(
     def load(batch: DataFrame, batch_id: int) -> None:
         named = batch.withColumn("position", F.monotonically_increasing_id())
         # One row per file of the batch, so never more than ``max_files`` rows.
-        first = F.min(F.struct("position", F.transform("cells", lambda c: F.lower(F.trim(c))).alias("names")))
-        headers = named.groupBy("path").agg(first.alias("first")).select(
-            "path", F.col("first.position").alias("header_position"), F.col("first.names").alias("header"),
-            F.coalesce(F.array_contains("first.names", key_column), F.lit(False)).alias("has_header"))
-        rows = named.join(F.broadcast(headers), "path")
-        is_header = F.col("position") == F.col("header_position")
-        data = rows.where(F.col("has_header") & ~is_header)
-        columns = []
-        for field in schema:
+        tops = _first_positions(named).persist()
+        top = named.join(F.broadcast(tops.select(F.col("header_position").alias("position"))), "position", "left_semi")
+        names = F.transform("cells", lambda c: F.lower(F.trim(c)))
+        headers = top.select(
+            "path", F.col("position").alias("header_position"),
+            F.coalesce(F.array_contains(names, key_column), F.lit(False)).alias("has_header"),
             # Position 0 means the file lacks the column; get(-1) is NULL.
-            cell = F.get("cells", F.array_position("header", field.name) - 1)
-            columns.append(
-                try_typed(null_if_token(F.trim(cell)), field.dataType.simpleString()).alias(field.name)
-            )
-        (
-            data.select(
-                *columns, F.current_timestamp().alias("loaded_at"), base_name(F.col("path")).alias("source_file")
-            )
-            .write.mode("overwrite").parquet(f"{target}/rows/batch_id={batch_id}")
-        )
-        counts = rows.groupBy("path", "modified").agg(
-            F.count_if(~is_header).alias("row_count"), F.count_if("has_header").alias("headers")
-        )
-        report = counts.select(
+            *[(F.array_position(names, f.name) - 1).cast("int").alias(f"__at_{i}") for i, f in enumerate(schema)],
+        ).persist()
+        rows = named.join(F.broadcast(headers), "path")
+        data = rows.where(F.col("has_header") & (F.col("position") != F.col("header_position")))
+        columns = [
+            try_typed(null_if_token(F.trim(F.get("cells", F.col(f"__at_{i}")))), field.dataType.simpleString()).alias(field.name)
+            for i, field in enumerate(schema)
+        ]
+        path = f"{target}/rows/batch_id={batch_id}"
+        written = data.select(
+            *columns, F.current_timestamp().alias("loaded_at"), base_name(F.col("path")).alias("source_file"))
+        written.write.mode("overwrite").parquet(path)
+        # All rows below a header were written, so what lies there is counted and no file is parsed again.
+        loaded = batch.sparkSession.read.schema(written.schema).parquet(path).groupBy("source_file").agg(
+            F.count("*").alias("row_count"))
+        found = tops.join(headers.select("path", "has_header"), "path").withColumn("source_file", base_name(F.col("path")))
+        report = found.join(loaded, "source_file", "left").select(
             "modified",
-            base_name(F.col("path")).alias("source_file"),
-            F.when((F.col("headers") > 0) & (F.col("row_count") > 0), "LOADED").otherwise("ERROR").alias("status"),
-            F.when(F.col("headers") > 0, F.col("row_count")).otherwise(0).alias("row_count"),
-            F.when(F.col("headers") == 0, f"no header row with {key_column}")
-            .when(F.col("row_count") == 0, "empty or header-only").alias("message"),
+            "source_file",
+            F.when(F.col("row_count") > 0, "LOADED").otherwise("ERROR").alias("status"),
+            F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
+            F.when(~F.col("has_header"), f"no header row with {key_column}")
+            .when(F.col("row_count").isNull(), "empty or header-only").alias("message"),
         )
         report.write.mode("overwrite").parquet(f"{target}/report/batch_id={batch_id}")
+        tops.unpersist()
+        headers.unpersist()
 
     run_available(lines, load, checkpoint)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from portolan import bridge, schemas
 from portolan.operators import joins, layers, messages, search
+from conftest import plan_of
 from portolan.sources import delimited, json_files, xml_files
 from portolan.streaming import incremental, ingest
 from portolan.streaming.declared import DeclaredSummary
@@ -430,3 +431,16 @@ def test_document_ends_inside_sections_are_text(spark, tmp_path):
                     2: "<!-- </Document> --><Document><B/></Document>",
                     3: "<Document x='3'/>\n<Document></Document>"}
     assert xml_files.leftover_text(spark, str(tmp_path)).count() == 0
+
+
+def test_begin_of_dropped_files_is_found_without_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,t\n1,\"x\ny\"\n2,z\n")
+    (tmp_path / "b.csv").write_text("\nid,t\n")
+    rows = spark.read.schema("_c0 string, _c1 string").option("multiLine", True).csv(str(tmp_path)).select(
+        F.array("_c0", "_c1").alias("cells"), F.col("_metadata.file_path").alias("path"), F.lit(0).alias("modified"),
+        F.monotonically_increasing_id().alias("position"))
+    first = ingest._first_positions(rows)
+    plan = plan_of(first)
+    assert "ReadSchema: struct<>" in plan and "SortAggregate" not in plan
+    at = {r.path: r.header_position for r in first.collect()}
+    assert {(r.path, r.position) for r in rows.where("lower(cells[0]) = 'id'").collect()} == set(at.items())
