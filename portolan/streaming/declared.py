@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 from portolan.operators.layers import DAILY_KEYS, harmonized_trades
 
 WEIGHT = "weight"
+
+#: Rows of one folder are dealt over so many tasks at most, each row by all its columns.
+SHARES = 16
 LEDGER = ("version bigint, mode string, source_base bigint, derived_base bigint, trade_rows bigint, "
           "customer_rows bigint, joined_rows bigint, summary_rows bigint, held_rows bigint")
 
@@ -94,12 +97,20 @@ class DeclaredSummary:
 
     def _rows(self, signed: DataFrame) -> DataFrame:
         """Signed rows as plain rows, each as often as its weight says."""
+        return self._plain(net(signed))
+
+    def _held(self, name: str, first: int, last: int) -> DataFrame:
+        """The plain rows that the deltas add up to; a single delta is net as it was written."""
+        signed = self._signed(name, first, last)
+        return self._plain(signed) if first == last else self._rows(signed)
+
+    def _plain(self, netted: DataFrame) -> DataFrame:
         times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(WEIGHT)))
-        return net(signed).where(F.col(WEIGHT) > 0).withColumn("__copy", times).drop("__copy", WEIGHT)
+        return netted.where(F.col(WEIGHT) > 0).withColumn("__copy", times).drop("__copy", WEIGHT)
 
     def _current(self, name: str, derived: bool) -> DataFrame:
         last = self._last()
-        return self._rows(self._signed(name, last.derived_base if derived else last.source_base, last.version))
+        return self._held(name, last.derived_base if derived else last.source_base, last.version)
 
     def trades(self) -> DataFrame:
         return self._current("trades", False)
@@ -150,7 +161,7 @@ class DeclaredSummary:
             counts[name] = 0
             if changes is not None:
                 own = self._as_held(name, changes) if last else changes
-                counts[name] = self._write(name, version, net(own), True)
+                counts[name] = self._write_net(name, version, own)
         if last and not counts["trades"] and not counts["customers"]:
             return last.version
         size = counts["trades"] + counts["customers"]
@@ -158,12 +169,11 @@ class DeclaredSummary:
         source_base = last.source_base if last else version
         derived_base = version if mode == "full" else last.derived_base
         if mode == "full":
-            joined = self._join(self._rows(self._signed("trades", source_base, version)),
-                                self._rows(self._signed("customers", source_base, version)))
-            joined = appended(joined)
+            joined = self._join(self._held("trades", source_base, version),
+                                self._held("customers", source_base, version))
+            n_joined = self._write("joined", version, appended(joined), True)
         else:
-            joined = self._joined_delta(source_base, version, counts)
-        n_joined = self._write("joined", version, joined, True)
+            n_joined = self._write_net("joined", version, self._joined_delta(source_base, version, counts))
         n_summary = self._write("summary", version, self._summary_delta(derived_base, version), False)
         self._name(version, mode, source_base, derived_base, counts["trades"], counts["customers"], n_joined,
                    n_summary, (last.held_rows if last else 0) + size)
@@ -176,7 +186,7 @@ class DeclaredSummary:
         n = {}
         for name, base in (("trades", last.source_base), ("customers", last.source_base),
                            ("joined", last.derived_base)):
-            n[name] = self._write(name, version, net(self._signed(name, base, last.version)), True)
+            n[name] = self._write_net(name, version, self._signed(name, base, last.version))
         state = self._state(self._log("summary", last.derived_base, last.version)).where("tx_count > 0")
         state = state.select(*self.keys, "tx_count", "amounts", F.col("total_amount").alias("total"),
                              F.col("min_amount").alias("low"), F.col("max_amount").alias("high"))
@@ -207,7 +217,7 @@ class DeclaredSummary:
 
             lost = before.withColumn(WEIGHT, -F.col(WEIGHT))
             parts += [self._join(before, known(version)), self._join(lost, known(version - 1))]
-        return net(reduce(DataFrame.unionByName, parts))
+        return reduce(DataFrame.unionByName, parts)
 
     def _summary_delta(self, base: int, version: int) -> DataFrame:
         keys, amount, weight = list(self.keys), F.col("amount"), F.col(WEIGHT)
@@ -243,10 +253,31 @@ class DeclaredSummary:
         if not by_customer:
             rows.write.mode("overwrite").parquet(target)
             return self.spark.read.schema(rows.schema).parquet(target).count()
-        owner = F.xxhash64(F.col("customer_id").cast("string"))
-        rows = rows.withColumn("part", F.pmod(owner, F.lit(self.parts)).cast("int"))
         # files follow parts, and a part in which one customer owns a third of the rows is split
-        rows.hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(target)
+        rows = self._with_part(rows)
+        return self._store(rows.hint("rebalance", "part"), target)
+
+    def _with_part(self, rows: DataFrame) -> DataFrame:
+        owner = F.xxhash64(F.col("customer_id").cast("string"))
+        return rows.withColumn("part", F.pmod(owner, F.lit(self.parts)).cast("int"))
+
+    def _write_net(self, name: str, version: int, signed: DataFrame) -> int:
+        """The net of signed rows as one version's delta; the number of rows written."""
+        return self._store(self._dealt_net(signed), f"{self.path}/{name}/version={version}")
+
+    def _dealt_net(self, signed: DataFrame) -> DataFrame:
+        """``net`` with the rows dealt as files want them, so they are shuffled once.
+
+        Equal rows have one share of one part, and the rows of one large customer have many.
+        """
+        columns = [c for c in signed.columns if c != WEIGHT]
+        share = F.pmod(F.xxhash64(*columns), F.lit(SHARES)).cast("int")
+        dealt = self._with_part(signed).withColumn("__share", share).repartition("part", "__share")
+        return dealt.groupBy("part", "__share", *columns).agg(F.sum(WEIGHT).alias(WEIGHT)).where(
+            F.col(WEIGHT) != 0).drop("__share")
+
+    def _store(self, rows: DataFrame, target: str) -> int:
+        rows.write.mode("overwrite").partitionBy("part").parquet(target)
         n = self.spark.read.schema(rows.schema).parquet(target).count()
         if not n:  # a file that tells the columns
             rows.drop("part").limit(0).write.mode("overwrite").parquet(f"{target}/part=0")

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 
+from conftest import plan_of
 from portolan.operators import layers
 from portolan.streaming.declared import DeclaredSummary, appended, difference, net, removed
 
@@ -151,3 +152,18 @@ def test_net_cancels(spark):
     one = frames(spark, [trade(1), trade(2)], [])[0]
     assert net(appended(one).union(removed(one))).count() == 0
     assert shown(difference(one, one.limit(0)).select("weight")) == ["Row(weight=-1)"] * 2
+
+
+def test_net_rows_are_shuffled_once_and_read_as_written(spark, tmp_path):
+    """Deltas are dealt as their folders want them; a single one needs no other shuffle to be read."""
+    declared = DeclaredSummary(spark, str(tmp_path), parts=4)
+    rows = [(1, "a", 1), (1, "a", 1), (1, "b", 1), (1, "b", -1), (2, None, 1), (None, "c", 1), (None, "c", 2)]
+    signed = spark.createDataFrame(rows, "customer_id bigint, note string, weight bigint")
+    dealt = declared._dealt_net(signed)
+    assert plan_of(dealt, "simple").count("Exchange hashpartitioning") == 1 and "rebalance" not in plan_of(dealt)
+    assert declared._write_net("trades", 1, signed) == 3
+    assert sorted(map(str, dealt.select(*signed.columns).collect())) == sorted(map(str, net(signed).collect()))
+    held = declared._held("trades", 1, 1)
+    assert "Exchange" not in plan_of(held)
+    assert sorted(map(str, held.collect())) == sorted(map(str, declared._rows(signed).collect()))
+    assert len(held.collect()) == 6
