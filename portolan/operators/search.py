@@ -20,41 +20,41 @@ K1, B = 1.2, 0.75
 EVERY_DOCUMENT = ""
 
 
-def postings(docs: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
+def postings(docs: DataFrame, key: str, text: str, *keep: str, by_range: bool = False) -> DataFrame:
     """(term, key, kept attributes, doc_length, tf), in one pass over the documents.
 
     Grouping by term and document spreads a term that is in every document over all
-    tasks, and all tokens of one document are combined before the shuffle.
+    tasks, and all tokens of one document are combined before the shuffle.  In short texts
+    few tokens repeat: ``by_range`` deals them by (term, key), as an index lies, before they
+    are counted, so there is one shuffle in place of two.
     """
     words = tokens(F.col(text))
-    return (
+    found = (
         docs.where(F.col(text).isNotNull())
         .select(F.col(key), *keep, words.alias("words"))
         .select(
             key, *keep, F.size("words").alias("doc_length"),
             F.explode(F.array_append("words", EVERY_DOCUMENT)).alias("term"),
         )
-        .groupBy("term", key, *keep, "doc_length")
-        .agg(F.count("*").alias("tf"))
     )
+    dealt = found.repartitionByRange("term", key) if by_range else found
+    return dealt.groupBy("term", key, *keep, "doc_length").agg(F.count("*").alias("tf"))
 
 
-def write_index(docs: DataFrame, key: str, text: str, path: str, batch: str, *keep: str, version: int = 0) -> None:
+def write_index(
+    docs: DataFrame, key: str, text: str, path: str, batch: str, *keep: str, version: int = 0, short: bool = False,
+) -> None:
     """Write one batch of the index; writing the same batch again replaces it.
 
     Postings are laid out by (term, key): a query's terms touch few files and row
     groups, and a frequent term spans several files instead of one.  The attributes in
     ``keep`` stand in every posting, so a search can be restricted by them.  A document
-    written again in a batch of a higher ``version`` replaces its earlier text.
+    written again in a batch of a higher ``version`` replaces its earlier text.  ``short``
+    says that texts are a few words each (see ``postings``); the index is the same.
     """
-    (
-        postings(docs, key, text, *keep)
-        .withColumn("version", F.lit(version).cast("bigint"))
-        .repartitionByRange("term", key)
-        .sortWithinPartitions("term", key)
-        .write.mode("overwrite")
-        .parquet(f"{path}/batch={batch}")
-    )
+    rows = postings(docs, key, text, *keep, by_range=short).withColumn("version", F.lit(version).cast("bigint"))
+    laid = rows if short else rows.repartitionByRange("term", key)
+    laid.sortWithinPartitions("term", key).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def read_index(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:

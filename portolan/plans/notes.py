@@ -258,8 +258,8 @@ def indexed_search_of_exports(spark, sf_dir):
     trades = bridge.trades(spark, sf_dir).select("transaction_id", "free_text_notes", "transaction_type", "booking_branch")
     old = trades.where("transaction_type = 'EXPORT'").withColumn("free_text_notes", F.lit("urgent expedited draft"))
     args = ("transaction_id", "free_text_notes", path)
-    search.write_index(old, *args, "old", "transaction_type", "booking_branch", version=1)
-    search.write_index(trades, *args, "new", "transaction_type", "booking_branch", version=2)
+    search.write_index(old, *args, "old", "transaction_type", "booking_branch", version=1, short=True)
+    search.write_index(trades, *args, "new", "transaction_type", "booking_branch", version=2, short=True)
     index = search.read_index(spark, path, "transaction_id").where(
         (F.col("transaction_type") == "EXPORT") & (F.col("booking_branch") == "Tokyo"))
     return search.search(index, "transaction_id", _SECOND, 10)
@@ -271,7 +271,8 @@ def segmented_search_after_rewrites(spark, sf_dir):
     """Four batches, most notes first under other words, two merges of segments, then a search."""
     trades = bridge.trades(spark, sf_dir).select("transaction_id", "free_text_notes", "booking_branch")
     index = SegmentedIndex(
-        spark, scratch_dir(spark, "segments"), "transaction_id", "free_text_notes", ("booking_branch",), fanout=2)
+        spark, scratch_dir(spark, "segments"), "transaction_id", "free_text_notes", ("booking_branch",), fanout=2,
+        short=True)
     draft = F.lit("suspicious draft under compliance review")
     index.add(trades.withColumn("free_text_notes", draft), 0)
     for batch, branches in enumerate([["Tokyo"], ["NewYork", "London"], ["Singapore"]], 1):

@@ -28,7 +28,10 @@ STATE = "version bigint, upto bigint, segment string, level int, documents bigin
 
 @dataclass(frozen=True)
 class SegmentedIndex:
-    """Documents with a key, a text and attributes to keep; keys are unique within a batch."""
+    """Documents with a key, a text and attributes to keep; keys are unique within a batch.
+
+    ``short`` says that texts are a few words each, which are dealt out once (see ``postings``).
+    """
 
     spark: SparkSession
     path: str
@@ -36,6 +39,7 @@ class SegmentedIndex:
     text: str
     keep: tuple[str, ...] = ()
     fanout: int = 8
+    short: bool = False
 
     # --- state ------------------------------------------------------------------------------
 
@@ -63,10 +67,10 @@ class SegmentedIndex:
             return rows
         return rows.join(self.spark.read.parquet(*folders).select("segment", self.key), ["segment", self.key], "left_anti")
 
-    def _write(self, rows: DataFrame, name: str) -> tuple[int, int]:
+    def _write(self, rows: DataFrame, name: str, dealt: bool = False) -> tuple[int, int]:
         target = f"{self.path}/segments/segment={name}"
-        rows.repartitionByRange("term", self.key).sortWithinPartitions("term", self.key).write.mode(
-            "overwrite").parquet(target)
+        laid = rows if dealt else rows.repartitionByRange("term", self.key)
+        laid.sortWithinPartitions("term", self.key).write.mode("overwrite").parquet(target)
         every = self.spark.read.schema(rows.schema).parquet(target).where(F.col("term") == EVERY_DOCUMENT)
         held = every.agg(F.count("*").alias("n"), F.coalesce(F.sum("doc_length"), F.lit(0)).alias("length")).first()
         return held.n, held.length
@@ -83,7 +87,8 @@ class SegmentedIndex:
         if segments:
             segments = self._buried(segments, docs, batch)
         name = f"0-{batch}"
-        n, length = self._write(postings(docs, self.key, self.text, *self.keep), name)
+        n, length = self._write(
+            postings(docs, self.key, self.text, *self.keep, by_range=self.short), name, self.short)
         if n:
             segments.append((name, 0, n, length, []))
         self._name(version, batch, segments)

@@ -58,3 +58,16 @@ def test_empty_batches(spark, tmp_path):
     assert [r.id for r in index.search("one", 5).collect()] == [1]
     index.add(spark.createDataFrame([(1, None)], "id bigint, text string"), 3)
     assert index.search("one", 5).collect() == []
+
+
+def test_short_texts_are_dealt_once(spark, tmp_path):
+    """The same index by one shuffle; keys that repeat or are NULL count as they did."""
+    docs = [(1, "p", "a b a"), (1, "p", "a b a"), (2, "q", "a"), (2, "q", "c c"), (None, None, "b"), (3, "p", None), (4, "p", "")]
+    frame = spark.createDataFrame(docs, "id bigint, kind string, text string")
+    short = search.postings(frame, "id", "text", "kind", by_range=True)
+    assert plan_of(short, "simple").count("Exchange") == 1 and "rangepartitioning" in plan_of(short)
+    assert sorted(map(str, short.collect())) == sorted(map(str, search.postings(frame, "id", "text", "kind").collect()))
+    for name, flag in (("long", False), ("short", True)):
+        search.write_index(frame, "id", "text", str(tmp_path / name), "b", "kind", short=flag)
+    long, short = (sorted(map(str, spark.read.parquet(str(tmp_path / n)).collect())) for n in ("long", "short"))
+    assert long == short
