@@ -16,13 +16,16 @@ from portolan.schemas import PAYLOAD, as_struct
 _XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreNamespace": "true"}
 
 
-def parse(messages: DataFrame, payload: str = "payload") -> DataFrame:
+def parse(messages: DataFrame, payload: str = "payload", schema: str = PAYLOAD) -> DataFrame:
     """Add ``doc``, the parsed payload; both message roots are NULL in a broken document.
 
+    The whole document is read whatever the ``schema``, but only the elements in it become
+    columns, since Spark prunes no columns of parsed XML by itself.
+
     The one-element explode keeps the parse in one place of the plan.  As a plain
     projection Catalyst would copy it into every filter it pushes down and infers.
     """
-    doc = F.from_xml(payload, as_struct(PAYLOAD), _XML_OPTIONS)
+    doc = F.from_xml(payload, as_struct(schema), _XML_OPTIONS)
     return messages.select("*", F.explode(F.array(doc)).alias("doc"))
 
 

@@ -10,6 +10,7 @@ from portolan.operators.triage import remittance_risk
 from portolan.plans import sql as q
 from portolan.plans.notes import RISK_SQL
 from portolan.plans.registry import query
+from portolan.schemas import AMOUNTS
 from portolan.session import scratch_dir
 from portolan.sources import xml_files
 
@@ -108,12 +109,12 @@ def remittance_red_flags(spark, sf_dir):
 def xml_files_loaded(spark, sf_dir):
     """Write message files below three folders, load them all, and total them by type."""
     landing = scratch_dir(spark, "xml")
-    transfers = bridge.credit_transfer_xml(bridge.trades(spark, sf_dir))
+    transfers = bridge.credit_transfer_xml(bridge.trades(spark, sf_dir, dealt=True))
     transfers.write.text(f"{landing}/PACS_008")
-    bridge.statement_xml(spark, sf_dir).write.text(f"{landing}/camt_053")
+    bridge.statement_xml(spark, sf_dir, dealt=True).write.text(f"{landing}/camt_053")
     transfers.write.text(f"{landing}/other")
 
-    parsed = messages.parse(xml_files.load_xml_messages(spark, landing))
+    parsed = messages.parse(xml_files.load_xml_messages(spark, landing), schema=AMOUNTS)
     amounts = F.coalesce(
         F.transform(F.col("doc.FIToFICstmrCdtTrf.CdtTrfTxInf"), lambda t: t["IntrBkSttlmAmt"]["_VALUE"]),
         F.flatten(F.transform(

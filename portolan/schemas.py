@@ -38,6 +38,12 @@ PAYLOAD = f"""
                 NtryDtls: array<struct<TxDtls: array<struct<RmtInf: struct<Ustrd: array<string>>>>>>>>>>>
 """
 
+# The amounts of a payload alone, for queries that read no other element of it.
+AMOUNTS = """
+    FIToFICstmrCdtTrf struct<CdtTrfTxInf: array<struct<IntrBkSttlmAmt: struct<_VALUE: string>>>>,
+    BkToCstmrStmt struct<Stmt: array<struct<Ntry: array<struct<Amt: struct<_VALUE: string>>>>>>
+"""
+
 
 def as_struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from portolan import bridge, schemas
 from portolan.operators import joins, layers, messages, search
-from conftest import plan_of
+from conftest import DATA, plan_of
+from portolan.plans.all import REGISTRY
+from portolan.schemas import AMOUNTS, PAYLOAD
 from portolan.sources import delimited, json_files, xml_files
 from portolan.streaming import incremental, ingest
 from portolan.streaming.declared import DeclaredSummary
@@ -444,3 +446,20 @@ def test_begin_of_dropped_files_is_found_without_cells(spark, tmp_path):
     assert "ReadSchema: struct<>" in plan and "SortAggregate" not in plan
     at = {r.path: r.header_position for r in first.collect()}
     assert {(r.path, r.position) for r in rows.where("lower(cells[0]) = 'id'").collect()} == set(at.items())
+
+
+def test_amounts_alone_are_those_of_the_whole_document(spark):
+    """A query that totals amounts parses no other element; broken documents stay broken."""
+    transfer = "<Document xmlns='urn:x'><FIToFICstmrCdtTrf><GrpHdr><MsgId>M</MsgId></GrpHdr>{}</FIToFICstmrCdtTrf></Document>"
+    tx = "<CdtTrfTxInf><IntrBkSttlmAmt Ccy='EUR'>{}</IntrBkSttlmAmt><RmtInf><Ustrd>a</Ustrd><Ustrd/></RmtInf></CdtTrfTxInf>"
+    entry = "<Ntry><Amt Ccy='EUR'>{}</Amt><NtryDtls><TxDtls/></NtryDtls></Ntry>"
+    statement = "<Document><BkToCstmrStmt><Stmt>{}</Stmt><Stmt><Acct/></Stmt></BkToCstmrStmt></Document>"
+    texts = [transfer.format(tx.format("1.50") + tx.format("x")), transfer.format(""), statement.format(entry.format(2) + entry.format(3)),
+             transfer.format(tx.format("1"))[:-30], "no xml", "<Document/>", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, payload string")
+    amounts = [F.col("doc.FIToFICstmrCdtTrf.CdtTrfTxInf.IntrBkSttlmAmt._VALUE"),
+               F.transform("doc.BkToCstmrStmt.Stmt", lambda s: s["Ntry"]["Amt"]["_VALUE"])]
+    whole, pruned = (messages.parse(frame, schema=s).orderBy("id").select(*amounts).collect() for s in (PAYLOAD, AMOUNTS))
+    assert whole == pruned and whole[0][0] == ["1.50", "x"] and whole[2][1] == [["2", "3"], None]
+    used = plan_of(REGISTRY["xml_files_loaded"].run(spark, DATA))
+    assert "IntrBkSttlmAmt" in used and "CreDtTm" not in used
