@@ -20,13 +20,14 @@ K1, B = 1.2, 0.75
 EVERY_DOCUMENT = ""
 
 
-def postings(docs: DataFrame, key: str, text: str, *keep: str, by_range: bool = False) -> DataFrame:
+def postings(docs: DataFrame, key: str, text: str, *keep: str, by_range: bool = True) -> DataFrame:
     """(term, key, kept attributes, doc_length, tf), in one pass over the documents.
 
     Grouping by term and document spreads a term that is in every document over all
-    tasks, and all tokens of one document are combined before the shuffle.  In short texts
-    few tokens repeat: ``by_range`` deals them by (term, key), as an index lies, before they
-    are counted, so there is one shuffle in place of two.
+    tasks.  ``by_range`` deals tokens by (term, key), as an index lies, before they are
+    counted, so there is one shuffle in place of two and a task that reads texts keeps no
+    counts.  Without it a task combines all tokens of its documents before the shuffle, for
+    texts in which nearly every token repeats.
     """
     words = tokens(F.col(text))
     found = (
@@ -42,7 +43,7 @@ def postings(docs: DataFrame, key: str, text: str, *keep: str, by_range: bool =
 
 
 def write_index(
-    docs: DataFrame, key: str, text: str, path: str, batch: str, *keep: str, version: int = 0, short: bool = False,
+    docs: DataFrame, key: str, text: str, path: str, batch: str, *keep: str, version: int = 0, short: bool = True,
 ) -> None:
     """Write one batch of the index; writing the same batch again replaces it.
 
@@ -50,7 +51,8 @@ def write_index(
     groups, and a frequent term spans several files instead of one.  The attributes in
     ``keep`` stand in every posting, so a search can be restricted by them.  A document
     written again in a batch of a higher ``version`` replaces its earlier text.  ``short``
-    says that texts are a few words each (see ``postings``); the index is the same.
+    says that tokens are dealt by range before they are counted (see ``postings``); the index
+    is the same.
     """
     rows = postings(docs, key, text, *keep, by_range=short).withColumn("version", F.lit(version).cast("bigint"))
     laid = rows if short else rows.repartitionByRange("term", key)

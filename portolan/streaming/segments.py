@@ -30,7 +30,7 @@ STATE = "version bigint, upto bigint, segment string, level int, documents bigin
 class SegmentedIndex:
     """Documents with a key, a text and attributes to keep; keys are unique within a batch.
 
-    ``short`` says that texts are a few words each, which are dealt out once (see ``postings``).
+    ``short`` says that tokens are dealt out once, before they are counted (see ``postings``).
     """
 
     spark: SparkSession
@@ -39,7 +39,7 @@ class SegmentedIndex:
     text: str
     keep: tuple[str, ...] = ()
     fanout: int = 8
-    short: bool = False
+    short: bool = True
 
     # --- state ------------------------------------------------------------------------------
 

@@ -1,9 +1,11 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from portolan.functions.text import TOKEN, tokens
 from portolan.operators import search
 from portolan.streaming.segments import SegmentedIndex
 
@@ -71,3 +73,33 @@ def test_short_texts_are_dealt_once(spark, tmp_path):
         search.write_index(frame, "id", "text", str(tmp_path / name), "b", "kind", short=flag)
     long, short = (sorted(map(str, spark.read.parquet(str(tmp_path / n)).collect())) for n in ("long", "short"))
     assert long == short
+
+
+def test_long_texts_are_dealt_once(spark, tmp_path):
+    """One shuffle whatever the texts' length; each file of the index holds its own range of terms."""
+    docs = [(i, " ".join(f"w{(i * j) % 97} the" for j in range(i))) for i in range(60)]
+    docs += [(7, docs[7][1]), (None, "the w1"), (60, "the " * 500), (61, None)]
+    frame = spark.createDataFrame(docs, "id bigint, text string")
+    rows = search.postings(frame, "id", "text")
+    assert plan_of(rows, "simple").count("Exchange") == 1 and "rangepartitioning" in plan_of(rows)
+    counted = Counter((term, key) for key, text in docs if text is not None for term in [*text.split(), ""])
+    assert {(r.term, r.id): r.tf for r in rows.collect()} == counted
+    search.write_index(frame, "id", "text", str(tmp_path / "index"), "b")
+    index = spark.read.parquet(str(tmp_path / "index"))
+    files = index.groupBy(F.input_file_name()).agg(F.min("term").alias("first"), F.max("term").alias("last")).orderBy("first", "last")
+    spans = [(r.first, r.last) for r in files.select("first", "last").collect()]
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_texts_are_cut_where_tokens_end(spark):
+    """Cutting gives what matching gives, for every code point alone, in words, doubled and beside signs."""
+    char = F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')")
+    chars = spark.range(0x110000).where("id NOT BETWEEN 55296 AND 57343").select(char.alias("c"))
+    shapes = F.array("c", F.concat(F.lit("A"), "c", F.lit("b 9")), F.concat("c", "c", F.lit(" x")), F.concat(F.lit("の"), "c", F.lit("済x")))
+    texts = chars.select(F.explode(shapes).alias("text"))
+    cut = texts.select("text", tokens(F.col("text")).alias("cut"))
+    assert "split(" in plan_of(cut, "simple")
+    matched = F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0))
+    assert cut.count() == 4 * (0x110000 - 2048) and cut.where(~F.col("cut").eqNullSafe(matched)).count() == 0
+    odd = spark.createDataFrame([(None,), ("",), (" -",), ("-a-",), ("İ Σς",)], "text string")
+    assert [r[0] for r in odd.select(tokens(F.col("text"))).collect()] == [r[0] for r in odd.select(matched).collect()]
