@@ -186,32 +186,45 @@ def credit_transfer_xml(trades: DataFrame) -> DataFrame:
     plus its number from 0, and the later ones a second line of remittance information.
     """
 
-    def transaction(n: Column) -> Column:
-        return F.concat(
-            F.lit("<CdtTrfTxInf><PmtId><EndToEndId>E2E-"), F.col("customer_id").cast("string"), F.lit("-"),
-            n.cast("string"), F.lit('</EndToEndId></PmtId><IntrBkSttlmAmt Ccy="'),
-            F.col("currency_code"), F.lit('">'), (F.col("amount") + n).cast("decimal(18,2)").cast("string"),
+    letter_of_credit = F.col("instrument_type") == "LC"
+    # What all transactions of a message share is put together once; a lambda over their numbers is not compiled.
+    parts = trades.select(
+        "transaction_id", "created_at", "amount", letter_of_credit.alias("letter_of_credit"),
+        (F.col("customer_id") % 3 + 1).cast("int").alias("count"),
+        F.concat(F.lit("<CdtTrfTxInf><PmtId><EndToEndId>E2E-"), F.col("customer_id").cast("string"), F.lit("-"))
+        .alias("id_part"),
+        F.concat(F.lit('</EndToEndId></PmtId><IntrBkSttlmAmt Ccy="'), F.col("currency_code"), F.lit('">'))
+        .alias("currency_part"),
+        F.concat(
             F.lit("</IntrBkSttlmAmt><InstgAgt><FinInstnId><BICFI>"),
             F.upper("booking_branch"), F.lit("XX</BICFI></FinInstnId></InstgAgt><Dbtr><Nm>Debtor "),
             F.col("customer_id").cast("string"), F.lit("</Nm></Dbtr><Cdtr><Nm>Creditor "),
-            F.col("counterparty_country"),
+            F.col("counterparty_country"), F.lit("</Nm></Cdtr>"),
             # A message without remittance information has no RmtInf element at all.
-            F.when(F.col("instrument_type") == "LC", F.lit("</Nm></Cdtr>")).otherwise(
-                F.concat(F.lit("</Nm></Cdtr><RmtInf><Ustrd>"), _escaped(F.col("free_text_notes")), F.lit("</Ustrd>"),
-                         F.when(n > 0, F.concat(F.lit("<Ustrd>part "), n.cast("string"), F.lit("</Ustrd>")))
-                         .otherwise(F.lit("")), F.lit("</RmtInf>"))),
-            F.lit("</CdtTrfTxInf>"),
+            F.when(letter_of_credit, F.lit("")).otherwise(
+                F.concat(F.lit("<RmtInf><Ustrd>"), _escaped(F.col("free_text_notes")), F.lit("</Ustrd>"))),
+        ).alias("party_part"),
+    )
+
+    def transaction(n: int) -> Column:
+        rest = f"<Ustrd>part {n}</Ustrd></RmtInf></CdtTrfTxInf>" if n > 0 else "</RmtInf></CdtTrfTxInf>"
+        return F.concat(
+            "id_part", F.lit(str(n)), "currency_part", (F.col("amount") + n).cast("decimal(18,2)").cast("string"),
+            "party_part", F.when(F.col("letter_of_credit"), "</CdtTrfTxInf>").otherwise(rest),
         )
 
-    count = (F.col("customer_id") % 3 + 1).cast("int")
-    return trades.select(
+    count = F.col("count")
+    # the numbers from 0 to count - 1, which run down where a key below 0 gives a count below 1
+    transactions = [transaction(0), *(F.when(count > n, transaction(n)) for n in (1, 2)),
+                    *(F.when(count <= n + 1, transaction(n)) for n in (-1, -2))]
+    return parts.select(
         F.concat(
             F.lit('<?xml version="1.0" encoding="UTF-8"?>'
                   '<Document xmlns="urn:iso:std:iso:20022:tech:xsd:pacs.008.001.10"><FIToFICstmrCdtTrf><GrpHdr><MsgId>'),
             F.col("transaction_id"), F.lit("</MsgId><CreDtTm>"),
             F.replace(F.col("created_at").cast("string"), F.lit(" "), F.lit("T")),
             F.lit("</CreDtTm><NbOfTxs>"), count.cast("string"), F.lit("</NbOfTxs></GrpHdr>"),
-            F.array_join(F.transform(F.sequence(F.lit(0), count - 1), transaction), ""),
+            F.array_join(F.array(*transactions), ""),
             F.lit("</FIToFICstmrCdtTrf></Document>"),
         ).alias("payload")
     )
@@ -229,20 +242,19 @@ def statement_xml(spark: SparkSession, sf_dir: str, dealt: bool = False) -> Data
     key = F.col("o_orderkey")
     amount = F.col("o_totalprice").cast("decimal(18,2)")
 
-    def entry(n: Column) -> Column:
+    def entry(n: int) -> Column:
         return F.concat(
-            F.lit('<Ntry><Amt Ccy="'), pick(STATEMENT_CURRENCIES, n % 3), F.lit('">'),
-            (amount + n).cast("decimal(18,2)").cast("string"),
+            F.lit(f'<Ntry><Amt Ccy="{STATEMENT_CURRENCIES[n % 3]}">'), (amount + n).cast("decimal(18,2)").cast("string"),
             F.lit("</Amt><CdtDbtInd>"), F.when((key + n) % 2 == 0, "CRDT").otherwise("DBIT"),
             F.lit("</CdtDbtInd><BookgDt><Dt>"),
             F.date_add(F.col("o_orderdate").cast("date"), n).cast("string"),
-            F.lit("</Dt></BookgDt><NtryDtls><TxDtls><RmtInf><Ustrd>Entry "), n.cast("string"),
-            F.lit("</Ustrd><Ustrd>of the day</Ustrd></RmtInf></TxDtls>"
+            F.lit(f"</Dt></BookgDt><NtryDtls><TxDtls><RmtInf><Ustrd>Entry {n}"
+                  "</Ustrd><Ustrd>of the day</Ustrd></RmtInf></TxDtls>"
                   "<TxDtls><RmtInf><Ustrd>closing</Ustrd></RmtInf></TxDtls></NtryDtls></Ntry>"),
         )
 
     count = (key % 4).cast("int")
-    entries = F.transform(F.filter(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: n <= count), entry)
+    entries = F.array(*(F.when(count >= n, entry(n)) for n in (1, 2, 3)))
 
     def statement(iban: Column) -> Column:
         return F.concat(

@@ -116,11 +116,8 @@ def xml_files_loaded(spark, sf_dir):
 
     parsed = messages.parse(xml_files.load_xml_messages(spark, landing), schema=AMOUNTS)
     amounts = F.coalesce(
-        F.transform(F.col("doc.FIToFICstmrCdtTrf.CdtTrfTxInf"), lambda t: t["IntrBkSttlmAmt"]["_VALUE"]),
-        F.flatten(F.transform(
-            F.col("doc.BkToCstmrStmt.Stmt"),
-            lambda s: F.coalesce(F.transform(s["Ntry"], lambda e: e["Amt"]["_VALUE"]), F.array()),
-        )),
+        F.col("doc.FIToFICstmrCdtTrf.CdtTrfTxInf.IntrBkSttlmAmt._VALUE"),
+        F.flatten(F.filter("doc.BkToCstmrStmt.Stmt.Ntry", lambda n: n.isNotNull()))["Amt"]["_VALUE"],
     )
     total = F.aggregate(
         amounts, F.lit(0).cast("decimal(28,2)"),

@@ -13,6 +13,7 @@ _BLANK = " \n\r\t﻿"
 
 
 _NO_TEXT = r"(?s)<\?.*?\?>|<!--.*?-->"
+_START_TAG = r"(?:[A-Za-z_][\w.-]*:)?Document[\s>]"
 
 
 def records_of(units: DataFrame) -> DataFrame:
@@ -30,10 +31,12 @@ def read_units(reader, path: str, **options: str) -> DataFrame:
 def _payload() -> Column:
     """The document of a closed record; text before its start tag that is neither prolog nor comment is no part of it."""
     body = F.concat("text", F.lit("Document>"))
-    before = rf"(?s)^(?:{_NO_TEXT}|[^<]|<(?!(?:[A-Za-z_][\w.-]*:)?Document[\s>]))*"
+    before = rf"(?s)^(?:{_NO_TEXT}|[^<]|<(?!{_START_TAG}))*"
+    # most documents have a prolog at most before their start tag, which one look at their first signs tells
+    plain = body.rlike(rf"\A[{_BLANK}]*+(?:<\?[^<>?]*+\?>[{_BLANK}]*+)?<{_START_TAG}")
     stray = F.btrim(F.regexp_replace(F.regexp_extract(body, before, 0), _NO_TEXT, ""), F.lit(_BLANK))
     # ends with the tag, so there is nothing to trim on the right
-    return F.when(stray == "", F.ltrim(body, F.lit(_BLANK))).otherwise(F.regexp_replace(body, before, ""))
+    return F.when(plain | (stray == ""), F.ltrim(body, F.lit(_BLANK))).otherwise(F.regexp_replace(body, before, ""))
 
 
 def documents_of(records: DataFrame) -> DataFrame:
@@ -91,7 +94,7 @@ def message_type(path):
 def _message_id(path: str, row_number: Column) -> Column:
     folder = path.rstrip("/").split("://")[-1]
     at = F.locate(f"{folder}/", F.col("source_file"))
-    cut = F.substr("source_file", at + len(folder), F.length("source_file"))
+    cut = F.substr("source_file", at + len(folder))
     below = F.when(at > 0, F.ltrim(cut, F.lit("/"))).otherwise(F.col("source_file"))
     return F.concat(below, F.lit("-"), row_number.cast("string"))
 

@@ -1,4 +1,6 @@
+import datetime
 import os
+import re
 from decimal import Decimal
 
 import pytest
@@ -463,3 +465,42 @@ def test_amounts_alone_are_those_of_the_whole_document(spark):
     assert whole == pruned and whole[0][0] == ["1.50", "x"] and whole[2][1] == [["2", "3"], None]
     used = plan_of(REGISTRY["xml_files_loaded"].run(spark, DATA))
     assert "IntrBkSttlmAmt" in used and "CreDtTm" not in used
+
+
+def test_messages_are_rendered_without_lambdas(spark, tmp_path):
+    """Code is generated for all of a message; numbers of transactions and entries follow the keys, whatever their sign."""
+    columns = ("transaction_id string, customer_id bigint, amount decimal(18,2), currency_code string, booking_branch string, "
+               "counterparty_country string, instrument_type string, free_text_notes string, created_at timestamp_ntz")
+    at = datetime.datetime(2026, 1, 2, 3, 4, 5)
+    row = ("T", 0, Decimal("1.50"), "EUR", "tokyo", "JP", "SWAP", "a & b < c", at)
+    rows = [(*row[:1], key, *row[2:]) for key in (0, 1, 2, -1, -2, None)]
+    rows += [(*row[:7], None, at), (*row[:6], "LC", None, at), (*row[:6], None, "n", at), (*row[:2], None, *row[3:])]
+    rendered = bridge.credit_transfer_xml(spark.createDataFrame(rows, columns).coalesce(1))
+    assert "lambda" not in plan_of(rendered)
+    texts = [r.payload for r in rendered.collect()]
+    numbers = [t and re.findall(r"E2E--?\d+-(-?\d+)<.*?>([\d.-]+)</IntrBk", t) for t in texts]
+    assert numbers[:6] == [[("0", "1.50")], [("0", "1.50"), ("1", "2.50")], [("0", "1.50"), ("1", "2.50"), ("2", "3.50")],
+                           [("0", "1.50"), ("-1", "0.50")], [("0", "1.50"), ("-1", "0.50"), ("-2", "-0.50")], None]
+    assert [len(n) for n in numbers[6:]] == [0, 1, 1, 0] and "RmtInf" not in texts[7] and "<Ustrd>n</Ustrd></RmtInf>" in texts[8]
+    assert ('<Cdtr><Nm>Creditor JP</Nm></Cdtr><RmtInf><Ustrd>a &amp; b &lt; c</Ustrd><Ustrd>part 1</Ustrd></RmtInf>'
+            '</CdtTrfTxInf></FIToFICstmrCdtTrf></Document>') in texts[1]
+
+    orders = [(key, 7, 10.25, at) for key in (0, 1, 2, 3, 15, -3, None)] + [(2, 7, None, at), (3, 7, 1.0, None)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz").coalesce(
+        1).write.parquet(f"{tmp_path}/orders.parquet")
+    statements = bridge.statement_xml(spark, str(tmp_path))
+    assert "lambda" not in plan_of(statements)
+    texts = [r.payload for r in statements.collect()]
+    entries = [t and re.findall(r'<Ntry><Amt Ccy="(\w+)">([\d.]+)<.*?Entry (\d)<', t) for t in texts]
+    three = [("USD", "11.25", "1"), ("JPY", "12.25", "2"), ("EUR", "13.25", "3")]
+    assert entries == [[], three[:1], three[:2], three, three * 2, [], None, [], []]
+
+
+def test_documents_with_a_prolog_at_most_are_those_of_any_text(spark):
+    """The short look at a document's first signs finds what the whole match of the text before it does."""
+    texts = ["<Document>a</", "﻿\r\n<?xml version='1.0'?>\n<p:Document x='1'>b</p:", "<?a b?c?> <Document\n>d</", "no <Document>e</",
+             "<!-- f --><Document>g</", "<Documents/><Document>h</", "<?xml?> <?i?> <Document>j</", "<?open <Document>k</", "l</"]
+    records = spark.createDataFrame([(t, "f", i, True) for i, t in enumerate(texts)], "text string, source_file string, number bigint, closed boolean")
+    assert [r.payload for r in xml_files.documents_of(records).orderBy("row_number").collect()] == [*(t + "Document>" for t in [
+        "<Document>a</", "<?xml version='1.0'?>\n<p:Document x='1'>b</p:", "<?a b?c?> <Document\n>d</", "<Document>e</",
+        "<!-- f --><Document>g</", "<Document>h</", "<?xml?> <?i?> <Document>j</", "<Document>k</"]), ""]
